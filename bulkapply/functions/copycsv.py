@@ -17,37 +17,53 @@ LINE = "line"
 _TEXT = (T.StringType, T.CharType, T.VarcharType)
 _PLAIN = (
     T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
-    T.DateType,
 )
 
 
-def encode(column: Column, data_type: T.DataType, timestamp_digits: int = 6) -> Column:
-    """One field, without the null rule."""
+# Names of the session zone that have no daylight saving.
+_UNSHIFTED = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
+
+def encode(column: Column, data_type: T.DataType, timestamp_digits: int = 6, zone: str = "UTC") -> Column:
+    """One field, without the null rule. ``zone`` is the session's zone."""
     if isinstance(data_type, _TEXT):
         return F.concat(F.lit('"'), F.replace(column, F.lit('"'), F.lit('""')), F.lit('"'))
     if isinstance(data_type, _PLAIN):
         return column.cast("string")
+    if isinstance(data_type, T.DateType):
+        return _unsigned_year(column.cast("string"))
     if isinstance(data_type, T.BinaryType):
         return F.concat(F.lit("\\x"), F.lower(F.hex(column)))
     if isinstance(data_type, T.TimeType):
         return F.substring(column.cast("string"), 1, 8)
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return _timestamp(column.cast("string"), timestamp_digits)
+        return _unsigned_year(_timestamp(column, timestamp_digits, zone in _UNSHIFTED))
     raise TypeError(f"no text form for {data_type.simpleString()}")
 
 
-def _timestamp(text: Column, digits: int) -> Column:
-    """The printed form drops trailing zeros of the fraction; cut or fill it to ``digits``."""
+def _unsigned_year(text: Column) -> Column:
+    """Years beyond 9999 print with a plus sign, which the target does not take."""
+    return F.ltrim(text, F.lit("+"))
+
+
+def _timestamp(column: Column, digits: int, unshifted: bool) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` and ``digits`` of the fraction.
+
+    Formatting goes through an instant of the session's zone, where some local times do not exist; so it serves only
+    zones without daylight saving. Elsewhere the printed form is cut or filled, which is exact but slower.
+    """
+    if unshifted:
+        return F.date_format(column, "yyyy-MM-dd HH:mm:ss" + ("." + "S" * digits if digits else ""))
+    text = column.cast("string")
     whole = F.substring_index(text, ".", 1)
     if digits == 0:
         return whole
-    fraction = F.rpad(F.split_part(text, F.lit("."), F.lit(2)), digits, "0")
-    return F.concat(whole, F.lit("."), fraction)
+    return F.concat(whole, F.lit("."), F.rpad(F.split_part(text, F.lit("."), F.lit(2)), digits, "0"))
 
 
-def encoded_line(schema: T.StructType, columns: Sequence[str], timestamp_digits: int = 6) -> Column:
+def encoded_line(schema: T.StructType, timestamp_digits: int = 6, zone: str = "UTC") -> Column:
     fields = [
-        F.coalesce(encode(F.col(c), schema[c].dataType, timestamp_digits), F.lit("")) for c in columns
+        F.coalesce(encode(F.col(f.name), f.dataType, timestamp_digits, zone), F.lit("")) for f in schema.fields
     ]
     return F.concat_ws(",", *fields)
 
@@ -61,4 +77,5 @@ def encode_lines(
     validate_schema(schema)
     if df.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
         raise ValueError("spark.sql.ansi.enabled must be true: without it small decimals print in scientific form")
-    return df.select(*keep, encoded_line(schema, columns, timestamp_digits).alias(LINE))
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    return df.select(*keep, encoded_line(schema, timestamp_digits, zone).alias(LINE))

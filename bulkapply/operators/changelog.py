@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bulkapply.storage import materialize
+
 OP = "_op"
 # The four row kinds, by what they do to the target.
 UPSERT_KINDS = ("+I", "+U")
@@ -73,15 +75,15 @@ def check(df: DataFrame, keys: Sequence[str], op_col: str = OP) -> None:
         raise ChangelogError(f"{found['unknown_kind']} rows of unknown kind, {found['null_key']} rows with a null key")
 
 
-def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column], within: Sequence[str] = ()) -> DataFrame:
-    """The first row per key in ``order``, ties settled by the remaining columns.
+def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
+    """The row per key that is greatest in ``order``, ties settled by the remaining columns.
 
     Spark plans this as a group limit before the shuffle, so each task sends one row per key however hot the key is.
     The full ordering makes the pick the same when a lost task is run again.
     """
     group = [*within, *keys]
-    ties = [F.col(c).desc() for c in df.columns if c not in group]
-    window = Window.partitionBy(*group).orderBy(*order, *ties)
+    ties = [c for c in df.columns if c not in group and c not in order]
+    window = Window.partitionBy(*group).orderBy(*[F.col(c).desc() for c in [*order, *ties]])
     return df.withColumn("_nth", F.row_number().over(window)).filter(F.col("_nth") == 1).drop("_nth")
 
 
@@ -99,8 +101,7 @@ def collapse(
     """
     check_keys(df, keys)
     flagged = with_checked_keys(df, keys, is_upsert(F.col(op_col)), "_upsert")
-    order = [F.col(c).desc() for c in sequence_by] + [F.col("_upsert").desc()]
-    return latest(flagged, keys, order, within).drop("_upsert")
+    return latest(flagged, keys, [*sequence_by, "_upsert"], within).drop("_upsert")
 
 
 def conform(df: DataFrame, target: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -118,21 +119,40 @@ def conform(df: DataFrame, target: DataFrame, columns: Sequence[str] | None = No
     )
 
 
-def without_keys(target: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key is not in ``keyed``. Only the distinct key columns of ``keyed`` travel."""
+def without_keys(
+    target: DataFrame, keyed: DataFrame, keys: Sequence[str], buckets: int | None = None
+) -> DataFrame:
+    """Target rows whose key is not in ``keyed``. Only the distinct key columns of ``keyed`` travel.
+
+    ``buckets`` is the number of buckets of a target saved by these keys. The distinct keys are then dealt out the same
+    way; left to itself, Spark would shuffle the target when it has fewer buckets than there are shuffle partitions.
+    """
     touched = conform(keyed, target, keys).distinct()
+    if buckets is not None:
+        touched = touched.repartition(buckets, *keys)
     return target.join(touched, list(keys), "left_anti").select(*target.columns)
 
 
+def settle(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence[str], op_col: str = OP) -> DataFrame:
+    """Collapse a changelog and write the result to the shared folder; the returned rows can be applied as they are.
+
+    Worth it before applying changes to a large target: the changes are computed once instead of twice, and Spark knows
+    their size when it plans, so it broadcasts their keys below ``spark.sql.autoBroadcastJoinThreshold`` and leaves the
+    target where it is.
+    """
+    return materialize(collapse(changes, keys, sequence_by, op_col), "settled")
+
+
 def apply_changes(
     target: DataFrame,
     changes: DataFrame,
     keys: Sequence[str],
     sequence_by: Sequence[str],
     op_col: str = OP,
+    buckets: int | None = None,
 ) -> DataFrame:
     """The target after all changes: untouched rows, plus the last written row of each changed key."""
     check_keys(target, keys)
     last = collapse(changes, keys, sequence_by, op_col)
     written = conform(last.filter(is_upsert(F.col(op_col))), target)
-    return without_keys(target, changes, keys).unionByName(written)
+    return without_keys(target, changes, keys, buckets).unionByName(written)

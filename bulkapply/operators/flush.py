@@ -45,8 +45,7 @@ def flush_batches(
     if max_rows <= 0:
         raise ValueError("max_rows must be positive")
     numbered = number_in_order(df, writer, order_by, "_number")
-    batch = F.floor((F.col("_number") - 1) / F.lit(max_rows)).cast("long")
-    return numbered.withColumn(name, batch).drop("_number")
+    return numbered.withColumn(name, F.expr(f"(_number - 1) div {int(max_rows)}")).drop("_number")
 
 
 def distinct_keys(df: DataFrame, flush: Sequence[str], keys: dict[str, Column]) -> DataFrame:

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bulkapply.operators.changelog import check_keys, conform, latest, with_checked_keys, without_keys
+from bulkapply.operators.flush import number_in_order
+
+_SHORT_LIST = 100_000
 
 
 def key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -16,18 +19,22 @@ def key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys)
 
 
-def _last_rows(rows: DataFrame, keys: Sequence[str], sequence_by: Sequence[str]) -> DataFrame:
-    check_keys(rows, keys)
-    checked = with_checked_keys(rows, keys, F.lit(True), "_keyed")
-    order = [F.col("_keyed").desc(), *[F.col(c).desc() for c in sequence_by]]
-    return latest(checked, keys, order).drop("_keyed")
-
+def upsert(
+    target: DataFrame,
+    rows: DataFrame,
+    keys: Sequence[str],
+    sequence_by: Sequence[str],
+    buckets: int | None = None,
+) -> DataFrame:
+    """Insert or replace by key. The last row per key wins and replaces every column; a null key fails the job.
 
-def upsert(target: DataFrame, rows: DataFrame, keys: Sequence[str], sequence_by: Sequence[str]) -> DataFrame:
-    """Insert or replace by key. The last row per key wins and replaces every column."""
+    ``buckets`` as in ``without_keys``, for a target saved by these keys.
+    """
     check_keys(target, keys)
-    last = conform(_last_rows(rows, keys, sequence_by), target)
-    return without_keys(target, rows, keys).unionByName(last)
+    check_keys(rows, keys)
+    checked = with_checked_keys(rows, keys, F.lit(True), "_keyed")
+    last = latest(checked, keys, ["_keyed", *sequence_by])
+    return without_keys(target, rows, keys, buckets).unionByName(conform(last, target))
 
 
 def insert_if_absent(target: DataFrame, rows: DataFrame) -> DataFrame:
@@ -39,10 +46,12 @@ def insert_if_absent(target: DataFrame, rows: DataFrame) -> DataFrame:
     return target.unionByName(new.join(present, list(keys), "left_anti").select(*keys))
 
 
-def delete_by_key(target: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
+def delete_by_key(
+    target: DataFrame, keyed: DataFrame, keys: Sequence[str], buckets: int | None = None
+) -> DataFrame:
     """Target without the rows whose key occurs in ``keyed``. A null in a key equals nothing, so it deletes nothing."""
     check_keys(target, keys)
-    return without_keys(target, keyed, keys)
+    return without_keys(target, keyed, keys, buckets)
 
 
 def update_by_key(
@@ -52,10 +61,11 @@ def update_by_key(
     columns: Sequence[str],
     sequence_by: Sequence[str],
 ) -> DataFrame:
-    """Set ``columns`` from the last row per key where the key exists; insert nothing."""
+    """Set ``columns`` from the last row per key where the key exists; insert nothing. A null key matches nothing."""
     check_keys(target, keys)
+    check_keys(rows, keys)
     wanted = list(dict.fromkeys([*keys, *columns, *sequence_by]))
-    last = conform(_last_rows(rows.select(*wanted), keys, sequence_by), target, [*keys, *columns])
+    last = conform(latest(rows.select(*wanted), keys, sequence_by), target, [*keys, *columns])
     renamed = last.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_matched"))
     joined = target.join(renamed, list(keys), "left")
     return joined.select(
@@ -83,19 +93,24 @@ def lookup_by_key(
 def row_exists(keyed: DataFrame, target: DataFrame, keys: Sequence[str], name: str = "row_exists") -> DataFrame:
     """Each row of ``keyed`` with a flag: does the target hold its key?
 
-    The target is first cut to the asked-for keys, so a small question does not shuffle a large target.
+    The target's keys are made distinct inside each task before they travel, so a hot key sends one row per task. Where
+    ``keyed`` can be broadcast, Spark cuts the target to the asked-for keys first.
     """
-    present = lookup_by_key(target, keyed, keys, keys).distinct().withColumn(name, F.lit(True))
-    asked = conform(keyed, target, keys)
-    others = [c for c in keyed.columns if c not in keys]
-    asked = keyed.select(*[F.col(c) for c in others], *[F.col(k).cast(asked.schema[k].dataType).alias(k) for k in keys])
-    return asked.join(present, list(keys), "left").select(
-        *keyed.columns, F.coalesce(F.col(name), F.lit(False)).alias(name)
-    )
+    check_keys(target, keys)
+    held = lookup_by_key(target.select(*keys).distinct(), keyed, keys, keys).withColumn(name, F.lit(True))
+    types = {k: target.schema[k].dataType for k in keys}
+    asked = keyed.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in keyed.columns])
+    return asked.join(held, list(keys), "left").select(*keyed.columns, F.coalesce(F.col(name), F.lit(False)).alias(name))
 
 
 def limit_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows in the given order; each task keeps at most ``n``."""
+    """The first ``n`` rows in the given order.
+
+    A short list is merged in one task, to which every other task sends at most ``n`` rows. A long one is cut from the
+    numbered rows, so it stays spread over the cluster.
+    """
     if n < 0:
         raise ValueError("limit must not be negative")
-    return df.orderBy(*order_by).limit(n)
+    if n <= _SHORT_LIST:
+        return df.orderBy(*order_by).limit(n)
+    return number_in_order(df, [], order_by, "_number").filter(F.col("_number") <= n).drop("_number")

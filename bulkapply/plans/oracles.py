@@ -118,6 +118,7 @@ def oracle_sql() -> dict[str, str]:
         "(PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
         "changelog_collapse_lines": _LAST_LINE,
         "changelog_apply": _LINE_STATE,
+        "changelog_apply_settled": _LINE_STATE,
         "changelog_violations": "SELECT count(*) AS n_rows, "
         "count(*) FILTER (WHERE event_type = 'error') AS unknown_kind, "
         "count(*) FILTER (WHERE event_type = 'signup') AS null_key FROM events",

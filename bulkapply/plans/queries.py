@@ -101,7 +101,7 @@ def upsert_keyed_layout(spark, folder):
     path = scratch_path(spark, "keyed_layout")
     name = path.rsplit("/", 1)[1].replace("-", "_")
     tables.save_keyed(target, name, path, LINE_KEY, BUCKETS)
-    return keyed.upsert(spark.table(name), rows, LINE_KEY, ["l_shipdate"])
+    return keyed.upsert(spark.table(name), rows, LINE_KEY, ["l_shipdate"], BUCKETS)
 
 
 def insert_if_absent(spark, folder):
@@ -183,13 +183,24 @@ def changelog_collapse_lines(spark, folder):
     return changelog.collapse(line_changes(load(spark, folder, "lineitem")), LINE_KEY, ["l_shipdate"])
 
 
-def changelog_apply(spark, folder):
+def _line_target(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Lines shipped before a date are the target, later ones arrive as changes."""
-    changes = line_changes(load(spark, folder, "lineitem"))
     split_at = F.lit(YEAR).cast("timestamp_ntz")
     before = changelog.collapse(changes.filter(F.col("l_shipdate") < split_at), LINE_KEY, ["l_shipdate"])
     target = before.filter(changelog.is_upsert(F.col(changelog.OP))).drop(changelog.OP)
-    return changelog.apply_changes(target, changes.filter(F.col("l_shipdate") >= split_at), LINE_KEY, ["l_shipdate"])
+    return target, changes.filter(F.col("l_shipdate") >= split_at)
+
+
+def changelog_apply(spark, folder):
+    target, later = _line_target(line_changes(load(spark, folder, "lineitem")))
+    return changelog.apply_changes(target, later, LINE_KEY, ["l_shipdate"])
+
+
+def changelog_apply_settled(spark, folder):
+    """The same with the collapsed changes written first, as for a target too large to shuffle."""
+    target, later = _line_target(line_changes(load(spark, folder, "lineitem")))
+    settled = changelog.settle(later, LINE_KEY, ["l_shipdate"])
+    return changelog.apply_changes(target, settled, LINE_KEY, ["l_shipdate"])
 
 
 def changelog_violations(spark, folder):
@@ -332,12 +343,18 @@ def schema_conformance(spark, folder):
 # --- streams ----------------------------------------------------------------------------------------------------------
 
 
-def _stream(spark, folder, table, files: int = 4):
-    """The table as a stream of several micro-batches: its rows landed as files, one file per batch."""
+def _stream(spark, folder, table):
+    """The table as a stream of several micro-batches, each with a file for every core.
+
+    A large table already comes in enough pieces and is written as it is; only a small one is dealt out further.
+    """
     rows = load(spark, folder, table)
     path = scratch_path(spark, f"{table}_files")
-    rows.repartition(files).write.parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < 4 * cores:
+        rows = rows.repartition(4 * cores)
+    rows.write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", cores).parquet(path)
 
 
 def stream_append(spark, folder):
@@ -436,7 +453,8 @@ _REGISTERED = (
     append_orders, append_twice, append_parallel, partitioned_append, batch_agg_sink,
     upsert_last_wins, upsert_lineitem, upsert_keyed_layout, insert_if_absent, delete_by_key, key_projection,
     update_by_key, lookup_by_key, row_exists, limit_rows,
-    rowkind_flag, changelog_collapse, changelog_collapse_lines, changelog_apply, changelog_violations,
+    rowkind_flag, changelog_collapse, changelog_collapse_lines, changelog_apply, changelog_apply_settled,
+    changelog_violations,
     flush_batches, distinct_keys_per_flush, changelog_collapse_per_flush, flush_windows,
     custom_dml_bind, custom_dml_sql,
     copy_encode_docs, copy_encode_pages, copy_encode_lineitem, copy_encode_events, copy_encode_nulls, copy_roundtrip,

@@ -1,0 +1,137 @@
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from bulkapply.operators import changelog
+from bulkapply.operators.changelog import ChangelogError
+
+SCHEMA = "k int, seq int, v string, _op string"
+TARGET = "k int, v string"
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def final_state(target, changes):
+    """Brute force: replay in order."""
+    state = dict(target)
+    for k, _, v, op in sorted(changes, key=lambda c: (c[0], c[1], c[3] in ("+I", "+U"))):
+        if op in ("+I", "+U"):
+            state[k] = v
+        else:
+            state.pop(k, None)
+    return sorted(state.items())
+
+
+def test_kinds(spark):
+    df = spark.createDataFrame([("+I",), ("-U",), ("+U",), ("-D",)], "_op string")
+    flagged = df.select("_op", changelog.is_upsert(df["_op"]).alias("up")).collect()
+    assert {r["_op"]: r["up"] for r in flagged} == {"+I": True, "+U": True, "-U": False, "-D": False}
+
+
+@pytest.mark.parametrize("op", ["X", None])
+def test_unknown_kind_fails(spark, op):
+    df = spark.createDataFrame([(1, 1, "a", op)], SCHEMA)
+    with pytest.raises(Exception, match="unknown row kind"):
+        changelog.collapse(df, ["k"], ["seq"]).collect()
+
+
+def test_null_key_fails(spark):
+    target = spark.createDataFrame([(1, "a")], TARGET)
+    changes = spark.createDataFrame([(None, 1, "a", "+I")], SCHEMA)
+    with pytest.raises(Exception, match="null in key columns"):
+        changelog.apply_changes(target, changes, ["k"], ["seq"]).collect()
+
+
+def test_check_counts_and_raises(spark):
+    df = spark.createDataFrame([(1, 1, "a", "+I"), (None, 1, "a", "?"), (2, 1, "a", None)], SCHEMA)
+    assert changelog.violations(df, ["k"]).first().asDict() == {"n_rows": 3, "unknown_kind": 2, "null_key": 1}
+    with pytest.raises(ChangelogError, match="2 rows of unknown kind, 1 rows with a null key"):
+        changelog.check(df, ["k"])
+    changelog.check(df.filter("v = 'b'"), ["k"])
+
+
+def test_key_rules(spark):
+    df = spark.createDataFrame([(1, 1.0, "+I")], "k int, d double, _op string")
+    for keys in ([], ["missing"], ["d"]):
+        with pytest.raises(ChangelogError):
+            changelog.collapse(df, keys, ["k"])
+
+
+def test_removal_and_write_of_one_sequence(spark):
+    df = spark.createDataFrame([(1, 5, "old", "-U"), (1, 5, "new", "+U")], SCHEMA)
+    assert rows(changelog.collapse(df, ["k"], ["seq"])) == [(1, 5, "new", "+U")]
+
+
+def test_equal_sequences_give_one_defined_row(spark):
+    data = [(1, 5, v, "+U") for v in "abcdefgh"]
+    picks = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(data)
+        df = spark.createDataFrame(data, SCHEMA).repartition(4)
+        picks.update(r["v"] for r in changelog.collapse(df, ["k"], ["seq"]).collect())
+    assert picks == {"h"}
+
+
+def test_apply_cases(spark):
+    target = [(1, "kept"), (2, "replaced"), (3, "deleted"), (4, "deleted and back"), (5, "gone")]
+    changes = [
+        (2, 1, "new", "+U"), (3, 1, None, "-D"), (4, 1, None, "-D"), (4, 2, "back", "+I"), (5, 1, "x", "+U"),
+        (5, 2, "x", "-U"), (6, 1, "inserted", "+I"), (7, 1, None, "-D"), (8, 1, None, "+I"),
+    ]
+    got = changelog.apply_changes(
+        spark.createDataFrame(target, TARGET), spark.createDataFrame(changes, SCHEMA), ["k"], ["seq"]
+    )
+    assert got.columns == ["k", "v"]
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[0]) == [
+        (1, "kept"), (2, "new"), (4, "back"), (6, "inserted"), (8, None)
+    ]
+
+
+def test_target_types_and_order_win(spark):
+    target = spark.createDataFrame([("a", 1)], "v string, k bigint")
+    changes = spark.createDataFrame([(1, 1, "b", "+U")], SCHEMA)
+    got = changelog.apply_changes(target, changes, ["k"], ["seq"])
+    assert got.schema.simpleString() == "struct<v:string,k:bigint>"
+    assert rows(got) == [("b", 1)]
+
+
+def test_missing_column_is_refused(spark):
+    target = spark.createDataFrame([(1, "a", 1)], "k int, v string, extra int")
+    changes = spark.createDataFrame([(1, 1, "b", "+U")], SCHEMA)
+    with pytest.raises(ChangelogError, match="extra"):
+        changelog.apply_changes(target, changes, ["k"], ["seq"])
+
+
+CHANGE = st.tuples(st.integers(0, 5), st.sampled_from(["+I", "-U", "+U", "-D"]), st.sampled_from(["x", "y", None]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(CHANGE, max_size=30), st.lists(st.integers(0, 30), max_size=3))
+def test_flush_boundaries_do_not_change_the_result(spark, drawn, cuts):
+    changes = [(k, n, v, op) for n, (k, op, v) in enumerate(drawn)]
+    start = [(0, "t"), (9, "t")]
+    bounds = [0, *sorted(min(c, len(changes)) for c in cuts), len(changes)]
+    state = spark.createDataFrame(start, TARGET)
+    for a, b in zip(bounds, bounds[1:]):
+        state = changelog.apply_changes(state, spark.createDataFrame(changes[a:b], SCHEMA), ["k"], ["seq"])
+    assert sorted(map(tuple, state.collect()), key=lambda r: r[0]) == final_state(start, changes)
+
+
+def test_a_third_of_all_changes_on_one_key(spark):
+    dice = random.Random(7)
+    ops = ["+I", "-U", "+U", "-D"]
+    changes = [
+        (0 if dice.random() < 0.34 else dice.randrange(1, 400), n, f"v{n}", dice.choice(ops)) for n in range(6000)
+    ]
+    target = [(k, "t") for k in range(300)]
+    got = changelog.apply_changes(
+        spark.createDataFrame(target, TARGET),
+        spark.createDataFrame(changes, SCHEMA).repartition(8),
+        ["k"],
+        ["seq"],
+    )
+    assert rows(got) == final_state(target, changes)

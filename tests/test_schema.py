@@ -1,0 +1,83 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from bulkapply.functions import convert, schema
+from bulkapply.functions.schema import SchemaError
+
+HELD = [
+    (T.BooleanType(), "BOOLEAN"), (T.ByteType(), "TINYINT"), (T.ShortType(), "SMALLINT"), (T.IntegerType(), "INTEGER"),
+    (T.LongType(), "BIGINT"), (T.FloatType(), "REAL"), (T.DoubleType(), "DOUBLE"), (T.DecimalType(10, 2), "DECIMAL(10,2)"),
+    (T.CharType(3), "CHAR(3)"), (T.VarcharType(20), "VARCHAR(20)"), (T.StringType(), "VARCHAR"),
+    (T.BinaryType(), "VARBINARY"), (T.DateType(), "DATE"), (T.TimestampNTZType(), "TIMESTAMP"),
+    (T.TimestampType(), "TIMESTAMP"), (T.TimeType(0), "TIME"),
+]
+REFUSED = [
+    T.ArrayType(T.IntegerType()), T.MapType(T.StringType(), T.StringType()), T.StructType([]), T.NullType(),
+    T.DayTimeIntervalType(), T.YearMonthIntervalType(), T.VariantType(),
+]
+
+
+@pytest.mark.parametrize("data_type,name", HELD, ids=str)
+def test_held_types(data_type, name):
+    assert schema.sql_type(data_type) == name
+    schema.validate_schema(T.StructType([T.StructField("c", data_type)]))
+
+
+@pytest.mark.parametrize("data_type", REFUSED, ids=str)
+def test_refused_types(data_type):
+    assert schema.sql_type(data_type) is None
+    with pytest.raises(SchemaError, match="c "):
+        schema.validate_schema(T.StructType([T.StructField("c", data_type)]))
+
+
+def test_definitions():
+    assert schema.column_definition(T.DoubleType()) == "DOUBLE PRECISION"
+    assert schema.column_definition(T.ByteType()) == "SMALLINT"
+    assert schema.column_definition(T.VarcharType(5)) == "VARCHAR(5)"
+    with pytest.raises(SchemaError):
+        schema.column_definition(T.ArrayType(T.IntegerType()))
+
+
+def test_embeddings_are_refused(spark):
+    with pytest.raises(SchemaError, match="embedding array<float>"):
+        schema.validate_schema(spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").schema)
+
+
+def test_report_counts_nulls(spark):
+    df = spark.createDataFrame([(1, None), (None, None), (3, [1])], "a int, b array<int>")
+    got = {r["column_name"]: r for r in schema.schema_report({"t": df}).collect()}
+    assert (got["a"]["null_count"], got["a"]["row_count"], got["a"]["sql_type"]) == (1, 3, "INTEGER")
+    assert (got["b"]["null_count"], got["b"]["supported"], got["b"]["sql_type"]) == (2, False, "none")
+
+
+def test_conformance(spark):
+    df = spark.createDataFrame([("12", 99999.5), ("x", 1.0), (None, None), ("300", -100000.0)], "s string, d double")
+    got = schema.conformance(df, {"s": T.ByteType(), "d": T.DecimalType(7, 2)}).first()
+    assert got.asDict() == {"n_rows": 4, "s_misfits": 2, "d_misfits": 1}
+    assert schema.conformance(df, {"s": T.VarcharType(2)}).first()["s_misfits"] == 1
+
+
+def test_conversion(spark):
+    df = spark.createDataFrame([(1, "2.5", "2024-01-02"), (None, None, None)], "a int, b string, c string")
+    got = convert.to_declared(df, {"c": T.DateType(), "b": T.DecimalType(5, 2), "a": T.LongType()})
+    assert got.schema.simpleString() == "struct<c:date,b:decimal(5,2),a:bigint>"
+    assert [tuple(r) for r in got.collect()] == [(dt.date(2024, 1, 2), Decimal("2.50"), 1), (None, None, None)]
+
+
+def test_value_that_does_not_fit_fails(spark):
+    df = spark.createDataFrame([(300,)], "a int")
+    with pytest.raises(Exception, match="OVERFLOW"):
+        convert.to_declared(df, {"a": T.ByteType()}).collect()
+
+
+def test_edge_types(spark):
+    df = spark.sql("SELECT time'13:14:15.123456' AS t, timestamp'2024-01-02 03:04:05.678901' AS s, IF(false, time'01:00:00', NULL) AS n")
+    got = convert.to_sql_types(df)
+    assert got.schema.simpleString() == "struct<t:string,s:timestamp_ntz,n:string>"
+    assert tuple(got.first()) == ("13:14:15", dt.datetime(2024, 1, 2, 3, 4, 5, 678901), None)
+    with pytest.raises(SchemaError):
+        convert.to_sql_types(df.withColumn("a", F.array("t")))

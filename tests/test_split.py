@@ -1,0 +1,36 @@
+import pytest
+
+from bulkapply.operators import split
+
+
+def test_even_ranges_cover_without_overlap():
+    for lower, upper, n in [(0, 9, 4), (5, 5, 3), (-3, 11, 2), (0, 2, 10)]:
+        ranges = split.even_ranges(lower, upper, n)
+        assert [v for lo, hi in ranges for v in range(lo, hi + 1)] == list(range(lower, upper + 1))
+        assert len(ranges) <= n
+    with pytest.raises(ValueError):
+        split.even_ranges(3, 2, 1)
+
+
+def test_ranges_may_overlap(spark):
+    got = split.split_by_ranges(spark.range(10), "id", [(0, 3), (2, 4)])
+    assert sorted(map(tuple, got.collect())) == [(0, 0), (1, 0), (2, 0), (2, 1), (3, 0), (3, 1), (4, 1)]
+
+
+def test_values(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3), (None, 4)], "author string, id int")
+    got = split.split_by_values(df, "author", ["a", "c"])
+    assert sorted(map(tuple, got.collect())) == [("a", 1, 0), ("a", 3, 0)]
+
+
+def test_conditions_reach_the_scan(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    plan = split.split_by_ranges(df, "o_orderkey", [(0, 5), (90, 95)]).select("o_orderkey", "split")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(And(GreaterThanOrEqual(o_orderkey,0)" in text
+    assert "ReadSchema: struct<o_orderkey:bigint>" in text
+
+
+def test_predicates():
+    assert split.range_predicates("id", [(1, 5), (6, 9)]) == ["id BETWEEN 1 AND 5", "id BETWEEN 6 AND 9"]
+    assert split.value_predicates("author", ["Kumar", "O'Hara"]) == ["author = 'Kumar'", "author = 'O''Hara'"]
