@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from bulkapply.storage import materialize
 
 OP = "_op"
+UPSERT = "_upsert"
 # The four row kinds, by what they do to the target.
 UPSERT_KINDS = ("+I", "+U")
 DELETE_KINDS = ("-U", "-D")
@@ -87,6 +88,14 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], within: Seq
     return df.withColumn("_nth", F.row_number().over(window)).filter(F.col("_nth") == 1).drop("_nth")
 
 
+def _flagged_last(
+    df: DataFrame, keys: Sequence[str], sequence_by: Sequence[str], op_col: str, within: Sequence[str] = ()
+) -> DataFrame:
+    check_keys(df, keys)
+    flagged = with_checked_keys(df, keys, is_upsert(F.col(op_col)), UPSERT)
+    return latest(flagged, keys, [*sequence_by, UPSERT], within)
+
+
 def collapse(
     df: DataFrame,
     keys: Sequence[str],
@@ -99,13 +108,11 @@ def collapse(
     ``sequence_by`` gives the order of changes, which a DataFrame does not have by itself. Where a removal and a write
     carry the same sequence, the write is the later one.
     """
-    check_keys(df, keys)
-    flagged = with_checked_keys(df, keys, is_upsert(F.col(op_col)), "_upsert")
-    return latest(flagged, keys, [*sequence_by, "_upsert"], within).drop("_upsert")
+    return _flagged_last(df, keys, sequence_by, op_col, within).drop(UPSERT)
 
 
 def conform(df: DataFrame, target: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``df`` with the target's columns (or those named), in its order and of its types."""
+    """``df`` with the target's columns (or those named), in its order and of its types; a flag column stays."""
     names = target.columns if columns is None else columns
     missing = [n for n in names if n not in df.columns]
     if missing:
@@ -115,32 +122,36 @@ def conform(df: DataFrame, target: DataFrame, columns: Sequence[str] | None = No
             F.col(n) if df.schema[n].dataType == target.schema[n].dataType
             else F.col(n).cast(target.schema[n].dataType).alias(n)
             for n in names
-        ]
+        ],
+        *([UPSERT] if columns is None and UPSERT in df.columns else []),
     )
 
 
-def without_keys(
-    target: DataFrame, keyed: DataFrame, keys: Sequence[str], buckets: int | None = None
-) -> DataFrame:
-    """Target rows whose key is not in ``keyed``. Only the distinct key columns of ``keyed`` travel.
-
-    ``buckets`` is the number of buckets of a target saved by these keys. The distinct keys are then dealt out the same
-    way; left to itself, Spark would shuffle the target when it has fewer buckets than there are shuffle partitions.
-    """
+def without_keys(target: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key is not in ``keyed``. Only the distinct key columns of ``keyed`` travel."""
     touched = conform(keyed, target, keys).distinct()
-    if buckets is not None:
-        touched = touched.repartition(buckets, *keys)
     return target.join(touched, list(keys), "left_anti").select(*target.columns)
 
 
-def settle(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence[str], op_col: str = OP) -> DataFrame:
-    """Collapse a changelog and write the result to the shared folder; the returned rows can be applied as they are.
+def merge(target: DataFrame, last: DataFrame, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """Target and changes side by side, each read and shuffled once: replaced, removed, added and untouched rows.
 
-    Worth it before applying changes to a large target: the changes are computed once instead of twice, and Spark knows
-    their size when it plans, so it broadcasts their keys below ``spark.sql.autoBroadcastJoinThreshold`` and leaves the
-    target where it is.
+    Both sides hold a key once; ``last`` carries the flag column ``UPSERT``. ``buckets`` is the number of buckets of a
+    target saved by these keys. The changes are then dealt out the same way; left to itself, Spark would shuffle the
+    target when it has fewer buckets than there are shuffle partitions.
     """
-    return materialize(collapse(changes, keys, sequence_by, op_col), "settled")
+    flag = F.col(UPSERT)
+    rest = [c for c in target.columns if c not in keys]
+    new = conform(last, target).select(*keys, *[F.col(c).alias(f"_new_{c}") for c in rest], flag)
+    if buckets is not None:
+        new = new.repartition(buckets, *keys)
+    kept = target.join(new, list(keys), "full").filter(F.coalesce(flag, F.lit(True)))
+    return kept.select(
+        *[
+            F.col(c) if c in keys else F.when(flag, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
+            for c in target.columns
+        ]
+    )
 
 
 def apply_changes(
@@ -151,8 +162,26 @@ def apply_changes(
     op_col: str = OP,
     buckets: int | None = None,
 ) -> DataFrame:
-    """The target after all changes: untouched rows, plus the last written row of each changed key."""
+    """The target after all changes: untouched rows, plus the last written row of each changed key.
+
+    The form for many changes: nothing is read twice. For few changes and a large target see ``settle``.
+    """
+    check_keys(target, keys)
+    return merge(target, _flagged_last(changes, keys, sequence_by, op_col), keys, buckets)
+
+
+def settle(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence[str], op_col: str = OP) -> DataFrame:
+    """Collapse a changelog and write the result to the shared folder, for ``apply_settled``."""
+    return materialize(collapse(changes, keys, sequence_by, op_col), "settled")
+
+
+def apply_settled(target: DataFrame, settled: DataFrame, keys: Sequence[str], op_col: str = OP) -> DataFrame:
+    """``apply_changes`` with the result of ``settle``: the form for few changes on a large target.
+
+    Spark knows the size of the written changes when it plans. Below ``spark.sql.autoBroadcastJoinThreshold`` it
+    broadcasts their keys and the target is not shuffled; above, both sides are shuffled by key.
+    """
     check_keys(target, keys)
-    last = collapse(changes, keys, sequence_by, op_col)
-    written = conform(last.filter(is_upsert(F.col(op_col))), target)
-    return without_keys(target, changes, keys, buckets).unionByName(written)
+    written = conform(settled.filter(is_upsert(F.col(op_col))), target)
+    kept = target.join(conform(settled, target, keys), list(keys), "left_anti").select(*target.columns)
+    return kept.unionByName(written)

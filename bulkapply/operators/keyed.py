@@ -7,7 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bulkapply.operators.changelog import check_keys, conform, latest, with_checked_keys, without_keys
+from bulkapply.operators.changelog import (
+    UPSERT,
+    check_keys,
+    conform,
+    latest,
+    merge,
+    with_checked_keys,
+    without_keys,
+)
 from bulkapply.operators.flush import number_in_order
 
 _SHORT_LIST = 100_000
@@ -28,13 +36,12 @@ def upsert(
 ) -> DataFrame:
     """Insert or replace by key. The last row per key wins and replaces every column; a null key fails the job.
 
-    ``buckets`` as in ``without_keys``, for a target saved by these keys.
+    ``buckets`` as in ``merge``, for a target saved by these keys.
     """
     check_keys(target, keys)
     check_keys(rows, keys)
-    checked = with_checked_keys(rows, keys, F.lit(True), "_keyed")
-    last = latest(checked, keys, ["_keyed", *sequence_by])
-    return without_keys(target, rows, keys, buckets).unionByName(conform(last, target))
+    checked = with_checked_keys(rows, keys, F.lit(True), UPSERT)
+    return merge(target, latest(checked, keys, [UPSERT, *sequence_by]), keys, buckets)
 
 
 def insert_if_absent(target: DataFrame, rows: DataFrame) -> DataFrame:
@@ -46,12 +53,10 @@ def insert_if_absent(target: DataFrame, rows: DataFrame) -> DataFrame:
     return target.unionByName(new.join(present, list(keys), "left_anti").select(*keys))
 
 
-def delete_by_key(
-    target: DataFrame, keyed: DataFrame, keys: Sequence[str], buckets: int | None = None
-) -> DataFrame:
+def delete_by_key(target: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target without the rows whose key occurs in ``keyed``. A null in a key equals nothing, so it deletes nothing."""
     check_keys(target, keys)
-    return without_keys(target, keyed, keys, buckets)
+    return without_keys(target, keyed, keys)
 
 
 def update_by_key(

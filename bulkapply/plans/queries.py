@@ -199,8 +199,7 @@ def changelog_apply(spark, folder):
 def changelog_apply_settled(spark, folder):
     """The same with the collapsed changes written first, as for a target too large to shuffle."""
     target, later = _line_target(line_changes(load(spark, folder, "lineitem")))
-    settled = changelog.settle(later, LINE_KEY, ["l_shipdate"])
-    return changelog.apply_changes(target, settled, LINE_KEY, ["l_shipdate"])
+    return changelog.apply_settled(target, changelog.settle(later, LINE_KEY, ["l_shipdate"]), LINE_KEY)
 
 
 def changelog_violations(spark, folder):

@@ -97,11 +97,14 @@ class ChangelogTable:
         through, base = self._base()
         batches, log = self._log(through)
         order = [BATCH, *self.sequence_by] if self.arrival_order else self.sequence_by
-        if not self.arrival_order:
+        if through >= 0 and not self.arrival_order:
             contested = base.join(log.select(*self.keys).distinct(), self.keys, "left_semi")
-            log = log.unionByName(contested.withColumn(BATCH, F.lit(through).cast("long")))
-        last = collapse(log, self.keys, order, self.op_col).select(*self.schema.names)
-        return max([through, *batches]), without_keys(base, log, self.keys).unionByName(last)
+            changed = log.unionByName(contested.withColumn(BATCH, F.lit(through).cast("long")))
+        else:
+            changed = log
+        last = collapse(changed, self.keys, order, self.op_col).select(*self.schema.names)
+        merged = last if through < 0 else without_keys(base, log, self.keys).unionByName(last)
+        return max([through, *batches]), merged
 
     def state(self) -> DataFrame:
         """The table's current rows."""

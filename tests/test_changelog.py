@@ -82,13 +82,13 @@ def test_apply_cases(spark):
         (2, 1, "new", "+U"), (3, 1, None, "-D"), (4, 1, None, "-D"), (4, 2, "back", "+I"), (5, 1, "x", "+U"),
         (5, 2, "x", "-U"), (6, 1, "inserted", "+I"), (7, 1, None, "-D"), (8, 1, None, "+I"),
     ]
-    got = changelog.apply_changes(
-        spark.createDataFrame(target, TARGET), spark.createDataFrame(changes, SCHEMA), ["k"], ["seq"]
-    )
-    assert got.columns == ["k", "v"]
-    assert sorted(map(tuple, got.collect()), key=lambda r: r[0]) == [
-        (1, "kept"), (2, "new"), (4, "back"), (6, "inserted"), (8, None)
-    ]
+    table, rows_in = spark.createDataFrame(target, TARGET), spark.createDataFrame(changes, SCHEMA)
+    settled = changelog.settle(rows_in, ["k"], ["seq"])
+    for got in (changelog.apply_changes(table, rows_in, ["k"], ["seq"]), changelog.apply_settled(table, settled, ["k"])):
+        assert got.columns == ["k", "v"]
+        assert sorted(map(tuple, got.collect()), key=lambda r: r[0]) == [
+            (1, "kept"), (2, "new"), (4, "back"), (6, "inserted"), (8, None)
+        ]
 
 
 def test_target_types_and_order_win(spark):
@@ -128,10 +128,8 @@ def test_a_third_of_all_changes_on_one_key(spark):
         (0 if dice.random() < 0.34 else dice.randrange(1, 400), n, f"v{n}", dice.choice(ops)) for n in range(6000)
     ]
     target = [(k, "t") for k in range(300)]
-    got = changelog.apply_changes(
-        spark.createDataFrame(target, TARGET),
-        spark.createDataFrame(changes, SCHEMA).repartition(8),
-        ["k"],
-        ["seq"],
-    )
-    assert rows(got) == final_state(target, changes)
+    table, rows_in = spark.createDataFrame(target, TARGET), spark.createDataFrame(changes, SCHEMA).repartition(8)
+    assert rows(changelog.apply_changes(table, rows_in, ["k"], ["seq"])) == final_state(target, changes)
+    settled = changelog.settle(rows_in, ["k"], ["seq"])
+    assert settled.count() == len({c[0] for c in changes})
+    assert rows(changelog.apply_settled(table, settled, ["k"])) == final_state(target, changes)
