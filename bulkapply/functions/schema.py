@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -89,11 +90,44 @@ def _table_report(table: str, df: DataFrame) -> DataFrame:
     ).select("table_name", "row_count", "_line.*")
 
 
-def misfit(column: Column, declared: T.DataType) -> Column:
-    """True where a set value cannot be stored as the declared type."""
+# How many bits the whole-number types have.
+WHOLE_BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
+
+
+def _whole_range(data_type: T.DataType) -> tuple[int, int] | None:
+    """Whole numbers the type can hold, lowest and highest."""
+    if isinstance(data_type, T.DecimalType):
+        highest = 10 ** (data_type.precision - data_type.scale) - 1
+        return -highest, highest
+    bits = WHOLE_BITS.get(data_type.simpleString())
+    return None if bits is None else (-(2 ** (bits - 1)), 2 ** (bits - 1) - 1)
+
+
+def misfit(column: Column, actual: T.DataType, declared: T.DataType) -> Column:
+    """True where a set value cannot be stored as the declared type.
+
+    Numbers are compared with the range of the type; only values at its very edge, where rounding decides, are cast. A
+    cast that fails costs far more than a comparison, and a bad load can hold many.
+    """
     if isinstance(declared, (T.CharType, T.VarcharType)):
         return column.isNotNull() & (F.char_length(column.cast("string")) > declared.length)
-    return column.isNotNull() & column.try_cast(declared).isNull()
+    by_cast = column.isNotNull() & column.try_cast(declared).isNull()
+    bounds = _whole_range(declared)
+    if bounds is None or not isinstance(actual, T.NumericType):
+        return by_cast
+    lowest, highest = bounds
+    held = _whole_range(actual)
+    if held is not None and held[0] >= lowest and held[1] <= highest and not isinstance(actual, T.DecimalType):
+        return F.lit(False)
+    if held is None:
+        inside = (column > float(lowest)) & (column < float(highest))
+        outside = (column < float(lowest - 1)) | (column > float(highest + 1))
+    else:
+        kind = actual if isinstance(actual, T.DecimalType) else T.DecimalType(20, 0)
+        number = column if isinstance(actual, T.DecimalType) else column.cast(kind)
+        inside = number.between(F.lit(Decimal(lowest)), F.lit(Decimal(highest)))
+        outside = (number <= F.lit(Decimal(lowest - 1))) | (number >= F.lit(Decimal(highest + 1)))
+    return F.when(inside, F.lit(False)).when(outside, F.lit(True)).otherwise(by_cast)
 
 
 def conformance(df: DataFrame, declared: Mapping[str, T.DataType]) -> DataFrame:
@@ -101,5 +135,5 @@ def conformance(df: DataFrame, declared: Mapping[str, T.DataType]) -> DataFrame:
     validate_schema(T.StructType([T.StructField(c, t) for c, t in declared.items()]))
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(misfit(F.col(c), t)).alias(f"{c}_misfits") for c, t in declared.items()],
+        *[F.count_if(misfit(F.col(c), df.schema[c].dataType, t)).alias(f"{c}_misfits") for c, t in declared.items()],
     )

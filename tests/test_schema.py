@@ -61,6 +61,26 @@ def test_conformance(spark):
     assert schema.conformance(df, {"s": T.VarcharType(2)}).first()["s_misfits"] == 1
 
 
+EDGES = [0.0, 0.4, -0.5, 126.9, 127.0, 127.5, 128.0, -128.0, -128.9, -129.0, 999.4, 999.49, 999.5, 999.995, 1000.0, -999.995,
+         9.223372036854775e18, 9.223372036854776e18, -9.223372036854776e18, -9.223372036854778e18, 1e22, 1e23, 1e30,
+         float("nan"), float("inf"), float("-inf"), None]
+ACTUAL = ["double", "float", "bigint", "int", "decimal(10,3)", "decimal(38,2)"]
+DECLARED = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.DecimalType(3, 0), T.DecimalType(5, 2),
+            T.DecimalType(23, 0), T.DecimalType(38, 10), T.FloatType()]
+
+
+@pytest.mark.parametrize("actual", ACTUAL)
+def test_misfits_are_those_of_the_cast(spark, actual):
+    df = spark.createDataFrame([(v,) for v in EDGES], "c double").select(F.col("c").try_cast(actual).alias("c"))
+    kind = df.schema["c"].dataType
+    for declared in DECLARED:
+        got = df.select(
+            "c", schema.misfit(F.col("c"), kind, declared).alias("ranged"),
+            (F.col("c").isNotNull() & F.col("c").try_cast(declared).isNull()).alias("cast"),
+        ).filter("coalesce(ranged, false) <> cast").collect()
+        assert got == [], f"{actual} as {declared}"
+
+
 def test_conversion(spark):
     df = spark.createDataFrame([(1, "2.5", "2024-01-02"), (None, None, None)], "a int, b string, c string")
     got = convert.to_declared(df, {"c": T.DateType(), "b": T.DecimalType(5, 2), "a": T.LongType()})
