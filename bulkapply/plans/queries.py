@@ -73,20 +73,16 @@ def batch_agg_sink(spark, folder):
 # --- keyed ------------------------------------------------------------------------------------------------------------
 
 
-def _last_events(events: DataFrame) -> DataFrame:
-    return keyed.upsert(events.limit(0), events, ["user_id"], EVENT_ORDER)
-
-
 def upsert_last_wins(spark, folder):
     events = load(spark, folder, "events")
     split_at = F.lit(MIDDLE).cast("timestamp_ntz")
-    target = _last_events(events.filter(F.col("ts") < split_at))
+    target = changelog.latest(events.filter(F.col("ts") < split_at), ["user_id"], EVENT_ORDER)
     return keyed.upsert(target, events.filter(F.col("ts") >= split_at), ["user_id"], EVENT_ORDER)
 
 
 def _line_sides(spark, folder):
     lines = load(spark, folder, "lineitem")
-    closed = keyed.upsert(lines.limit(0), lines.filter("l_linestatus = 'F'"), LINE_KEY, ["l_shipdate"])
+    closed = changelog.latest(lines.filter("l_linestatus = 'F'"), LINE_KEY, ["l_shipdate"])
     return closed, lines.filter("l_linestatus = 'O'")
 
 

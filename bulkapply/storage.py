@@ -64,6 +64,11 @@ def committed(spark: SparkSession, parent: str, prefix: str) -> dict[int, str]:
     return {int(p.getName()[len(prefix):]): p.toString() for p in paths}
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _hadoop(spark, path)
+    return fs.exists(jpath)
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, jpath = _hadoop(spark, path)
     return fs.delete(jpath, True)

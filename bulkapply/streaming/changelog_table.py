@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from bulkapply.functions.schema import validate_schema
 from bulkapply.operators.changelog import OP, check_keys, collapse, is_upsert, without_keys
 from bulkapply.options import SinkOptions
-from bulkapply.storage import committed, delete
+from bulkapply.storage import committed, delete, exists
 from bulkapply.streaming.sink import apply_stream
 
 BATCH = "batch_id"
@@ -69,8 +69,15 @@ class ChangelogTable:
     ) -> StreamingQuery:
         """Start the stream. Its checkpoint lies inside the table, because batch ids mean nothing without it."""
         checkpoint = f"{self.path}/checkpoint"
+        if self._written() and not exists(self.spark, checkpoint):
+            raise ValueError(f"{self.path} holds batches but not the checkpoint they were numbered by")
         return apply_stream(stream, self.write_batch, checkpoint, options, output_mode, available_now)
 
+    def _written(self) -> bool:
+        return bool(
+            committed(self.spark, f"{self.path}/log", _LOG) or committed(self.spark, f"{self.path}/base", _BASE)
+        )
+
     def _base(self) -> tuple[int, DataFrame]:
         bases = committed(self.spark, f"{self.path}/base", _BASE)
         if not bases:

@@ -118,6 +118,14 @@ def test_compaction_and_clearing(spark, folder):
     assert table.remove_replaced() == 2
 
 
+def test_batches_without_their_checkpoint_are_refused(spark, folder):
+    table = table_at(spark, folder)
+    table.write_batch(spark.createDataFrame([(1, 1, "a", "+I")], SCHEMA), 0)
+    land(spark, [(2, 1, "b", "+I")], f"{folder}/in")
+    with pytest.raises(ValueError, match="checkpoint"):
+        feed(spark, folder, table)
+
+
 def test_table_rules(spark, folder):
     schema = spark.createDataFrame([], SCHEMA).schema
     with pytest.raises(ValueError, match="sequence"):
