@@ -5,7 +5,9 @@ The JDBC driver of the target must be on the driver's and the executors' class p
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import suppress
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -89,27 +91,33 @@ def execute_with(spark: SparkSession, target: JdbcTarget) -> Execute:
     return execute
 
 
-def stage_name(spec: TargetSpec, batch_id: int | str) -> str:
-    return f"{spec.table}_stage_{batch_id}"
+def stage_name(spec: TargetSpec, batch_id: int | str | None) -> str:
+    """One stage per batch; a batch without an id of its own gets a name no other job uses."""
+    return f"{spec.table}_stage_{uuid.uuid4().hex[:16] if batch_id is None else batch_id}"
 
 
 def _through_stage(
     rows: DataFrame, stage: str, statements: Sequence[str], options: SinkOptions, save: Save, execute: Execute
 ) -> None:
-    """Fill a stage table, then change the target in one transaction. A failed attempt left only the stage behind."""
+    """Fill a stage table, then change the target in one transaction. A failed attempt leaves the target as it was."""
 
     def attempt() -> None:
         save(rows, stage)
         execute([*statements, sql.drop(stage)])
 
-    with_retry(attempt, options)
+    try:
+        with_retry(attempt, options)
+    except Exception:
+        with suppress(Exception):
+            execute([sql.drop(stage)])
+        raise
 
 
 def append_rows(
     df: DataFrame,
     target: JdbcTarget,
     options: SinkOptions = SinkOptions(),
-    batch_id: int | str = 0,
+    batch_id: int | str | None = None,
     save: Save | None = None,
     execute: Execute | None = None,
 ) -> None:
@@ -135,7 +143,7 @@ def apply_rows(
     target: JdbcTarget,
     sequence_by: Sequence[str],
     options: SinkOptions = SinkOptions(),
-    batch_id: int | str = 0,
+    batch_id: int | str | None = None,
     op_col: str = OP,
     save: Save | None = None,
     execute: Execute | None = None,
@@ -162,7 +170,7 @@ def run_custom(
     statement: str,
     bindings: Mapping[str, Column],
     options: SinkOptions = SinkOptions(),
-    batch_id: int | str = 0,
+    batch_id: int | str | None = None,
     save: Save | None = None,
     execute: Execute | None = None,
 ) -> None:

@@ -6,6 +6,8 @@ The declaration decides the path: a key means upsert and delete by key, no key m
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
@@ -67,16 +69,19 @@ class TableSink:
         return to_declared(df, declared | extra)
 
     def write(
-        self, df: DataFrame, sequence_by: Sequence[str] = (), op_col: str | None = None, batch_id: int | str = 0
+        self, df: DataFrame, sequence_by: Sequence[str] = (), op_col: str | None = None, batch_id: str | None = None
     ) -> None:
-        """Write one batch. With a key, rows without a kind column count as writes."""
+        """Write one batch. With a key, rows without a kind column count as writes.
+
+        ``batch_id`` names the stage table; the same id again replaces what a failed attempt left.
+        """
         spec = self.target.spec
         if not spec.keys:
             if op_col is not None:
                 raise ChangelogError(f"{spec.table} declares no key, so it takes no updates and deletes")
             rows = self._typed(df, ())
             if self.options.bulk:
-                copy_load(rows, spec, self.connect, str(batch_id), self.options)
+                copy_load(rows, spec, self.connect, batch_id or uuid.uuid4().hex[:16], self.options)
             else:
                 jdbc.append_rows(rows, self.target, self.options, batch_id, self.save, self.execute)
             return
@@ -98,9 +103,10 @@ class TableSink:
         if not self.target.spec.keys and (op_col is not None or output_mode != "append"):
             raise ChangelogError(f"{self.target.spec.table} declares no key, so it takes no updates and deletes")
         once = replace(self.options, max_retries=0)
+        feed = f"{zlib.crc32(checkpoint.encode()):08x}"
         return apply_stream(
             stream,
-            lambda rows, batch_id: self.write(rows, sequence_by, op_col, batch_id),
+            lambda rows, batch_id: self.write(rows, sequence_by, op_col, f"{feed}_{batch_id}"),
             checkpoint,
             once,
             output_mode,

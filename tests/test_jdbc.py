@@ -95,7 +95,7 @@ def test_retries_run_out(spark, books):
     db.broken = 9
     with pytest.raises(OSError):
         jdbc.append_rows(books, books_target(), QUICK, 1, db.save, db.execute)
-    assert db.saves == 3 and db.rows("books") == []
+    assert db.saves == 3 and db.rows("books") == [] and db.tables() == ["books"]
 
 
 def test_without_retries_rows_go_straight_in(spark, books):
@@ -167,5 +167,11 @@ def test_bulk_with_key_is_refused(spark, books):
         jdbc.apply_rows(books, books_target(["id"]), ["id"], SinkOptions(bulk=True))
 
 
+def test_stages_do_not_meet():
+    spec = TargetSpec("t", ["a"])
+    assert jdbc.stage_name(spec, 7) == "t_stage_7"
+    assert jdbc.stage_name(spec, None) != jdbc.stage_name(spec, None)
+
+
 def test_stage_columns(books):
     assert jdbc.column_types(books) == "id INTEGER, title TEXT, author TEXT, price DOUBLE PRECISION, qty INTEGER"
