@@ -92,6 +92,12 @@ def _table_report(table: str, df: DataFrame) -> DataFrame:
 
 # How many bits the whole-number types have.
 WHOLE_BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
+# Texts that a cast takes, blanks and control characters around them aside.
+_AROUND = r"[\x00-\x20\x7f]*"
+TEXT_FORMS = {
+    "whole": rf"\A{_AROUND}[+-]?[0-9]+{_AROUND}\z",
+    "boolean": rf"(?i)\A{_AROUND}(?:t|true|y|yes|1|f|false|n|no|0){_AROUND}\z",
+}
 
 
 def _whole_range(data_type: T.DataType) -> tuple[int, int] | None:
@@ -106,12 +112,16 @@ def _whole_range(data_type: T.DataType) -> tuple[int, int] | None:
 def misfit(column: Column, actual: T.DataType, declared: T.DataType) -> Column:
     """True where a set value cannot be stored as the declared type.
 
-    Numbers are compared with the range of the type; only values at its very edge, where rounding decides, are cast. A
-    cast that fails costs far more than a comparison, and a bad load can hold many.
+    Numbers are compared with the range of the type; only values at its very edge, where rounding decides, are cast.
+    Texts are first matched with the form the type is written in. A cast that fails costs far more than a comparison,
+    and a bad load can hold many.
     """
     if isinstance(declared, (T.CharType, T.VarcharType)):
         return column.isNotNull() & (F.char_length(column.cast("string")) > declared.length)
     by_cast = column.isNotNull() & column.try_cast(declared).isNull()
+    form = "whole" if declared.simpleString() in WHOLE_BITS else declared.simpleString()
+    if isinstance(actual, T.StringType) and form in TEXT_FORMS:
+        return F.when(~column.rlike(TEXT_FORMS[form]), F.lit(True)).otherwise(by_cast)
     bounds = _whole_range(declared)
     if bounds is None or not isinstance(actual, T.NumericType):
         return by_cast

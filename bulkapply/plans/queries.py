@@ -338,18 +338,23 @@ def schema_conformance(spark, folder):
 # --- streams ----------------------------------------------------------------------------------------------------------
 
 
+LANDED_FILES = 16
+MOST_FILES_PER_BATCH = 1024
+
+
 def _stream(spark, folder, table):
-    """The table as a stream of several micro-batches, each with a file for every core.
+    """The table as a stream: its rows landed as files, a quarter of them per micro-batch, 1,024 at most.
 
     A large table already comes in enough pieces and is written as it is; only a small one is dealt out further.
     """
     rows = load(spark, folder, table)
     path = scratch_path(spark, f"{table}_files")
-    cores = spark.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < 4 * cores:
-        rows = rows.repartition(4 * cores)
+    files = max(rows.rdd.getNumPartitions(), LANDED_FILES)
+    if files == LANDED_FILES:
+        rows = rows.repartition(files)
     rows.write.parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", cores).parquet(path)
+    per_batch = min(files // 4, MOST_FILES_PER_BATCH)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
 
 
 def stream_append(spark, folder):

@@ -81,6 +81,21 @@ def test_misfits_are_those_of_the_cast(spark, actual):
         assert got == [], f"{actual} as {declared}"
 
 
+TEXTS = ["1", "+1", "-1", " 12 ", "\t7\n", "\x007", "7\x7f", "1.0", "1e3", "", " ", "+", "--1", "1 2", "128", "32768", "2147483648",
+         "9223372036854775808", "abc", "0x1", "1L", "\u0661", "\u00a01", "t", "TRUE", "yes", "No", "0", "f ", "tru", "on", "y\n", None]
+
+
+def test_text_misfits_are_those_of_the_cast(spark):
+    df = spark.createDataFrame([(v,) for v in TEXTS], "c string")
+    kinds = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.BooleanType(), T.DoubleType(), T.DecimalType(5, 2)]
+    for declared in kinds:
+        got = df.select(
+            "c", schema.misfit(F.col("c"), T.StringType(), declared).alias("matched"),
+            (F.col("c").isNotNull() & F.col("c").try_cast(declared).isNull()).alias("cast"),
+        ).filter("coalesce(matched, false) <> cast").collect()
+        assert got == [], str(declared)
+
+
 def test_conversion(spark):
     df = spark.createDataFrame([(1, "2.5", "2024-01-02"), (None, None, None)], "a int, b string, c string")
     got = convert.to_declared(df, {"c": T.DateType(), "b": T.DecimalType(5, 2), "a": T.LongType()})
