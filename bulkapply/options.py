@@ -64,6 +64,7 @@ class SinkOptions:
     ``interval=None`` means as fast as batches arrive; ``parallelism=None`` leaves the number of writers to Spark.
     """
 
+    # The defaults users of the options rely on.
     max_rows: int = 1000
     interval: float | None = 5.0
     max_retries: int = 3

@@ -371,9 +371,10 @@ def stream_copy_files(spark, folder):
     return copyfiles.read_copy_files(spark, f"{path}/data", documents.schema).select(*documents.columns)
 
 
-def _fed(spark, label, stream, keys, order, arrival_order, output_mode="append"):
+def _fed(spark, label, stream, keys, order, arrival_order, output_mode="append", compact_every=None):
     table = ChangelogTable(spark, scratch_path(spark, label), stream.schema, keys, order, arrival_order)
-    table.feed(stream, output_mode=output_mode, available_now=True).awaitTermination()
+    query = table.feed(stream, output_mode=output_mode, available_now=True, compact_every=compact_every)
+    query.awaitTermination()
     return table
 
 
@@ -390,16 +391,8 @@ def stream_changelog(spark, folder):
 def stream_compacted(spark, folder):
     """The same changelog, with the batches so far merged into a new base after every second batch."""
     changes = line_changes(_stream(spark, folder, "lineitem"))
-    path = scratch_path(spark, "stream_compacted")
-    table = ChangelogTable(spark, path, changes.schema, LINE_KEY, ["l_shipdate"], False)
-
-    def write_and_compact(rows: DataFrame, batch_id: int) -> None:
-        table.write_batch(rows, batch_id)
-        if batch_id % 2:
-            table.compact()
-            table.remove_replaced()
-
-    sink.apply_stream(changes, write_and_compact, f"{path}/checkpoint", available_now=True).awaitTermination()
+    table = _fed(spark, "stream_compacted", changes, LINE_KEY, ["l_shipdate"], False, compact_every=2)
+    table.remove_replaced()
     return table.state()
 
 

@@ -66,12 +66,24 @@ class ChangelogTable:
         options: SinkOptions = SinkOptions(),
         output_mode: str = "append",
         available_now: bool = False,
+        compact_every: int | None = None,
     ) -> StreamingQuery:
-        """Start the stream. Its checkpoint lies inside the table, because batch ids mean nothing without it."""
+        """Start the stream. Its checkpoint lies inside the table, because batch ids mean nothing without it.
+
+        With ``compact_every`` the stream compacts after that many batches, which bounds what a reader merges.
+        """
+        if compact_every is not None and compact_every <= 0:
+            raise ValueError("compact_every must be positive")
         checkpoint = f"{self.path}/checkpoint"
         if self._written() and not exists(self.spark, checkpoint):
             raise ValueError(f"{self.path} holds batches but not the checkpoint they were numbered by")
-        return apply_stream(stream, self.write_batch, checkpoint, options, output_mode, available_now)
+
+        def flush(rows: DataFrame, batch_id: int) -> None:
+            self.write_batch(rows, batch_id)
+            if compact_every is not None and (batch_id + 1) % compact_every == 0:
+                self.compact()
+
+        return apply_stream(stream, flush, checkpoint, options, output_mode, available_now)
 
     def _written(self) -> bool:
         return bool(

@@ -48,9 +48,9 @@ class Warehouse:
 
 
 BOOKS = [
-    (1001, "Java public for dummies", "Tan Ah Teck", 11.11, 11),
-    (1009, "A Teaspoon of Java 1.7", "Kevin Jones", 99.99, 99),
-    (1010, "A Teaspoon of Java 1.8", "Kevin Jones", None, 1010),
+    (1, "Harbour lights", "Ines Ode", 12.5, 4),
+    (2, "Slow rivers", "Marek Toll", 7.25, 90),
+    (3, "Slow rivers II", "Marek Toll", None, 1),
 ]
 BOOK_DDL = "CREATE TABLE books (id INTEGER PRIMARY KEY, title VARCHAR, author VARCHAR, price DOUBLE, qty INTEGER)"
 BOOK_COLUMNS = ["id", "title", "author", "price", "qty"]
@@ -151,7 +151,7 @@ def test_custom_statement(spark, books):
         {"book": F.col("id"), "name": F.col("title"), "pieces": F.col("qty")},
         QUICK, 1, db.save, db.execute,
     )
-    assert db.rows("books")[0] == (1001, "JAVA PUBLIC FOR DUMMIES", None, None, 22)
+    assert db.rows("books")[0] == (1, "HARBOUR LIGHTS", None, None, 8)
     with pytest.raises(ValueError, match="batch"):
         jdbc.run_custom(books, books_target(), "DELETE FROM books", {"a": F.col("id")})
 

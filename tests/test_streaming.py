@@ -118,6 +118,20 @@ def test_compaction_and_clearing(spark, folder):
     assert table.remove_replaced() == 2
 
 
+def test_stream_that_compacts_itself(spark, folder):
+    table = table_at(spark, folder)
+    for n in range(5):
+        land(spark, [(n, n, f"v{n}", "+I"), (0, n, None if n == 4 else f"w{n}", "-D" if n == 4 else "+U")], f"{folder}/in")
+    table.feed(stream_of(spark, f"{folder}/in"), available_now=True, compact_every=2).awaitTermination()
+    assert sorted(os.listdir(f"{folder}/table/base")) == ["through=1", "through=3"]
+    expected = [(n, f"v{n}") for n in range(1, 5)]
+    assert state(table) == expected
+    assert table.remove_replaced() == 4
+    assert state(table) == expected
+    with pytest.raises(ValueError, match="positive"):
+        table.feed(stream_of(spark, f"{folder}/in"), compact_every=0)
+
+
 def test_batches_without_their_checkpoint_are_refused(spark, folder):
     table = table_at(spark, folder)
     table.write_batch(spark.createDataFrame([(1, 1, "a", "+I")], SCHEMA), 0)
