@@ -2,9 +2,11 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import assert_same, connection
+from bulkapply.plans import oracles
+from bulkapply.plans import queries as registered
 from conftest import CHECKED
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = registered.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,6 +16,8 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
