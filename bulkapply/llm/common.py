@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 # A key is hot when it holds more than this share of the rows, so there are at most a thousand of them.
 HOT_SHARE = 0.001
+# Lists of at most this many keys (16 bytes each) are broadcast; longer ones are joined by a shuffle.
+BROADCAST_KEYS = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,3 +49,33 @@ def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str, how: s
     on_hot = known.where("_is_hot").drop("_is_hot").join(F.broadcast(hot.drop(count)), key, "inner")
     on_cold = known.where("_is_hot is null").drop("_is_hot").join(cold.drop(count), key, how)
     return on_hot.unionByName(on_cold)
+
+
+def restrict(rows: DataFrame, keys: DataFrame, on: list[str], how: str) -> DataFrame:
+    """``rows`` with (``left_semi``) or without (``left_anti``) a match in ``keys``, a written table; nulls match nulls.
+
+    Texts stay where they are as long as the keys are few enough to broadcast, which is counted first.
+    """
+    keys = keys.select(*(F.col(c).alias(f"_key_{i}") for i, c in enumerate(on)))
+    same = F.lit(True)
+    for i, c in enumerate(on):
+        same = same & rows[c].eqNullSafe(keys[f"_key_{i}"])
+    few = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    return rows.join(F.broadcast(keys) if few else keys, same, how)
+
+
+def in_arrow(rows: DataFrame, function, schema: str) -> DataFrame:
+    """Stream the partitions of ``rows`` through ``function``, an iterator of Arrow batches to an iterator of lists of columns."""
+    from pyspark.sql.types import StructType
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for columns in function(batches):
+            yield pa.RecordBatch.from_arrays(
+                [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    return rows.mapInArrow(run, schema)

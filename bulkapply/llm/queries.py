@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bulkapply.llm import quality_rules
+from bulkapply.llm import near_dups, quality_rules
 from bulkapply.llm.common import table
 
 
+def op9_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of 4-word shingles at 80 %, as this query's contract says; the operator's own default is five words."""
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
