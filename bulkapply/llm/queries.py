@@ -6,10 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bulkapply.llm import near_dups, quality_rules
+from bulkapply.llm import lang_kernel, near_dups, ppm, quality_knn, quality_rules
 from bulkapply.llm.common import table
 
 
+def op5_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_knn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
+def op8_lang_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_kernel.classify(table(spark, sf_dir, "documents"))
+
+
 def op9_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of 4-word shingles at 80 %, as this query's contract says; the operator's own default is five words."""
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
