@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 from bulkapply.llm.common import held_out, in_arrow
 from bulkapply.storage import materialize
 
-ORDER = 4
-CONTEXTS = {2: 16_000, 3: 40_000, 4: 60_000}
+ORDER = 5
+SHORT = 3
+CONTEXTS = {2: 16_000, 3: 40_000, 4: 60_000, 5: 60_000}
 FREQUENT = 200_000
 FOLDS, HELD_OUT = 10, 0
 ADDED = 0.1
@@ -133,7 +134,8 @@ class Trie:
     """The kept contexts with the probabilities of all symbols, as tables.
 
     ``symbol`` maps bytes to columns; bytes that no training text has share the last column. ``short`` finds the row of the
-    longest kept context among the last three bytes, ``long`` extends that row by the byte before them.
+    longest kept context among the last ``SHORT`` bytes, and each of ``steps`` extends a row of full length by one byte more.
+    A context counts as kept only if its suffixes are.
     """
 
     def __init__(self, orders: list[tuple[np.ndarray, np.ndarray]]):
@@ -145,48 +147,61 @@ class Trie:
         self.symbol[known] = np.arange(len(known))
         unseen = 256 - len(known)
         uniform = np.r_[np.full(len(known), 1 / 256), unseen / 256]
-        table = [self._row(uniform[None, :], np.zeros(1, np.int64), *self._grouped(numbers, counts))]
-        # The row of each suffix of up to three bytes, all bytes in columns' numbers.
-        rows, short = 1, np.zeros(1, np.int32)
-        self.long = None
+        table = [self._row(uniform[None, :], np.zeros(1, np.int64), np.zeros(1, np.int64), numbers, counts)]
+        # The row of each suffix of up to three bytes, given by the columns of its bytes; then one step per longer order.
+        rows, short, self.steps = 1, np.zeros(1, np.int32), []
         for k in range(1, ORDER + 1):
-            context, numbers, counts = self._grouped(*orders[k])
+            numbers, counts = orders[k]
+            context = np.unique(numbers >> 8)
             columns = [self.symbol[context >> 8 * (k - 1 - i) & 255] for i in range(k)]
-            place = np.zeros(len(context), np.int64)
-            for c in columns[-min(k, ORDER - 1):]:
-                place = place * width + c
-            if k < ORDER:
+            own = np.arange(rows, rows + len(context), dtype=np.int32)
+            if k <= SHORT:
+                place = np.zeros(len(context), np.int64)
+                for c in columns:
+                    place = place * width + c
                 parent = short[place % width ** (k - 1)]
                 short = np.tile(short, width)
-                short[place] = rows + np.arange(len(context))
+                short[place] = own
             else:
-                parent = short[place]
-                self.long = np.repeat(np.arange(rows, dtype=np.int32)[:, None], width, axis=1)
-                self.long[parent, columns[0]] = rows + np.arange(len(context))
-            every = np.concatenate(table)
-            table.append(self._row(every, parent, context, numbers, counts))
+                parent = self._walk(short, columns[1:])
+                first = begun
+                grown = np.full((rows - first, width), -1, np.int32)
+                fits = parent >= first
+                context, columns, parent = context[fits], [c[fits] for c in columns], parent[fits]
+                kept = np.isin(numbers >> 8, context)
+                numbers, counts, own = numbers[kept], counts[kept], own[: len(context)]
+                grown[parent - first, columns[0]] = own
+                self.steps.append((first, grown))
+            begun = rows
+            table.append(self._row(np.concatenate(table), parent, context, numbers, counts))
             rows += len(context)
         self.short = short
         probability = np.concatenate(table)
         probability[:, -1] /= max(1, unseen)
         self.log10 = np.log10(np.maximum(probability, 1e-300)).astype(np.float32)
 
-    @staticmethod
-    def _grouped(numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return np.unique(numbers >> 8), numbers, counts
+    def _walk(self, short: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
+        """The row of the longest kept suffix of the contexts whose bytes have these columns, oldest byte first."""
+        place = columns[-SHORT]
+        for c in columns[len(columns) - SHORT + 1:]:
+            place = place * self.width + c
+        row = short[place]
+        for (first, grown), c in zip(self.steps, columns[-SHORT - 1::-1]):
+            can = row >= first
+            further = grown[np.where(can, row - first, 0), c] if len(grown) else np.full(len(row), -1, np.int32)
+            row = np.where(can & (further >= 0), further, row)
+        return row
 
     def _row(self, longer: np.ndarray, parent: np.ndarray, context: np.ndarray, numbers: np.ndarray, counts: np.ndarray):
         """Probabilities for each context: its own symbols by count, the escape spread over the others as its parent has them."""
-        if not len(context):
-            return longer[:1] if len(longer) == 1 and not len(parent) == 0 else longer[:0]
         out = np.zeros((len(context), self.width))
         at = np.searchsorted(context, numbers >> 8)
         out[at, self.symbol[numbers & 255]] = counts
         total, kinds = out.sum(axis=1, keepdims=True), (out > 0).sum(axis=1, keepdims=True)
         rest = np.where(out > 0, 0.0, longer[parent])
         left = rest.sum(axis=1, keepdims=True)
-        escape = np.where(left > 0, kinds / (total + kinds), 0.0)
-        return out * ((1.0 - escape) / total) + rest * (escape / np.maximum(left, 1e-300))
+        escape = np.where(total == 0, 1.0, np.where(left > 0, kinds / np.maximum(total + kinds, 1), 0.0))
+        return out * ((1.0 - escape) / np.maximum(total, 1)) + rest * (escape / np.maximum(left, 1e-300))
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         """The log10 probability of each text with its end."""
@@ -195,11 +210,8 @@ class Trie:
             stream, starts = _stream(block)
             column = self.symbol[stream]
             n = len(column) - ORDER
-            place = column[1 : n + 1]
-            for i in range(2, ORDER):
-                place = place * self.width + column[i : n + i]
-            row = self.long.reshape(-1)[self.short[place].astype(np.int64) * self.width + column[:n]]
-            each = self.log10.reshape(-1)[row.astype(np.int64) * self.width + column[ORDER:]].astype(np.float64)
+            row = self._walk(self.short, [column[i : n + i] for i in range(ORDER)])
+            each = self.log10[row, column[ORDER:]].astype(np.float64)
             for i in range(1, ORDER):
                 each[starts[1:] - ORDER - i] = 0.0
             out.append(np.add.reduceat(each, starts - ORDER))
@@ -225,13 +237,7 @@ def train(counts: DataFrame) -> Trie:
         numbers, n = found.column(0).to_numpy(), found.column(1).to_numpy()
         order = np.argsort(numbers)
         orders.append((numbers[order], n[order]))
-    orders = orders[::-1]
-    # A longest context needs its suffix.
-    suffixes = np.unique(orders[ORDER - 1][0] >> 8)
-    numbers, n = orders[ORDER]
-    has = np.isin(numbers >> 8 & (1 << 8 * (ORDER - 1)) - 1, suffixes)
-    orders[ORDER] = numbers[has], n[has]
-    return Trie(orders)
+    return Trie(orders[::-1])
 
 
 def score(docs: DataFrame) -> DataFrame:
