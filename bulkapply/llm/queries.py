@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bulkapply.llm import lang_kernel, near_dups, ppm, quality_knn, quality_rules
+from bulkapply.llm import decontaminate, lang_kernel, near_dups, ppm, quality_knn, quality_rules
 from bulkapply.llm.common import table
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "start")
+
+
 def op5_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_knn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
