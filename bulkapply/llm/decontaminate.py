@@ -62,8 +62,8 @@ def _block(fingerprint: Column, block: Column) -> Column:
 def _windows(docs: DataFrame, of_items: DataFrame, n_shingles: int) -> DataFrame:
     """The item-sized windows that hold a shingle of an item where the item has it, each once."""
     texts = _shingles(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), "text")
-    texts = texts.where(F.size("shingles") > 0)
-    each = texts.select("doc_id", "text_hash", "shingles", F.posexplode("shingles").alias("at", "shingle"))
+    # The outer form: for the plain one Spark would test the size of the array below, making the words anew for each shingle.
+    each = texts.select("doc_id", "text_hash", "shingles", F.posexplode_outer("shingles").alias("at", "shingle"))
     n_blocks = -(-n_shingles // BROADCAST_SHINGLES) or 1
 
     def found(block: int) -> DataFrame:
@@ -89,8 +89,9 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``start`` counts words from the beginning of the text and is negative if the window begins before it.
     """
-    items = _shingles(benchmark.select("item_id", "text").where("item_id is not null"), "text").where(F.size("shingles") > 0)
+    items = _shingles(benchmark.select("item_id", "text").where("item_id is not null"), "text")
     items = materialize(items.distinct().withColumn("item", F.xxhash64("item_id", "shingles")), "items")
+    items = items.where(F.size("shingles") > 0)
     placed = items.select("item", F.size("shingles").alias("m"), F.posexplode("shingles").alias("place", "shingle"))
     places = materialize(placed.select("shingle", "place", "m").distinct(), "places")
     n_items = items.count()
