@@ -5,7 +5,7 @@ its own (byte 0). A context's symbols get c / (C + q), the escape q / (C + q), w
 what escapes goes to the next shorter context without the symbols already offered (exclusion). A pretrained trie gives
 fixed probabilities, so each context's whole row of symbols is worked out once, and scoring a text is three table
 look-ups per byte. The trie keeps all contexts of one byte and, of longer ones, the ``CONTEXTS`` most frequent per
-order, and is broadcast: at most 250 megabytes if all 256 bytes occur, some 60 for texts of one script. A context that is not
+order, and is broadcast: at most 240 megabytes if all 256 bytes occur, some 100 for texts of a few scripts. A context that is not
 kept is served by its longest kept suffix.
 
 The word model takes the counts of all words. The ``FREQUENT`` most frequent are broadcast; the other words of a text meet their
@@ -30,13 +30,14 @@ from bulkapply.storage import materialize
 
 ORDER = 5
 SHORT = 3
-CONTEXTS = {2: 16_000, 3: 40_000, 4: 60_000, 5: 60_000}
-FREQUENT = 200_000
+CONTEXTS = {2: 16_000, 3: 32_000, 4: 40_000, 5: 40_000}
+FREQUENT = 100_000
 FOLDS, HELD_OUT = 10, 0
 ADDED = 0.1
 _END = b""
 _PAD = bytes(ORDER)
 _CHUNK = 1 << 20
+_ROWS = 4096
 _WORDS_AT_ONCE = 400_000
 _GRAMS_AT_ONCE = 3_000_000
 
@@ -147,7 +148,11 @@ class Trie:
         self.symbol[known] = np.arange(len(known))
         unseen = 256 - len(known)
         uniform = np.r_[np.full(len(known), 1 / 256), unseen / 256]
-        table = [self._row(uniform[None, :], np.zeros(1, np.int64), np.zeros(1, np.int64), numbers, counts)]
+        # Rows of probabilities, in order; filled block by block, as the driver builds them.
+        size = 1 + sum(len(np.unique(numbers >> 8)) for numbers, _ in orders[1:])
+        self.log10 = np.zeros((size, width), np.float32)
+        self.log10[0] = uniform
+        self._fill(0, np.zeros(1, np.int64), np.zeros(1, np.int64), numbers, counts)
         # The row of each suffix of up to three bytes, given by the columns of its bytes; then one step per longer order.
         rows, short, self.steps = 1, np.zeros(1, np.int32), []
         for k in range(1, ORDER + 1):
@@ -173,12 +178,12 @@ class Trie:
                 grown[parent - first, columns[0]] = own
                 self.steps.append((first, grown))
             begun = rows
-            table.append(self._row(np.concatenate(table), parent, context, numbers, counts))
+            self._fill(rows, parent, context, numbers, counts)
             rows += len(context)
         self.short = short
-        probability = np.concatenate(table)
-        probability[:, -1] /= max(1, unseen)
-        self.log10 = np.log10(np.maximum(probability, 1e-300)).astype(np.float32)
+        self.log10[:, -1] /= max(1, unseen)
+        np.maximum(self.log10, 1e-30, out=self.log10)
+        np.log10(self.log10, out=self.log10)
 
     def _walk(self, short: np.ndarray, columns: list[np.ndarray]) -> np.ndarray:
         """The row of the longest kept suffix of the contexts whose bytes have these columns, oldest byte first."""
@@ -192,16 +197,20 @@ class Trie:
             row = np.where(can & (further >= 0), further, row)
         return row
 
-    def _row(self, longer: np.ndarray, parent: np.ndarray, context: np.ndarray, numbers: np.ndarray, counts: np.ndarray):
-        """Probabilities for each context: its own symbols by count, the escape spread over the others as its parent has them."""
-        out = np.zeros((len(context), self.width))
-        at = np.searchsorted(context, numbers >> 8)
-        out[at, self.symbol[numbers & 255]] = counts
-        total, kinds = out.sum(axis=1, keepdims=True), (out > 0).sum(axis=1, keepdims=True)
-        rest = np.where(out > 0, 0.0, longer[parent])
-        left = rest.sum(axis=1, keepdims=True)
-        escape = np.where(total == 0, 1.0, np.where(left > 0, kinds / np.maximum(total + kinds, 1), 0.0))
-        return out * ((1.0 - escape) / np.maximum(total, 1)) + rest * (escape / np.maximum(left, 1e-300))
+    def _fill(self, first: int, parent: np.ndarray, context: np.ndarray, numbers: np.ndarray, counts: np.ndarray) -> None:
+        """Rows from ``first`` on: each context's own symbols by count, the escape spread over the others as its parent has them."""
+        at, column = np.searchsorted(context, numbers >> 8), self.symbol[numbers & 255]
+        for begin in range(0, len(context), _ROWS):
+            end = min(begin + _ROWS, len(context))
+            mine = slice(*np.searchsorted(at, [begin, end]))
+            own = np.zeros((end - begin, self.width))
+            own[at[mine] - begin, column[mine]] = counts[mine]
+            total, kinds = own.sum(axis=1, keepdims=True), (own > 0).sum(axis=1, keepdims=True)
+            rest = np.where(own > 0, 0.0, self.log10[parent[begin:end]])
+            left = rest.sum(axis=1, keepdims=True)
+            escape = np.where(total == 0, 1.0, np.where(left > 0, kinds / np.maximum(total + kinds, 1), 0.0))
+            self.log10[first + begin : first + end] = own * ((1.0 - escape) / np.maximum(total, 1)) + rest * (
+                escape / np.maximum(left, 1e-300))
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         """The log10 probability of each text with its end."""
