@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bulkapply.llm import decontaminate, lang_kernel, near_dups, ppm, quality_knn, quality_rules
+from bulkapply.llm import decontaminate, lang_kernel, mixing, near_dups, ppm, quality_knn, quality_rules
 from bulkapply.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op5_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_knn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(table(spark, sf_dir, "documents"))
 
