@@ -2,6 +2,29 @@
 
 from __future__ import annotations
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+URL_FILTERS = rf"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages
+), parts AS (
+  SELECT page_id, {_LOWER.format("regexp_extract(r, '^[^/?#]*')")} AS host,
+         regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest
+), ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/'
+  END AS rule FROM parts
+)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+       WHEN regexp_matches(host, '^m\.|casino|pills|bets|ads-') THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_url_filters": URL_FILTERS}

@@ -5,11 +5,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bulkapply.llm import decontaminate, lang_kernel, mixing, near_dups, ppm, quality_knn, quality_rules
+from bulkapply.llm import decontaminate, lang_kernel, mixing, near_dups, ppm, quality_knn, quality_rules, url_filters
 from bulkapply.llm.common import table
 
 
+# Hosts whose pages are listed: mobile mirrors and names of spam; and the contract's rules.
+LISTED_HOSTS = r"^m\.|casino|pills|bets|ads-"
+RULES = [
+    url_filters.Rule("allow", "com", "/"), url_filters.Rule("block", "example.com", "/en/"),
+    url_filters.Rule("allow", "www.example.com", "/en/"), url_filters.Rule("block", "net", "/es/"),
+    url_filters.Rule("block", "net", "/fr/"),
+]
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list has every page, by host and path, of the hosts that ``LISTED_HOSTS`` names."""
+    pages = table(spark, sf_dir, "pages")
+    host, path = url_filters.host_and_path(F.col("url"))
+    listed = pages.where(host.rlike(LISTED_HOSTS)).select(F.concat(host, path).alias("key")).distinct()
+    return url_filters.judge(pages, RULES, listed).drop("listed")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "similarity", "start")
