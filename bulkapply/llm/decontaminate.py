@@ -115,8 +115,9 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     entries = entries.select("item", "of_item", "block", _block(F.col("of_item"), F.col("block")).bitwiseXOR(F.col("mask")).alias("value"))
     asked = windows.select("window", "fingerprint", block.alias("block"))
     asked = asked.withColumn("value", _block(F.col("fingerprint"), F.col("block")))
+    # Sorted, not broadcast: the entries grow with the benchmark.
     near = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("of_item"))) <= RADIUS
-    candidates = materialize(asked.join(entries, ["block", "value"]).where(near).select("window", "item").distinct(), "candidates")
+    candidates = materialize(asked.join(entries.hint("merge"), ["block", "value"]).where(near).select("window", "item").distinct(), "candidates")
 
     # Weighted Jaccard similarity: common weight against both weights less the common one.
     wanted = windows.join(candidates.select("window").distinct(), "window", "left_semi")
