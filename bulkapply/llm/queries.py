@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bulkapply.llm import decontaminate, lang_kernel, mixing, near_dups, ppm, quality_knn, quality_rules, url_filters
+from bulkapply.llm import decontaminate, lang_kernel, mixing, near_dups, ppm, quality_knn, quality_rules, url_filters, warc
 from bulkapply.llm.common import table
+from bulkapply.storage import scratch_path
 
 
 # Hosts whose pages are listed: mobile mirrors and names of spam; and the contract's rules.
@@ -28,6 +29,14 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(pages, RULES, listed).drop("listed")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as monolithic archives, rewritten with a member per record, and read back."""
+    whole, by_record = scratch_path(spark, "monolithic"), scratch_path(spark, "warc")
+    warc.write_monolithic(warc.records(table(spark, sf_dir, "pages")), whole)
+    warc.normalise(spark, whole, by_record)
+    return warc.payloads(warc.read(spark, f"{by_record}/kind=archive"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "similarity", "start")
