@@ -7,11 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bulkapply.llm import decontaminate, lang_kernel, mixing, near_dups, ppm, quality_knn, quality_rules, url_filters, warc
+from bulkapply.llm import decontaminate, lang_kernel, mixing, near_dups, ppm, quality_knn, quality_rules, token_counts, url_filters, warc
 from bulkapply.llm.common import table
 from bulkapply.storage import scratch_path
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document before and after personal data is taken out, recounted where it was."""
+    counted = token_counts.recount(table(spark, sf_dir, "documents"), token_counts.redactions(F.col("text")))
+    return counted.select("doc_id", "n_edits", "n_chars", "chars_encoded", "tokens_before", "tokens_after")
+
+
 # Hosts whose pages are listed: mobile mirrors and names of spam; and the contract's rules.
 LISTED_HOSTS = r"^m\.|casino|pills|bets|ads-"
 RULES = [
