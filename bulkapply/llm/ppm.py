@@ -131,6 +131,21 @@ def counted(docs: DataFrame) -> DataFrame:
     return materialize(parts.groupBy("word", "gram").agg(F.sum("n").alias("n")), "counted")
 
 
+def _frequent(rows: DataFrame, limit: int) -> DataFrame:
+    """The rows of largest ``n``, at most ``limit``: those above the smallest step of a sixteenth of an octave that fits.
+
+    The driver sees how many rows each step has, some hundreds of numbers.
+    """
+    step = F.floor(16 * F.log2("n"))
+    threshold, kept = None, 0
+    for found in sorted(rows.groupBy(step.alias("step")).count().collect(), reverse=True):
+        kept += found["count"]
+        if kept > limit:
+            break
+        threshold = found["step"]
+    return rows.where(step >= threshold) if threshold is not None else rows.limit(0)
+
+
 class Trie:
     """The kept contexts with the probabilities of all symbols, as tables.
 
@@ -239,8 +254,8 @@ def train(counts: DataFrame) -> Trie:
         kept = level
         if k in CONTEXTS:
             context = F.call_function("shiftright", F.col("gram"), F.lit(8))
-            frequent = level.groupBy(context.alias("context")).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "context")
-            frequent = materialize(frequent.limit(CONTEXTS[k]).select("context"), "contexts")
+            contexts = materialize(level.groupBy(context.alias("context")).agg(F.sum("n").alias("n")), "contexts")
+            frequent = _frequent(contexts, CONTEXTS[k]).select("context")
             kept = level.withColumn("context", context).join(F.broadcast(frequent), "context", "left_semi")
         found = kept.select("gram", "n").toArrow()
         numbers, n = found.column(0).to_numpy(), found.column(1).to_numpy()
@@ -257,7 +272,7 @@ def score(docs: DataFrame) -> DataFrame:
     vocabulary = counts.where("word is not null").select("word", "n")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     floor = math.log10(total + ADDED * (distinct + 1))
-    top = vocabulary.orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow()
+    top = _frequent(vocabulary, FREQUENT).toArrow()
     logs = np.log10(top.column(1).to_numpy() + ADDED) - floor
     frequent = spark.sparkContext.broadcast(dict(zip(top.column(0).to_pylist(), logs.tolist())))
 
