@@ -11,8 +11,8 @@ have it, as ln(1 + items / items with it).
 
 Everything is DataFrame expressions: arrays in a document's own row, then joins on the few windows. Texts are not shuffled.
 
-Defined cases: null and empty texts and texts shorter than a shingle contain nothing; such items are never found. A passage of
-which at least 0.8 stands at the edge of a text is found in the clipped window. Rows are told apart by id and text, so null
+Defined cases: null and empty texts and texts shorter than a shingle contain nothing; such items are never found. A window is
+clipped at the edges of the text, so a passage that lacks a little of its beginning or end there is found. Rows are told apart by id and text, so null
 and repeated ids are judged by their own text; repeated rows give one result. Only doc_id, text and item_id, text of
 the benchmark are read, so other columns may have any name. Empty tables give an empty result.
 """

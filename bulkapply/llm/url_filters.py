@@ -18,6 +18,7 @@ pass. Rows that repeat are judged alike. Only page_id and url are read; other co
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,7 +33,6 @@ ALLOW, BLOCK = "allow", "block"
 SHARD_KEYS = 100_000
 BROADCAST_BYTES = 32_000_000
 SALTS = 64
-_HASHES = 3
 _LEVELS = 64
 
 
@@ -61,31 +61,37 @@ def ruled(host: Column, path: Column, rules: list[Rule]) -> Column:
     return found
 
 
-def _positions(h1: np.ndarray, h2: np.ndarray, level: int, bits: int) -> np.ndarray:
+def _positions(h1: np.ndarray, h2: np.ndarray, level: int, bits: int, hashes: int) -> np.ndarray:
     """The bits of each key at a level, by double hashing."""
     with np.errstate(over="ignore"):
         a = (h1 + np.uint64(level) * h2) * np.uint64(0x9E3779B97F4A7C15)
         b = (h2 ^ (a >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) | np.uint64(1)
-        steps = np.arange(_HASHES, dtype=np.uint64)[:, None]
+        steps = np.arange(hashes, dtype=np.uint64)[:, None]
         return ((a ^ (a >> np.uint64(32))) + steps * b >> np.uint64(16)) % np.uint64(bits)
 
 
-def _passes(bits: np.ndarray, h1: np.ndarray, h2: np.ndarray, level: int) -> np.ndarray:
-    at = _positions(h1, h2, level, 8 * len(bits))
+def _passes(filter_: bytes, h1: np.ndarray, h2: np.ndarray, level: int) -> np.ndarray:
+    bits = np.frombuffer(filter_, np.uint8, offset=1)
+    at = _positions(h1, h2, level, 8 * len(bits), filter_[0])
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).all(axis=0)
 
 
 def build_cascade(listed: tuple[np.ndarray, np.ndarray], others: tuple[np.ndarray, np.ndarray]) -> list[bytes]:
-    """The levels' bits for keys given by two hashes each."""
+    """The levels for keys given by two hashes each: the number of hash functions in a byte, then the bits.
+
+    A level is sized to let some 0.7 keys pass wrongly per key that it encodes, so it is the larger the more keys are outside.
+    """
     levels, inside, outside = [], listed, others
     while len(inside[0]):
         if len(levels) == _LEVELS:
             raise ValueError("two keys of a url filter have the same hashes")
-        bits = np.zeros(max(8, -(-len(inside[0]) * 5 // 8)), np.uint8)
-        at = _positions(*inside, len(levels), 8 * len(bits)).reshape(-1)
+        each = max(2.0, 1.44 * math.log2(max(1.0, len(outside[0]) / len(inside[0]) / 0.7)))
+        hashes = max(1, round(0.69 * each))
+        bits = np.zeros(max(8, math.ceil(len(inside[0]) * each / 8)), np.uint8)
+        at = _positions(*inside, len(levels), 8 * len(bits), hashes).reshape(-1)
         np.bitwise_or.at(bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
-        wrong = _passes(bits, *outside, len(levels))
-        levels.append(bits.tobytes())
+        levels.append(bytes([hashes]) + bits.tobytes())
+        wrong = _passes(levels[-1], *outside, len(levels) - 1)
         inside, outside = (outside[0][wrong], outside[1][wrong]), inside
     return levels
 
@@ -95,7 +101,7 @@ def in_cascade(levels: list[bytes], h1: np.ndarray, h2: np.ndarray) -> np.ndarra
     depth = np.full(len(h1), len(levels))
     open_ = np.arange(len(h1))
     for level, bits in enumerate(levels):
-        passed = _passes(np.frombuffer(bits, np.uint8), h1[open_], h2[open_], level)
+        passed = _passes(bits, h1[open_], h2[open_], level)
         depth[open_[~passed]] = level
         open_ = open_[passed]
     return depth % 2 == 1
