@@ -20,6 +20,7 @@ import operator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,7 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sample = in_arrow(_sample(docs, labels), rows, "features binary, label int, weight double").toArrow()
     # The order of the rows must not decide anything, the sum over them included.
     order = sorted(range(sample.num_rows), key=lambda i: sample.column(0)[i].as_py())
-    sample = sample.take(order)
+    sample = sample.take(pa.array(order, pa.int64()))
     features = np.frombuffer(b"".join(sample.column(0).to_pylist()), np.float32).reshape(-1, (1 << DIMS_LOG2) + 2)
     return Model(features, sample.column(1).to_numpy(), sample.column(2).to_numpy())
 

@@ -1,0 +1,120 @@
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from bulkapply.llm import lang_kernel, quality_knn
+from cases import documents, none, odd_documents, rows, sentence
+from compare import connection  # noqa: F401
+from conftest import CHECKED
+
+rng = random.Random(2)
+LABELS = "doc_id long, quality int, toxic int, text string, score double"
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    good = [sentence(rng, rng.randint(30, 200)) for _ in range(150)]
+    bad = [" ".join(w + "###" for w in sentence(rng, 60).split()) for _ in range(50)] + [" ".join([rng.choice("abc") * 3] * 90) for _ in range(30)]
+    texts = good + bad
+    docs = documents(spark, texts, langs=("en", None))
+    labels = spark.createDataFrame([(i, int(i < 150), 0, "x", 1.0) for i in range(len(texts))] + [(None, 1, 0, "x", 1.0), (3, None, 0, "x", 1.0)], LABELS)
+    return docs, labels
+
+
+def test_quality_of_held_out_texts(corpus):
+    docs, labels = corpus
+    found = quality_knn.classify(docs, labels).collect()
+    assert [r.held_out for r in sorted(found)] == [zlib.crc32(str(i).encode()) % 4 == 2 for i in range(230)]
+    out = [r for r in found if r.held_out]
+    assert sum(r.predicted == (r.doc_id < 150) for r in out) >= 0.95 * len(out)
+    assert all(0 <= r.score <= 1 for r in found)
+    assert {r.doc_id for r in quality_knn.keep_good(docs, labels).collect()} == {r.doc_id for r in found if r.predicted}
+
+
+def test_quality_does_not_see_labels_of_held_out_rows(corpus):
+    docs, labels = corpus
+    other = labels.withColumn("quality", F.when(quality_knn.held_out(F.col("doc_id"), 4, 2), 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert rows(quality_knn.classify(docs, labels)) == rows(quality_knn.classify(docs, other))
+
+
+def test_quality_of_odd_and_empty_tables(spark, corpus):
+    docs, labels = corpus
+    odd = odd_documents(spark)
+    found = quality_knn.classify(odd, labels).collect()
+    assert len(found) == odd.count() and all(0 <= r.score <= 1 for r in found)
+    assert {r.score for r in quality_knn.classify(odd, labels.limit(0)).collect()} == {0.5}
+    assert quality_knn.classify(none(spark), labels).count() == 0
+    model = quality_knn.fit(docs, labels)
+    assert model.score([None, b""]).tolist() == [model.prior, model.prior]
+    assert quality_knn.keep_good(odd, labels).columns == odd.columns
+
+
+def test_quality_on_the_given_table(spark):
+    docs, labels = (spark.read.parquet(f"{CHECKED}/{t}.parquet") for t in ("documents", "labels"))
+    out = quality_knn.classify(docs, labels).where("held_out").join(labels, "doc_id").collect()
+    assert sum(r.predicted == r.quality for r in out) >= 0.95 * len(out)
+
+
+def test_cosines_are_exact(corpus):
+    import numpy as np
+
+    docs, labels = corpus
+    model = quality_knn.fit(docs, labels)
+    text = b"ban lort missel pradingve"
+    v = quality_knn._features(text) * model.rarity
+    v = (v / np.linalg.norm(v)) @ model.projection
+    cosines = model.vectors @ (v / np.linalg.norm(v))
+    near = np.argsort(-cosines)[: quality_knn.NEIGHBOURS]
+    votes = np.maximum(cosines[near], 0) ** 4 * model.weights[near]
+    assert model.score([text])[0] == pytest.approx((votes * model.labels[near]).sum() / votes.sum(), abs=1e-4)
+
+
+@pytest.fixture(scope="module")
+def languages(spark):
+    kinds = {"en": "the and of that with", "de": "der und nicht schön über", "fr": "être où français avec ça"}
+    texts, langs = [], list(kinds)
+    for i in range(150):
+        texts.append(" ".join(rng.choice(kinds[langs[i % 3]].split()) for _ in range(rng.randint(3, 60))))
+    return documents(spark, texts, langs=langs)
+
+
+def test_languages_of_held_out_texts(languages):
+    found = {r.doc_id: r for r in lang_kernel.classify(languages).collect()}
+    wanted = {r.doc_id: r.lang for r in languages.collect()}
+    assert [i for i, r in found.items() if r.held_out and r.lang_pred != wanted[i]] == []
+    assert all(0 <= r.score <= 1 for r in found.values())
+
+
+def test_languages_of_held_out_rows_are_not_seen(languages):
+    other = languages.withColumn("lang", F.when(lang_kernel.held_out(F.col("doc_id"), 4, 2), F.lit("zz")).otherwise(F.col("lang")))
+    assert rows(lang_kernel.classify(other)) == rows(lang_kernel.classify(languages))
+
+
+def test_unknown_languages_and_odd_tables(spark, languages):
+    odd = odd_documents(spark)
+    found = {r.doc_id: (r.lang_pred, r.score) for r in lang_kernel.classify(odd).collect() if r.doc_id in (2, 3, 6, 7)}
+    assert set(found.values()) == {("und", 0.0)}
+    assert lang_kernel.classify(odd).count() == odd.count()
+    assert lang_kernel.classify(none(spark)).count() == 0
+    nothing = languages.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.lang_pred for r in lang_kernel.classify(nothing).collect()} == {"und"}
+    assert lang_kernel.keep_recognised(languages).columns == languages.columns
+    assert lang_kernel.keep_recognised(languages).count() == languages.count()
+
+
+def test_languages_of_the_given_table(spark):
+    docs = spark.read.parquet(f"{CHECKED}/documents.parquet")
+    out = lang_kernel.classify(docs).where("held_out").join(docs, "doc_id").where("lang is not null").collect()
+    assert sum(r.lang == r.lang_pred for r in out) >= 0.97 * len(out)
+
+
+def test_kernel_is_shared_grams_over_the_geometric_mean():
+    import numpy as np
+
+    texts = [b"abcab", b"abd", b"xyz"]
+    model = lang_kernel.Model([lang_kernel._grams(t) for t in texts], ["a", "b", "c"])
+    sets = [{t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)} for t in texts]
+    wanted = [[len(x & y) / (len(x) * len(y)) ** 0.5 for y in sets] for x in sets]
+    assert np.allclose(model._kernel([lang_kernel._grams(t) for t in texts]), wanted, atol=1e-6)
