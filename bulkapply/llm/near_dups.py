@@ -7,9 +7,9 @@ out. Every pair within the distance shares one of these 80 keys. A pair of simil
 average and exceeds 31 with a probability of about 2 in 100,000; candidates are then confirmed on the full sets.
 
 Copies share one node. Pairs of a bucket are not all written out: first every member meets one leader of its buckets,
-confirmed links merge into components, and only members of *different* components of a bucket are then compared, by a
-longer signature of ``LONG`` symbols and in parts of bounded size, before the pairs left are confirmed too. What is joined is
-a few numbers per document; longer signatures and shingle sets are made again from the texts of candidates only. Components come from label propagation with pointer jumping on written tables.
+confirmed links merge into components, and only members of *different* components of a bucket are then compared, in parts
+of bounded size: by signature, and those near enough by their sets cut to 32-bit hashes, so only links are written out,
+to be confirmed on the full sets too. Shingle sets are made again from the texts of candidates only. Components come from label propagation with pointer jumping on written tables.
 
 Defined cases: a null or empty text or one of blanks has an empty set, is linked with nothing and kept. Fewer words than a
 shingle make one shingle. A row without doc_id has no component and is kept. Rows that share a doc_id are one
@@ -29,10 +29,10 @@ CHUNKS, CHUNK = 16, 5
 SYMBOLS = CHUNKS * CHUNK
 DISTANCE = 2 * CHUNKS - 1
 LONGS = SYMBOLS // 8
-# Symbols of the long signature, and the most that may differ: 0.8 alike differ in 102, and beyond 138 once in some 30,000.
-LONG, LONG_DISTANCE = 512, 138
 # Members of a bucket that meet in one go.
-MEETING = 2048
+MEETING = 1024
+# By how many elements sets of hashes cut to 32 bits may differ from the full ones.
+_SLACK = 2
 _CACHED_WORDS = 500_000
 _BLOCK = 1024
 _SEED = 20240229
@@ -175,35 +175,43 @@ def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return restrict(rows, nodes, ["doc_id"], "left_semi")
 
 
-def _long_signatures(docs: DataFrame, rows: DataFrame, size: int) -> DataFrame:
-    """``node, n, sign`` of each node of ``rows``: its number of shingles and a signature of ``LONG`` symbols."""
+def _short_sets(docs: DataFrame, rows: DataFrame, size: int) -> DataFrame:
+    """``node, n, sign, members`` of each node of ``rows``: how many shingles, the signature, and their hashes cut to 32 bits."""
 
-    def sign(batches):
-        cache, functions = _WordHashes(), _functions(LONG)
+    def cut(batches):
+        cache, functions = _WordHashes(), _functions(SYMBOLS)
         for batch in batches:
             found = [shingles(text.as_py(), size, cache) for text in batch.column(1)]
-            yield [batch.column(0), [len(each) for each in found], [signature(each, *functions) for each in found]]
+            yield [batch.column(0), [len(each) for each in found], [signature(each, *functions) for each in found],
+                   [np.unique(each.astype(np.uint32)).tobytes() for each in found]]
 
     nodes = materialize(rows.select(F.col("node").alias("doc_id")).distinct(), "open-nodes")
-    signed = in_arrow(_texts_of(docs, nodes), sign, "node long, n long, sign binary")
-    return materialize(signed.groupBy("node").agg(F.first("n").alias("n"), F.first("sign").alias("sign")), "long-signatures")
+    found = in_arrow(_texts_of(docs, nodes), cut, "node long, n long, sign binary, members binary")
+    return materialize(found.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "sign", "members"))), "short-sets")
 
 
 def _crossing(rows: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: pairs of a bucket in different components, near by set size and long signature.
+    """``a, b``: pairs of a bucket in different components, near by set size, signature and sets of short hashes.
 
     A bucket of more than ``MEETING`` members is cut into parts, and each two of them meet in a group of their own, so neither
     memory nor a task's rows grow with a bucket.
     """
     parts = F.ceil(F.col("n_members") / MEETING)
     rows = rows.withColumn("part", F.pmod(F.xxhash64("node", "key"), parts).cast("int"))
-    rows = rows.select("key", "node", "component", "n", "sign", "part", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("other"))
+    rows = rows.select("key", "node", "component", "n", "sign", "members", "part", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("other"))
     rows = rows.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")}).drop("other")
     dealt = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    dealt = dealt.select("node", "component", "n", "part", "sign", "key", "low", "high")
+    dealt = dealt.select("node", "component", "n", "part", "sign", "members", "key", "low", "high")
 
-    def near(group) -> tuple[np.ndarray, np.ndarray]:
-        node, component, n, part, sign = group
+    def first_shared(equal: np.ndarray) -> np.ndarray:
+        """The number of the first key that pairs share, from which of their symbols are equal."""
+        chunks = equal.reshape(-1, CHUNKS, CHUNK)
+        chunk = (chunks.sum(axis=2) >= CHUNK - 1).argmax(axis=1)
+        return chunk * CHUNK + (~chunks[np.arange(len(chunks)), chunk]).argmax(axis=1)
+
+    def near(group, key: int) -> tuple[np.ndarray, np.ndarray]:
+        node, component, n, part, sign, members = group
+        members = [np.frombuffer(each, np.uint32) for each in members]
         found_a, found_b = [], []
         inside = part.min() == part.max()
         for i in range(len(node) - 1):
@@ -214,7 +222,15 @@ def _crossing(rows: DataFrame, percent: int) -> DataFrame:
                 meets &= part[rest] != part[i]
             at = i + 1 + np.flatnonzero(meets)
             if len(at):
-                at = at[np.count_nonzero(sign[at] != sign[i], axis=1) <= LONG_DISTANCE]
+                # A pair meets in every bucket it shares and is compared in the first.
+                equal = sign[at] == sign[i]
+                at = at[(equal.sum(axis=1) >= SYMBOLS - DISTANCE) & (first_shared(equal) == key >> 8 * (CHUNK - 1))]
+            if len(at):
+                others = [members[j] for j in at]
+                every, mine = np.concatenate(others), members[i]
+                hits = mine[np.minimum(np.searchsorted(mine, every), len(mine) - 1)] == every
+                common = _SLACK + np.add.reduceat(hits, np.cumsum([0, *map(len, others[:-1])]), dtype=np.int64)
+                at = at[100 * common >= percent * (n[at] + n[i] - common)]
                 found_a.append(np.minimum(node[at], node[i]))
                 found_b.append(np.maximum(node[at], node[i]))
         none = np.empty(0, np.int64)
@@ -224,14 +240,15 @@ def _crossing(rows: DataFrame, percent: int) -> DataFrame:
         held, last = [], None
 
         def group():
-            return near([np.concatenate(c) for c in zip(*held)])
+            return near([np.concatenate(c) for c in zip(*held)], last[0])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             node, component, n, part = (batch.column(i).to_numpy() for i in range(4))
-            sign = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(-1, LONG)
-            ids = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in (5, 6, 7)])
+            sign = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint8).reshape(-1, SYMBOLS)
+            members = np.array([*batch.column(5).to_pylist(), None], object)[:-1]
+            ids = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in (6, 7, 8)])
             edges = [0, *(1 + np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0))).tolist(), len(node)]
             out_a, out_b = [], []
             for x, y in zip(edges, edges[1:]):
@@ -241,7 +258,7 @@ def _crossing(rows: DataFrame, percent: int) -> DataFrame:
                         out.append(pairs)
                     held = []
                 last = this
-                held.append([node[x:y], component[x:y], n[x:y], part[x:y], sign[x:y]])
+                held.append([node[x:y], component[x:y], n[x:y], part[x:y], sign[x:y], members[x:y]])
             if out_a:
                 yield [np.concatenate(out_a), np.concatenate(out_b)]
         if held:
@@ -327,8 +344,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n_members"))
     apart = apart.where("low <> high").select("key", "n_members")
     open_rows = materialize(member.join(apart, "key"), "open")
-    longer = _long_signatures(docs, open_rows, size)
-    pairs = materialize(_crossing(open_rows.join(longer, "node"), percent).distinct(), "pairs")
+    sets = _short_sets(docs, open_rows, size)
+    pairs = materialize(_crossing(open_rows.join(sets, "node"), percent).distinct(), "pairs")
     more = _confirmed(pairs, docs, size, percent)
     labels = components(materialize(links.union(more), "links"))
 
