@@ -127,9 +127,57 @@ def conform(df: DataFrame, target: DataFrame, columns: Sequence[str] | None = No
     )
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _keeps_values_apart(given: T.DataType, wanted: T.DataType) -> bool:
+    """Whether casting keeps different keys different, or fails the job: no fraction, time or text is cut off."""
+    if given == wanted:
+        return True
+    if isinstance(wanted, T.DecimalType) and isinstance(given, (T.DecimalType, *_WHOLE)):
+        return wanted.scale >= (given.scale if isinstance(given, T.DecimalType) else 0)
+    if isinstance(wanted, _WHOLE):
+        return isinstance(given, (*_WHOLE, T.StringType)) or isinstance(given, T.DecimalType) and given.scale == 0
+    if isinstance(wanted, T.StringType):
+        return isinstance(given, (T.StringType, T.DateType, *_WHOLE))
+    return isinstance(given, T.DateType) and isinstance(wanted, (T.TimestampType, T.TimestampNTZType))
+
+
+def with_target_keys(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` with its keys in the target's types, before any row is chosen by key.
+
+    A cast that could make two keys one, such as 5.2 and 5.4 into a whole number or two times into their day, is refused.
+    A whole number too large for the target's type, or a text that is no number, fails the job.
+    """
+    check_keys(rows, keys)
+    for key in keys:
+        given, wanted = rows.schema[key].dataType, target.schema[key].dataType
+        if not _keeps_values_apart(given, wanted):
+            raise ChangelogError(f"key column {key} is {given.simpleString()}, which {wanted.simpleString()} cannot hold exactly")
+    return rows.withColumns({
+        k: F.col(k).cast(target.schema[k].dataType) for k in keys if rows.schema[k].dataType != target.schema[k].dataType
+    })
+
+
+def asked_keys(keyed: DataFrame, target: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """The keys of ``keyed`` in the target's types, null where the target can hold no equal value, so 1.5 does not meet 1."""
+    columns = []
+    for key in keys:
+        if key not in keyed.columns:
+            raise ChangelogError(f"key column {key} is missing")
+        given, wanted = keyed.schema[key].dataType, target.schema[key].dataType
+        column = F.col(key)
+        if given != wanted:
+            held = column.try_cast(wanted)
+            same = F.lit(True) if isinstance(given, T.StringType) else held.try_cast(given) == column
+            column = F.when(same, held)
+        columns.append(column.alias(key))
+    return columns
+
+
 def without_keys(target: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key is not in ``keyed``. Only the distinct key columns of ``keyed`` travel."""
-    touched = conform(keyed, target, keys).distinct()
+    touched = keyed.select(*asked_keys(keyed, target, keys)).distinct()
     return target.join(touched, list(keys), "left_anti").select(*target.columns)
 
 
@@ -167,9 +215,16 @@ def apply_changes(
     The form for many changes: nothing is read twice. For few changes and a large target see ``settle``.
     """
     check_keys(target, keys)
+    changes = with_target_keys(changes, target, keys)
     return merge(target, _flagged_last(changes, keys, sequence_by, op_col), keys, buckets)
 
 
+def _check_settled(target: DataFrame, settled: DataFrame, keys: Sequence[str]) -> None:
+    for key in keys:
+        if settled.schema[key].dataType != target.schema[key].dataType:
+            raise ChangelogError(f"key column {key} was settled in another type than the target's")
+
+
 def settle(changes: DataFrame, keys: Sequence[str], sequence_by: Sequence[str], op_col: str = OP) -> DataFrame:
     """Collapse a changelog and write the result to the shared folder, for ``apply_settled``."""
     return materialize(collapse(changes, keys, sequence_by, op_col), "settled")
@@ -179,9 +234,11 @@ def apply_settled(target: DataFrame, settled: DataFrame, keys: Sequence[str], op
     """``apply_changes`` with the result of ``settle``: the form for few changes on a large target.
 
     Spark knows the size of the written changes when it plans. Below ``spark.sql.autoBroadcastJoinThreshold`` it
-    broadcasts their keys and the target is not shuffled; above, both sides are shuffled by key.
+    broadcasts their keys and the target is not shuffled; above, both sides are shuffled by key. The changes must have been
+    settled with keys of the target's types, as a cast now could make two of them one.
     """
     check_keys(target, keys)
+    _check_settled(target, settled, keys)
     written = conform(settled.filter(is_upsert(F.col(op_col))), target)
     kept = target.join(conform(settled, target, keys), list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(written)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bulkapply.storage import materialize
 
@@ -13,18 +14,38 @@ from bulkapply.storage import materialize
 _PARTITION_BIT = 33
 
 
-def number_in_order(df: DataFrame, writer: Sequence[str], order_by: Sequence[str], name: str) -> DataFrame:
+def _total_order(df: DataFrame, order_by: Sequence[str], group: Sequence[str]) -> list[str]:
+    """``order_by`` and then every other column that can be ordered, so that equal runs number alike."""
+    rest = [f.name for f in df.schema.fields if not _holds_map(f.dataType)]
+    return [*order_by, *[c for c in rest if c not in order_by and c not in group]]
+
+
+def _holds_map(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.StructType):
+        return any(_holds_map(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, T.ArrayType):
+        return _holds_map(data_type.elementType)
+    return isinstance(data_type, (T.MapType, T.VariantType))
+
+
+def number_in_order(
+    df: DataFrame, writer: Sequence[str], order_by: Sequence[str], name: str, most: int | None = None
+) -> DataFrame:
     """Number each writer's rows from 1 in ``order_by`` order, also where one writer holds most of the rows.
 
+    Ties are settled by the remaining columns. With ``most`` only that many rows of each sorted range are kept, which serves
+    whoever wants the first rows of all.
+
     A window over the writer would put all its rows into one task. Instead the rows are range-sorted by writer and
     order, so a hot writer spans many partitions; each partition numbers its own rows by position, and the small table
     of rows per (writer, partition) supplies what came before. The sorted rows are written once, because positions must
     not change between the two readings.
     """
     position, part = f"_{name}_position", f"_{name}_part"
-    placed = materialize(
-        df.sort(*writer, *order_by).withColumn(position, F.monotonically_increasing_id()), "numbered"
-    ).withColumn(part, F.shiftright(F.col(position), _PARTITION_BIT))
+    ordered = df.sort(*writer, *_total_order(df, order_by, writer)).withColumn(position, F.monotonically_increasing_id())
+    if most is not None:
+        ordered = ordered.filter(F.col(position).bitwiseAND(F.lit((1 << _PARTITION_BIT) - 1)) < most)
+    placed = materialize(ordered, "numbered").withColumn(part, F.shiftright(F.col(position), _PARTITION_BIT))
 
     runs = placed.groupBy(*writer, part).agg(F.min(position).alias("_first"), F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(*writer).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
@@ -32,6 +53,8 @@ def number_in_order(df: DataFrame, writer: Sequence[str], order_by: Sequence[str
         *[F.col(c).alias(f"_run_{c}") for c in [*writer, part]],
         (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
+    # Written, so Spark knows how small the table of runs is and does not shuffle the rows again to meet it.
+    runs = materialize(runs, "runs")
     same = F.lit(True)
     for c in [*writer, part]:
         same = same & placed[c].eqNullSafe(runs[f"_run_{c}"])

@@ -9,16 +9,18 @@ from pyspark.sql import functions as F
 
 from bulkapply.operators.changelog import (
     UPSERT,
+    ChangelogError,
+    asked_keys,
     check_keys,
     conform,
     latest,
     merge,
     with_checked_keys,
+    with_target_keys,
     without_keys,
 )
 from bulkapply.operators.flush import number_in_order
-
-_SHORT_LIST = 100_000
+from bulkapply.storage import materialize
 
 
 def key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -39,18 +41,21 @@ def upsert(
     ``buckets`` as in ``merge``, for a target saved by these keys.
     """
     check_keys(target, keys)
-    check_keys(rows, keys)
-    checked = with_checked_keys(rows, keys, F.lit(True), UPSERT)
+    checked = with_checked_keys(with_target_keys(rows, target, keys), keys, F.lit(True), UPSERT)
     return merge(target, latest(checked, keys, [UPSERT, *sequence_by]), keys, buckets)
 
 
 def insert_if_absent(target: DataFrame, rows: DataFrame) -> DataFrame:
-    """Upsert where every column is part of the key: add the rows the target does not have."""
+    """Upsert where every column is part of the key: add the rows the target does not have.
+
+    A table that is all key holds no row twice, so this is a union without repeats: each side is read once, and rows are
+    made distinct inside each task before they are shuffled.
+    """
     keys = target.columns
     check_keys(target, keys)
-    new = with_checked_keys(conform(rows, target).distinct(), keys, F.lit(True), "_keyed").filter("_keyed").drop("_keyed")
-    present = lookup_by_key(target, new, keys, keys)
-    return target.unionByName(new.join(present, list(keys), "left_anti").select(*keys))
+    new = conform(with_target_keys(rows, target, keys), target)
+    new = with_checked_keys(new, keys, F.lit(True), "_keyed").filter("_keyed").drop("_keyed")
+    return target.unionByName(new).distinct()
 
 
 def delete_by_key(target: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -68,11 +73,49 @@ def update_by_key(
 ) -> DataFrame:
     """Set ``columns`` from the last row per key where the key exists; insert nothing. A null key matches nothing."""
     check_keys(target, keys)
-    check_keys(rows, keys)
+    joined = target.join(_replacements(target, rows, keys, columns, sequence_by), list(keys), "left")
+    return _updated(joined, target, columns)
+
+
+def update_settled(target: DataFrame, settled: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """``update_by_key`` with the result of ``settle_rows``: few rows, and a target that is then not shuffled."""
+    check_keys(target, keys)
+    return update_by_key(target, settled, keys, columns, [])
+
+
+def settle_rows(target: DataFrame, rows: DataFrame, keys: Sequence[str], sequence_by: Sequence[str]) -> DataFrame:
+    """The last row per key, keys in the target's types, written to the shared folder; for ``upsert_settled`` and
+    ``update_settled``. A null key fails the job.
+
+    Spark knows the size of what is written: below ``spark.sql.autoBroadcastJoinThreshold`` it broadcasts it and leaves the
+    target where it is, above it shuffles both.
+    """
+    check_keys(target, keys)
+    checked = with_checked_keys(with_target_keys(rows, target, keys), keys, F.lit(True), UPSERT)
+    return materialize(latest(checked, keys, [UPSERT, *sequence_by]).drop(UPSERT), "settled")
+
+
+def upsert_settled(target: DataFrame, settled: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``upsert`` with the result of ``settle_rows``."""
+    check_keys(target, keys)
+    for key in keys:
+        if settled.schema[key].dataType != target.schema[key].dataType:
+            raise ChangelogError(f"key column {key} was settled in another type than the target's")
+    return without_keys(target, settled, keys).unionByName(conform(settled, target))
+
+
+def _replacements(
+    target: DataFrame, rows: DataFrame, keys: Sequence[str], columns: Sequence[str], sequence_by: Sequence[str]
+) -> DataFrame:
+    """The last row per key that the target can hold: its keys, the new values, and a mark."""
+    asked = dict(zip(keys, asked_keys(rows, target, keys)))
     wanted = list(dict.fromkeys([*keys, *columns, *sequence_by]))
-    last = conform(latest(rows.select(*wanted), keys, sequence_by), target, [*keys, *columns])
-    renamed = last.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_matched"))
-    joined = target.join(renamed, list(keys), "left")
+    matching = rows.select(*[asked.get(c, F.col(c)) for c in wanted]).dropna(subset=list(keys))
+    last = conform(latest(matching, keys, sequence_by), target, [*keys, *columns])
+    return last.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_matched"))
+
+
+def _updated(joined: DataFrame, target: DataFrame, columns: Sequence[str]) -> DataFrame:
     return joined.select(
         *[
             F.when(F.col("_matched"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
@@ -91,31 +134,31 @@ def lookup_by_key(
     """
     if keyed is None or not keys:
         return target.select(*columns)
-    wanted = conform(keyed, target, keys).distinct()
+    wanted = keyed.select(*asked_keys(keyed, target, keys)).distinct()
     return target.join(wanted, list(keys), "left_semi").select(*columns)
 
 
 def row_exists(keyed: DataFrame, target: DataFrame, keys: Sequence[str], name: str = "row_exists") -> DataFrame:
     """Each row of ``keyed`` with a flag: does the target hold its key?
 
-    The target's keys are made distinct inside each task before they travel, so a hot key sends one row per task. Where
-    ``keyed`` can be broadcast, Spark cuts the target to the asked-for keys first.
+    The target's keys are made distinct inside each task before they travel, so a hot key sends one row per task. The rows
+    asked for come back as they are; a key that the target's type cannot hold does not exist.
     """
     check_keys(target, keys)
-    held = lookup_by_key(target.select(*keys).distinct(), keyed, keys, keys).withColumn(name, F.lit(True))
-    types = {k: target.schema[k].dataType for k in keys}
-    asked = keyed.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in keyed.columns])
-    return asked.join(held, list(keys), "left").select(*keyed.columns, F.coalesce(F.col(name), F.lit(False)).alias(name))
+    held = target.select(*[F.col(k).alias(f"_held_{k}") for k in keys]).distinct().withColumn("_held", F.lit(True))
+    asked = keyed.withColumns({f"_asked_{k}": c for k, c in zip(keys, asked_keys(keyed, target, keys))})
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(f"_asked_{k}") == F.col(f"_held_{k}"))
+    return asked.join(held, same, "left").select(*keyed.columns, F.coalesce(F.col("_held"), F.lit(False)).alias(name))
 
 
 def limit_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
     """The first ``n`` rows in the given order.
 
-    A short list is merged in one task, to which every other task sends at most ``n`` rows. A long one is cut from the
-    numbered rows, so it stays spread over the cluster.
+    Ties are settled by the remaining columns. The rows are range-sorted, each range keeps its first ``n``, and these are
+    numbered across the ranges: nothing is gathered in one task, whatever ``n`` is.
     """
     if n < 0:
         raise ValueError("limit must not be negative")
-    if n <= _SHORT_LIST:
-        return df.orderBy(*order_by).limit(n)
-    return number_in_order(df, [], order_by, "_number").filter(F.col("_number") <= n).drop("_number")
+    return number_in_order(df, [], order_by, "_number", most=n).filter(F.col("_number") <= n).drop("_number")

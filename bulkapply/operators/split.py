@@ -18,6 +18,18 @@ def even_ranges(lower: int, upper: int, n: int) -> list[tuple[int, int]]:
     return [(start, min(start + stride - 1, upper)) for start in starts]
 
 
+def split_evenly(df: DataFrame, column: str, lower: int, upper: int, n: int, name: str = "split", rest: int = -1) -> DataFrame:
+    """The rows with the number of the even range of a whole-number column they fall in: one division, however many ranges.
+
+    Nulls and values outside ``lower..upper`` are in the split ``rest``, so no row is lost.
+    """
+    if n <= 0 or upper is None or lower is None or upper < lower:
+        raise ValueError("need at least one split and lower <= upper")
+    stride = -(-(upper - lower + 1) // n)
+    number = F.expr(f"cast(({column} - {int(lower)}) div {stride} as int)")
+    return df.withColumn(name, F.when(F.col(column).between(lower, upper), number).otherwise(F.lit(rest)))
+
+
 def _tagged(df: DataFrame, conditions: list[Column], name: str) -> DataFrame:
     if not conditions:
         raise ValueError("a split read needs at least one parameter row")
@@ -31,9 +43,23 @@ def split_by_ranges(df: DataFrame, column: str, ranges: Sequence[tuple], name: s
     return _tagged(df, [F.col(column).between(lo, hi) for lo, hi in ranges], name)
 
 
-def split_by_values(df: DataFrame, column: str, values: Sequence, name: str = "split") -> DataFrame:
-    """Rows with ``column`` equal to each value."""
-    return _tagged(df, [F.col(column) == F.lit(v) for v in values], name)
+def split_by_values(
+    df: DataFrame, column: str, values: Sequence, name: str = "split", rest: int | None = None
+) -> DataFrame:
+    """Rows with ``column`` equal to each value, by one look-up per row. A value given twice names two splits.
+
+    Other rows and nulls are left out, or are in the split ``rest`` where that is given.
+    """
+    if not values:
+        raise ValueError("a split read needs at least one parameter row")
+    places: dict = {}
+    for i, value in enumerate(values):
+        places.setdefault(value, []).append(i)
+    pairs = [F.lit(x) for value, found in places.items() for x in (value, found)]
+    found = F.try_element_at(F.create_map(*pairs).cast(f"map<{df.schema[column].dataType.simpleString()},array<int>>"), F.col(column))
+    if rest is None:
+        return df.filter(F.col(column).isin(*places)).withColumn(name, F.explode(found))
+    return df.withColumn(name, F.explode(F.coalesce(found, F.array(F.lit(rest)))))
 
 
 def range_predicates(column: str, ranges: Sequence[tuple[int, int]]) -> list[str]:

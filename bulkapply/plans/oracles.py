@@ -88,7 +88,7 @@ _ORDERS_BOUND = (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    sql = {
         "append_orders": "SELECT * FROM orders",
         "append_twice": "SELECT * FROM orders UNION ALL "
         "SELECT * REPLACE (o_orderkey + 100000000000 AS o_orderkey) FROM orders",
@@ -98,9 +98,13 @@ def oracle_sql() -> dict[str, str]:
         "upsert_last_wins": _LAST_EVENT,
         "upsert_lineitem": _UPSERTED_LINES,
         "upsert_keyed_layout": _UPSERTED_LINES,
+        "upsert_settled": _UPSERTED_LINES,
+        "upsert_other_key_type": _UPSERTED_LINES,
         "insert_if_absent": "SELECT DISTINCT l_partkey, l_suppkey FROM lineitem",
         "delete_by_key": "SELECT * FROM customer WHERE NOT EXISTS "
         "(SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')",
+        "delete_other_key_type": "SELECT * FROM customer WHERE NOT EXISTS "
+        "(SELECT 1 FROM orders WHERE o_custkey % 4 = 0 AND o_custkey // 4 = c_custkey)",
         "key_projection": "SELECT l_orderkey, l_linenumber FROM lineitem",
         "update_by_key": "SELECT o.o_orderkey, o.o_custkey, coalesce(r.l_linestatus, o.o_orderstatus) AS o_orderstatus, "
         "o.o_totalprice, o.o_orderdate, "
@@ -113,6 +117,7 @@ def oracle_sql() -> dict[str, str]:
         "row_exists": "SELECT c_custkey, c_name, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) AS has_order "
         "FROM customer",
         "limit_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 100",
+        "limit_rows_ties": "SELECT * FROM orders ORDER BY o_orderstatus, o_orderkey LIMIT 100",
         "rowkind_flag": f"SELECT event_id, _op, {_UP} AS is_upsert FROM {_EVENTS}",
         "changelog_collapse": f"SELECT * FROM {_EVENTS} QUALIFY row_number() OVER "
         "(PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
@@ -175,3 +180,4 @@ def oracle_sql() -> dict[str, str]:
         "FROM orders, (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders)",
         "split_read_values": "SELECT *, CAST(o_orderpriority[1] AS INTEGER) - 1 AS split FROM orders",
     }
+    return sql | {"update_settled": sql["update_by_key"]}

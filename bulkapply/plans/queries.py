@@ -12,7 +12,7 @@ from bulkapply.functions import convert, copycsv, schema
 from bulkapply.operators import changelog, flush, keyed, split
 from bulkapply.options import SinkOptions
 from bulkapply.sources import copyfiles, dml, tables
-from bulkapply.storage import scratch_path
+from bulkapply.storage import is_folder, scratch_path
 from bulkapply.streaming import sink
 from bulkapply.streaming.changelog_table import ChangelogTable
 
@@ -24,7 +24,11 @@ LINE_KEY = ["l_orderkey", "l_linenumber"]
 EVENT_ORDER = ["ts", "event_id"]
 MIDDLE = "2024-01-16"
 YEAR = "1998-01-01"
-BUCKETS = 8
+
+
+def writers(spark: SparkSession) -> int:
+    """Writers and buckets of a large table: as many as the session's shuffle partitions, which a cluster sets by its data."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -51,7 +55,7 @@ def append_twice(spark, folder):
 
 def append_parallel(spark, folder):
     path = scratch_path(spark, "append_parallel")
-    tables.append(load(spark, folder, "lineitem"), path, SinkOptions(parallelism=BUCKETS))
+    tables.append(load(spark, folder, "lineitem"), path, SinkOptions(parallelism=writers(spark)))
     return tables.read_table(spark, path)
 
 
@@ -76,14 +80,15 @@ def batch_agg_sink(spark, folder):
 def upsert_last_wins(spark, folder):
     events = load(spark, folder, "events")
     split_at = F.lit(MIDDLE).cast("timestamp_ntz")
-    target = changelog.latest(events.filter(F.col("ts") < split_at), ["user_id"], EVENT_ORDER)
-    return keyed.upsert(target, events.filter(F.col("ts") >= split_at), ["user_id"], EVENT_ORDER)
+    early = F.coalesce(F.col("ts") < split_at, F.lit(False))
+    target = changelog.latest(events.filter(early), ["user_id"], EVENT_ORDER)
+    return keyed.upsert(target, events.filter(~early), ["user_id"], EVENT_ORDER)
 
 
 def _line_sides(spark, folder):
     lines = load(spark, folder, "lineitem")
-    closed = changelog.latest(lines.filter("l_linestatus = 'F'"), LINE_KEY, ["l_shipdate"])
-    return closed, lines.filter("l_linestatus = 'O'")
+    closed = changelog.latest(lines.filter("l_linestatus <=> 'F'"), LINE_KEY, ["l_shipdate"])
+    return closed, lines.filter("not l_linestatus <=> 'F'")
 
 
 def upsert_lineitem(spark, folder):
@@ -96,14 +101,28 @@ def upsert_keyed_layout(spark, folder):
     target, rows = _line_sides(spark, folder)
     path = scratch_path(spark, "keyed_layout")
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    tables.save_keyed(target, name, path, LINE_KEY, BUCKETS)
-    return keyed.upsert(spark.table(name), rows, LINE_KEY, ["l_shipdate"], BUCKETS)
+    buckets = writers(spark)
+    tables.save_keyed(target, name, path, LINE_KEY, buckets)
+    return keyed.upsert(spark.table(name), rows, LINE_KEY, ["l_shipdate"], buckets)
+
+
+def upsert_settled(spark, folder):
+    """The same upsert with its rows written first, as for a target too large to shuffle."""
+    target, rows = _line_sides(spark, folder)
+    return keyed.upsert_settled(target, keyed.settle_rows(target, rows, LINE_KEY, ["l_shipdate"]), LINE_KEY)
+
+
+def upsert_other_key_type(spark, folder):
+    """The same upsert with the rows' order key held as a decimal and the line number as a text."""
+    target, rows = _line_sides(spark, folder)
+    rows = rows.withColumns({"l_orderkey": F.col("l_orderkey").cast("decimal(20,0)"), "l_linenumber": F.col("l_linenumber").cast("string")})
+    return keyed.upsert(target, rows, LINE_KEY, ["l_shipdate"])
 
 
 def insert_if_absent(spark, folder):
     pairs = load(spark, folder, "lineitem").select("l_partkey", "l_suppkey", "l_linestatus")
-    target = pairs.filter("l_linestatus = 'F'").drop("l_linestatus").distinct()
-    return keyed.insert_if_absent(target, pairs.filter("l_linestatus = 'O'").drop("l_linestatus"))
+    target = pairs.filter("l_linestatus <=> 'F'").drop("l_linestatus").distinct()
+    return keyed.insert_if_absent(target, pairs.filter("not l_linestatus <=> 'F'").drop("l_linestatus"))
 
 
 def delete_by_key(spark, folder):
@@ -112,23 +131,40 @@ def delete_by_key(spark, folder):
     return keyed.delete_by_key(load(spark, folder, "customer"), gone, ["c_custkey"])
 
 
+def delete_other_key_type(spark, folder):
+    """Keys given in quarters: only the whole ones name a customer."""
+    quarters = load(spark, folder, "orders").select((F.col("o_custkey") / F.lit(4)).cast("decimal(20,2)").alias("c_custkey"))
+    return keyed.delete_by_key(load(spark, folder, "customer"), quarters, ["c_custkey"])
+
+
 def key_projection(spark, folder):
     return keyed.key_rows(load(spark, folder, "lineitem"), LINE_KEY)
 
 
-def update_by_key(spark, folder):
-    """Orders take priority and status from their last returned line."""
-    returned = load(spark, folder, "lineitem").filter("l_returnflag = 'R'").select(
+def _returned(spark, folder):
+    return load(spark, folder, "lineitem").filter("l_returnflag = 'R'").select(
         F.col("l_orderkey").alias("o_orderkey"),
         F.col("l_linestatus").alias("o_orderstatus"),
         F.concat(F.lit("RETURNED-"), F.col("l_linenumber")).alias("o_orderpriority"),
         "l_shipdate",
     )
+
+
+def update_by_key(spark, folder):
+    """Orders take priority and status from their last returned line."""
     return keyed.update_by_key(
-        load(spark, folder, "orders"), returned, ["o_orderkey"], ["o_orderstatus", "o_orderpriority"], ["l_shipdate"]
+        load(spark, folder, "orders"), _returned(spark, folder), ["o_orderkey"], ["o_orderstatus", "o_orderpriority"],
+        ["l_shipdate"],
     )
 
 
+def update_settled(spark, folder):
+    """The same with the last returned lines written first."""
+    orders = load(spark, folder, "orders")
+    settled = keyed.settle_rows(orders, _returned(spark, folder), ["o_orderkey"], ["l_shipdate"])
+    return keyed.update_settled(orders, settled, ["o_orderkey"], ["o_orderstatus", "o_orderpriority"])
+
+
 def lookup_by_key(spark, folder):
     asked = load(spark, folder, "nation").filter("n_regionkey = 1").select(F.col("n_nationkey").alias("c_nationkey"))
     return keyed.lookup_by_key(
@@ -146,6 +182,11 @@ def limit_rows(spark, folder):
     return keyed.limit_rows(load(spark, folder, "orders"), 100, ["o_orderkey"])
 
 
+def limit_rows_ties(spark, folder):
+    """Ordered by a column with many equal values; the other columns decide among them."""
+    return keyed.limit_rows(load(spark, folder, "orders"), 100, ["o_orderstatus"])
+
+
 # --- changelog --------------------------------------------------------------------------------------------------------
 
 
@@ -182,9 +223,10 @@ def changelog_collapse_lines(spark, folder):
 def _line_target(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Lines shipped before a date are the target, later ones arrive as changes."""
     split_at = F.lit(YEAR).cast("timestamp_ntz")
-    before = changelog.collapse(changes.filter(F.col("l_shipdate") < split_at), LINE_KEY, ["l_shipdate"])
+    early = F.coalesce(F.col("l_shipdate") < split_at, F.lit(False))
+    before = changelog.collapse(changes.filter(early), LINE_KEY, ["l_shipdate"])
     target = before.filter(changelog.is_upsert(F.col(changelog.OP))).drop(changelog.OP)
-    return target, changes.filter(F.col("l_shipdate") >= split_at)
+    return target, changes.filter(~early)
 
 
 def changelog_apply(spark, folder):
@@ -290,12 +332,19 @@ def copy_encode_events(spark, folder):
 
 
 def copy_encode_nulls(spark, folder):
-    """Customers beside their orders; a customer without one has nulls."""
-    joined = load(spark, folder, "customer").join(
-        load(spark, folder, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left"
-    )
+    """Customers beside their orders; a customer without one has nulls.
+
+    Two joins that adaptive execution can split on either side, as a left join of a customer with a third of all orders
+    could not: customers with their orders, and customers without any.
+    """
+    customers, orders = load(spark, folder, "customer"), load(spark, folder, "orders")
+    bought = F.col("c_custkey") == F.col("o_custkey")
     columns = ["c_custkey", "c_name", "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
-    return copycsv.encode_lines(joined, columns, timestamp_digits=0)
+    served = customers.join(orders, bought).select(*columns)
+    buyers = orders.select("o_custkey").distinct()
+    idle = customers.join(buyers, bought, "left_anti").select(
+        *[F.col(c) if c in customers.columns else F.lit(None).cast(orders.schema[c].dataType).alias(c) for c in columns])
+    return copycsv.encode_lines(served.unionByName(idle), columns, timestamp_digits=0)
 
 
 def copy_roundtrip(spark, folder):
@@ -338,23 +387,14 @@ def schema_conformance(spark, folder):
 # --- streams ----------------------------------------------------------------------------------------------------------
 
 
-LANDED_FILES = 16
-MOST_FILES_PER_BATCH = 1024
-
-
-def _stream(spark, folder, table):
-    """The table as a stream: its rows landed as files, a quarter of them per micro-batch, 1,024 at most.
-
-    A large table already comes in enough pieces and is written as it is; only a small one is dealt out further.
-    """
+def _stream(spark, folder, table, files_per_batch=4):
+    """The table's own files as a stream, ``files_per_batch`` of them per micro-batch; nothing is copied first."""
     rows = load(spark, folder, table)
-    path = scratch_path(spark, f"{table}_files")
-    files = max(rows.rdd.getNumPartitions(), LANDED_FILES)
-    if files == LANDED_FILES:
-        rows = rows.repartition(files)
-    rows.write.parquet(path)
-    per_batch = min(files // 4, MOST_FILES_PER_BATCH)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files_per_batch)
+    path = f"{folder}/{table}.parquet"
+    if is_folder(spark, path):
+        return stream.parquet(path)
+    return stream.option("pathGlobFilter", f"{table}.parquet").parquet(folder)
 
 
 def stream_append(spark, folder):
@@ -389,9 +429,9 @@ def stream_changelog(spark, folder):
 
 
 def stream_compacted(spark, folder):
-    """The same changelog, with the batches so far merged into a new base after every second batch."""
+    """The same changelog, with each batch merged into a new base."""
     changes = line_changes(_stream(spark, folder, "lineitem"))
-    table = _fed(spark, "stream_compacted", changes, LINE_KEY, ["l_shipdate"], False, compact_every=2)
+    table = _fed(spark, "stream_compacted", changes, LINE_KEY, ["l_shipdate"], False, compact_every=1)
     table.remove_replaced()
     return table.state()
 
@@ -429,23 +469,24 @@ def stream_agg_upsert(spark, folder):
 # --- split reads ------------------------------------------------------------------------------------------------------
 
 
-PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
-
-
 def split_read_range(spark, folder):
     orders = load(spark, folder, "orders")
     lower, upper = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
-    return split.split_by_ranges(orders, "o_orderkey", split.even_ranges(lower, upper, 4))
+    return split.split_evenly(orders, "o_orderkey", lower, upper, 4)
 
 
 def split_read_values(spark, folder):
-    return split.split_by_values(load(spark, folder, "orders"), "o_orderpriority", PRIORITIES)
+    """A split per priority that the data has; a null is in the remaining split, -1."""
+    orders = load(spark, folder, "orders")
+    found = orders.select("o_orderpriority").where("o_orderpriority is not null").distinct().collect()
+    return split.split_by_values(orders, "o_orderpriority", sorted(row[0] for row in found), rest=-1)
 
 
 _REGISTERED = (
     append_orders, append_twice, append_parallel, partitioned_append, batch_agg_sink,
-    upsert_last_wins, upsert_lineitem, upsert_keyed_layout, insert_if_absent, delete_by_key, key_projection,
-    update_by_key, lookup_by_key, row_exists, limit_rows,
+    upsert_last_wins, upsert_lineitem, upsert_keyed_layout, upsert_settled, upsert_other_key_type, insert_if_absent,
+    delete_by_key, delete_other_key_type, key_projection,
+    update_by_key, update_settled, lookup_by_key, row_exists, limit_rows, limit_rows_ties,
     rowkind_flag, changelog_collapse, changelog_collapse_lines, changelog_apply, changelog_apply_settled,
     changelog_violations,
     flush_batches, distinct_keys_per_flush, changelog_collapse_per_flush, flush_windows,

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bulkapply.functions.copycsv import encode_lines
@@ -32,9 +33,21 @@ def write_copy_files(
 
 
 def read_copy_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Decode files of ``write_copy_files``; strings may hold newlines, so a file is read by one task."""
-    return (
-        spark.read.schema(schema)
+    """Decode files of ``write_copy_files``; strings may hold newlines, so a file is read by one task.
+
+    In a file of one column a null is an empty line, which the CSV reader would skip, so such files are read as lines. Of one
+    text column, whose values may hold newlines, a null could not be told from part of a value: that shape is refused.
+    """
+    if len(schema.fields) == 1:
+        only = schema.fields[0]
+        if isinstance(only.dataType, (T.StringType, T.CharType, T.VarcharType)):
+            raise ValueError("files of a single text column cannot be read back: a null and a newline in a text look alike")
+        value = F.when(F.col("value") != "", F.col("value"))
+        lines = spark.read.option("lineSep", "\n").text(path)
+        return lines.select(_decoded(value, only.dataType).alias(only.name))
+    fields = [T.StructField(f.name, T.StringType()) if isinstance(f.dataType, T.BinaryType) else f for f in schema.fields]
+    rows = (
+        spark.read.schema(T.StructType(fields))
         .option("multiLine", True)
         .option("lineSep", "\n")
         .option("escape", '"')
@@ -43,3 +56,13 @@ def read_copy_files(spark: SparkSession, path: str, schema: T.StructType) -> Dat
         .option("mode", "FAILFAST")
         .csv(path)
     )
+    return rows.withColumns({
+        f.name: _decoded(F.col(f.name), f.dataType) for f in schema.fields if isinstance(f.dataType, T.BinaryType)
+    })
+
+
+def _decoded(text: Column, data_type: T.DataType) -> Column:
+    """A field's value: bytes from their hexadecimal form, anything else by a cast."""
+    if isinstance(data_type, T.BinaryType):
+        return F.unhex(F.substr(text, F.lit(3)))
+    return text.cast(data_type)

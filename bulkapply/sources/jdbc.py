@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bulkapply.functions.convert import to_sql_types
-from bulkapply.functions.schema import column_definition
 from bulkapply.operators.changelog import OP, collapse, is_upsert
 from bulkapply.operators.split import range_predicates, value_predicates
 from bulkapply.options import SinkOptions, TargetSpec
@@ -50,19 +49,13 @@ class JdbcTarget:
         return {**self.properties, **{k: v for k, v in given.items() if v is not None}}
 
 
-def column_types(df: DataFrame) -> str:
-    """Column definitions for a table that Spark creates."""
-    return ", ".join(f"{f.name} {column_definition(f.dataType)}" for f in df.schema.fields)
-
-
 def save_with(target: JdbcTarget, options: SinkOptions, mode: str = "overwrite") -> Save:
     """Rows into a table over parallel connections, ``max_rows`` per round trip."""
 
     def save(df: DataFrame, table: str) -> None:
         rows = df if options.parallelism is None else df.repartition(options.parallelism)
         writer = rows.write.format("jdbc").mode(mode).options(**target.login())
-        if mode == "overwrite":
-            writer = writer.option("createTableColumnTypes", column_types(df))
+        # A stage that Spark creates gets the column types of the database's own dialect.
         writer.option("url", target.url).option("dbtable", table).option("batchsize", options.max_rows).save()
 
     return save

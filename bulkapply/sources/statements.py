@@ -9,44 +9,12 @@ def _matching(left: str, right: str, keys: Sequence[str]) -> str:
     return " AND ".join(f"{left}.{k} = {right}.{k}" for k in keys)
 
 
-def _where(conditions: Sequence[str]) -> str:
-    return " WHERE " + " AND ".join(f"{c} = ?" for c in conditions) if conditions else ""
-
-
-def insert_values(table: str, columns: Sequence[str]) -> str:
-    return f"INSERT INTO {table}({', '.join(columns)}) VALUES ({', '.join('?' for _ in columns)})"
-
-
 def on_conflict(columns: Sequence[str], keys: Sequence[str]) -> str:
     """What happens to a row whose key is there: replace every other column, or nothing if there is none."""
     replaced = ", ".join(f"{c}=EXCLUDED.{c}" for c in columns if c not in keys)
     return f" ON CONFLICT ({', '.join(keys)}) DO " + (f"UPDATE SET {replaced}" if replaced else "NOTHING")
 
 
-def upsert_values(table: str, columns: Sequence[str], keys: Sequence[str]) -> str:
-    return insert_values(table, columns) + on_conflict(columns, keys)
-
-
-def update_values(table: str, columns: Sequence[str], conditions: Sequence[str]) -> str:
-    return f"UPDATE {table} SET {', '.join(f'{c} = ?' for c in columns)}{_where(conditions)}"
-
-
-def delete_values(table: str, conditions: Sequence[str]) -> str:
-    return f"DELETE FROM {table}{_where(conditions)}"
-
-
-def select_values(table: str, columns: Sequence[str], conditions: Sequence[str] = ()) -> str:
-    return f"SELECT {', '.join(columns)} FROM {table}{_where(conditions)}"
-
-
-def exists_values(table: str, conditions: Sequence[str]) -> str:
-    return f"SELECT 1 FROM {table}{_where(conditions)}"
-
-
-def limit_clause(n: int) -> str:
-    return f"LIMIT {n}"
-
-
 def insert_staged(table: str, stage: str, columns: Sequence[str], where: str = "") -> str:
     names = ", ".join(columns)
     return f"INSERT INTO {table}({names}) SELECT {names} FROM {stage}" + (f" WHERE {where}" if where else "")
@@ -61,10 +29,5 @@ def delete_staged(table: str, stage: str, keys: Sequence[str], where: str = "")
     return f"DELETE FROM {table} USING {stage} WHERE {matched}" + (f" AND {where}" if where else "")
 
 
-def update_staged(table: str, stage: str, columns: Sequence[str], keys: Sequence[str]) -> str:
-    assignments = ", ".join(f"{c} = {stage}.{c}" for c in columns)
-    return f"UPDATE {table} SET {assignments} FROM {stage} WHERE {_matching(table, stage, keys)}"
-
-
 def drop(table: str) -> str:
     return f"DROP TABLE IF EXISTS {table}"

@@ -69,6 +69,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _hadoop(spark, path)
+    return fs.getFileStatus(jpath).isDirectory()
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, jpath = _hadoop(spark, path)
     return fs.delete(jpath, True)
