@@ -17,16 +17,19 @@ def to_declared(df: DataFrame, declared: Mapping[str, T.DataType]) -> DataFrame:
     return df.select(*[F.col(c).cast(t).alias(c) for c, t in declared.items()])
 
 
-def to_sql_types(df: DataFrame) -> DataFrame:
-    """Columns as writers accept them: TIME as ``HH:mm:ss``, instants as local time of the session's zone."""
+def to_sql_types(df: DataFrame, instants: bool = False) -> DataFrame:
+    """Columns as writers accept them: TIME as ``HH:mm:ss``, instants as local time of the session's zone.
+
+    Targets that hold ``instants``, as Parquet does, get them as they are.
+    """
     validate_schema(df.schema)
-    return df.select(*[_at_edge(f).alias(f.name) for f in df.schema.fields])
+    return df.select(*[_at_edge(f, instants).alias(f.name) for f in df.schema.fields])
 
 
-def _at_edge(field: T.StructField):
+def _at_edge(field: T.StructField, instants: bool):
     column = F.col(field.name)
     if isinstance(field.dataType, T.TimeType):
         return F.substring(column.cast("string"), 1, 8)
-    if isinstance(field.dataType, T.TimestampType):
+    if isinstance(field.dataType, T.TimestampType) and not instants:
         return column.cast("timestamp_ntz")
     return column

@@ -76,11 +76,12 @@ def distinct_keys(df: DataFrame, flush: Sequence[str], keys: dict[str, Column])
     return df.select(*flush, *[expr.alias(name) for name, expr in keys.items()]).distinct()
 
 
-def flush_windows(df: DataFrame, time_col: str, interval: str) -> DataFrame:
-    """Time-triggered flush: rows per interval, as ``flush_start`` and ``n_rows``."""
+def flush_windows(df: DataFrame, time_col: str, interval: str, writer: Sequence[str] = ()) -> DataFrame:
+    """Time-triggered flush: rows per interval, and per ``writer`` where each has a timer of its own, as ``flush_start``
+    and ``n_rows``."""
     window = F.window(time_col, interval)
     return (
-        df.groupBy(window.alias("_window"))
+        df.groupBy(*writer, window.alias("_window"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(F.col("_window.start").alias("flush_start"), "n_rows")
+        .select(*writer, F.col("_window.start").alias("flush_start"), "n_rows")
     )

@@ -133,6 +133,9 @@ def oracle_sql() -> dict[str, str]:
         "changelog_collapse_per_flush": f"SELECT *, {_EVENT_OP} AS _op FROM {_FLUSHED} QUALIFY row_number() OVER "
         "(PARTITION BY event_type, flush_id, user_id ORDER BY ts DESC, event_id DESC) = 1",
         "flush_windows": "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS flush_start, count(*) AS n_rows FROM events GROUP BY 1",
+        "flush_windows_per_writer": "SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS flush_start, count(*) AS n_rows "
+        "FROM events GROUP BY 1, 2",
+        "stream_custom_dml": "SELECT o_orderkey AS id, lower(o_orderstatus) AS status FROM orders",
         "custom_dml_bind": _ORDERS_BOUND,
         "custom_dml_sql": "SELECT id, upper(buyer) AS buyer, CAST(amount * 2 AS DECIMAL(13,2)) AS doubled, ordered_on "
         f"FROM ({_ORDERS_BOUND})",

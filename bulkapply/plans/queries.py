@@ -278,6 +278,10 @@ def flush_windows(spark, folder):
     return flush.flush_windows(load(spark, folder, "events"), "ts", "1 hour")
 
 
+def flush_windows_per_writer(spark, folder):
+    return flush.flush_windows(load(spark, folder, "events"), "ts", "1 hour", ["event_type"])
+
+
 # --- custom statements ------------------------------------------------------------------------------------------------
 
 
@@ -404,6 +408,22 @@ def stream_append(spark, folder):
     return tables.read_table(spark, f"{path}/data")
 
 
+def stream_custom_dml(spark, folder):
+    """A statement per micro-batch; it overwrites the batch's own partition, so a repeated batch adds nothing."""
+    path = scratch_path(spark, "stream_dml")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(
+        f"CREATE TABLE {name} (id BIGINT, status STRING, batch BIGINT) USING parquet PARTITIONED BY (batch) LOCATION '{path}/data'"
+    )
+    sink.statement_stream(
+        _stream(spark, folder, "orders"),
+        f"INSERT OVERWRITE {name} PARTITION (batch = {{batch_id}}) SELECT id, lower(status) FROM {{batch}}",
+        {"id": F.col("o_orderkey"), "status": F.col("o_orderstatus")},
+        f"{path}/checkpoint", available_now=True,
+    ).awaitTermination()
+    return spark.table(name).select("id", "status")
+
+
 def stream_copy_files(spark, folder):
     path = scratch_path(spark, "stream_copy")
     documents = _stream(spark, folder, "documents")
@@ -489,11 +509,11 @@ _REGISTERED = (
     update_by_key, update_settled, lookup_by_key, row_exists, limit_rows, limit_rows_ties,
     rowkind_flag, changelog_collapse, changelog_collapse_lines, changelog_apply, changelog_apply_settled,
     changelog_violations,
-    flush_batches, distinct_keys_per_flush, changelog_collapse_per_flush, flush_windows,
+    flush_batches, distinct_keys_per_flush, changelog_collapse_per_flush, flush_windows, flush_windows_per_writer,
     custom_dml_bind, custom_dml_sql,
     copy_encode_docs, copy_encode_pages, copy_encode_lineitem, copy_encode_events, copy_encode_nulls, copy_roundtrip,
     convert_types, schema_report, schema_conformance,
-    stream_append, stream_copy_files, stream_upsert, stream_changelog, stream_compacted, stream_replay,
+    stream_append, stream_custom_dml, stream_copy_files, stream_upsert, stream_changelog, stream_compacted, stream_replay,
     stream_agg_upsert, split_read_range, split_read_values,
 )
 

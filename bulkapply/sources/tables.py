@@ -12,7 +12,7 @@ from bulkapply.options import SinkOptions
 
 def append(df: DataFrame, path: str, options: SinkOptions = SinkOptions()) -> None:
     """Append rows, duplicates included. The files of a job become visible together."""
-    rows = to_sql_types(df)
+    rows = to_sql_types(df, instants=True)
     if options.parallelism is not None:
         rows = rows.repartition(options.parallelism)
     rows.write.mode("append").parquet(path)
@@ -24,7 +24,7 @@ def append_by_writer(df: DataFrame, path: str, writer: str) -> None:
     The rebalance hint brings a writer's rows together, but adaptive execution splits a writer that is too large for one
     task over several files, and joins small ones.
     """
-    to_sql_types(df).hint("rebalance", writer).write.mode("append").partitionBy(writer).parquet(path)
+    to_sql_types(df, instants=True).hint("rebalance", writer).write.mode("append").partitionBy(writer).parquet(path)
 
 
 def save_keyed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> None:
@@ -33,7 +33,7 @@ def save_keyed(df: DataFrame, table: str, path: str, keys: Sequence[str], bucket
     Later joins on the key read it in place: an upsert then shuffles the changes, never the table.
     """
     (
-        to_sql_types(df)
+        to_sql_types(df, instants=True)
         .repartition(buckets, *keys)
         .write.mode("overwrite")
         .bucketBy(buckets, *keys)

@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
+_MARK = "_committed"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -54,16 +55,22 @@ def _hadoop(spark: SparkSession, path: str):
 
 
 def committed(spark: SparkSession, parent: str, prefix: str) -> dict[int, str]:
-    """``{n: path}`` for each ``parent/<prefix><n>`` that a finished write marked with ``_SUCCESS``.
+    """``{n: path}`` for each ``parent/<prefix><n>`` that ``mark_committed`` marked.
 
     Lists directory names only: one entry per write, never per row or per data file.
     """
     fs, _ = _hadoop(spark, parent)
-    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{parent}/{prefix}*/_SUCCESS"))
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{parent}/{prefix}*/{_MARK}"))
     paths = [status.getPath().getParent() for status in (found or [])]
     return {int(p.getName()[len(prefix):]): p.toString() for p in paths}
 
 
+def mark_committed(spark: SparkSession, path: str) -> None:
+    """Mark a folder as completely written; committers need not leave a marker of their own."""
+    fs, _ = _hadoop(spark, path)
+    fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_MARK}"), True).close()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, jpath = _hadoop(spark, path)
     return fs.exists(jpath)

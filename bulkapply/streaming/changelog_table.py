@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from bulkapply.functions.schema import validate_schema
 from bulkapply.operators.changelog import OP, check_keys, collapse, is_upsert, without_keys
 from bulkapply.options import SinkOptions
-from bulkapply.storage import committed, delete, exists
+from bulkapply.storage import committed, delete, exists, mark_committed
 from bulkapply.streaming.sink import apply_stream
 
 BATCH = "batch_id"
@@ -58,7 +58,11 @@ class ChangelogTable:
         """Replace this batch's folder with its last change per key."""
         check_keys(changes, self.keys)
         rows = collapse(changes.select(*self.schema.names), self.keys, self.sequence_by, self.op_col)
-        rows.write.mode("overwrite").parquet(f"{self.path}/log/{_LOG}{batch_id}")
+        self._write(rows, f"{self.path}/log/{_LOG}{batch_id}")
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        rows.write.mode("overwrite").parquet(path)
+        mark_committed(self.spark, path)
 
     def feed(
         self,
@@ -67,10 +71,12 @@ class ChangelogTable:
         output_mode: str = "append",
         available_now: bool = False,
         compact_every: int | None = None,
+        keep_bases: int | None = None,
     ) -> StreamingQuery:
         """Start the stream. Its checkpoint lies inside the table, because batch ids mean nothing without it.
 
-        With ``compact_every`` the stream compacts after that many batches, which bounds what a reader merges.
+        With ``compact_every`` the stream compacts after that many batches, which bounds what a reader merges; with ``keep_bases``
+        it then deletes what the newest so many bases replace, which bounds the folders. Readers have that many compactions' time.
         """
         if compact_every is not None and compact_every <= 0:
             raise ValueError("compact_every must be positive")
@@ -82,6 +88,8 @@ class ChangelogTable:
             self.write_batch(rows, batch_id)
             if compact_every is not None and (batch_id + 1) % compact_every == 0:
                 self.compact()
+                if keep_bases is not None:
+                    self.remove_replaced(keep_bases)
 
         return apply_stream(stream, flush, checkpoint, options, output_mode, available_now)
 
@@ -110,19 +118,19 @@ class ChangelogTable:
     def _merged(self) -> tuple[int, DataFrame]:
         """Last change per key over base and log, removals included.
 
-        Base rows whose key did not change pass by the sort; while the changed keys fit under the broadcast threshold
-        the base is not shuffled at all.
+        Without later batches the base is the answer. Otherwise it is read once: with arrival order base rows whose key did
+        not change pass by the sort, and while the changed keys fit under the broadcast threshold the base is not shuffled
+        at all; without it base and batches are collapsed together, every task sending one row per key.
         """
         through, base = self._base()
         batches, log = self._log(through)
+        if through >= 0 and not batches:
+            return through, base
         order = [BATCH, *self.sequence_by] if self.arrival_order else self.sequence_by
-        if through >= 0 and not self.arrival_order:
-            contested = base.join(log.select(*self.keys).distinct(), self.keys, "left_semi")
-            changed = log.unionByName(contested.withColumn(BATCH, F.lit(through).cast("long")))
-        else:
-            changed = log
+        together = through >= 0 and not self.arrival_order
+        changed = log.unionByName(base.withColumn(BATCH, F.lit(through).cast("long"))) if together else log
         last = collapse(changed, self.keys, order, self.op_col).select(*self.schema.names)
-        merged = last if through < 0 else without_keys(base, log, self.keys).unionByName(last)
+        merged = last if through < 0 or together else without_keys(base, log, self.keys).unionByName(last)
         return max([through, *batches]), merged
 
     def state(self) -> DataFrame:
@@ -138,19 +146,21 @@ class ChangelogTable:
         through, merged = self._merged()
         if through >= 0 and through not in committed(self.spark, f"{self.path}/base", _BASE):
             kept = merged.filter(is_upsert(F.col(self.op_col))) if self.arrival_order else merged
-            kept.write.mode("overwrite").parquet(f"{self.path}/base/{_BASE}{through}")
+            self._write(kept, f"{self.path}/base/{_BASE}{through}")
         return through
 
-    def remove_replaced(self) -> int:
-        """Delete bases and batches that the newest base replaces; returns how many folders.
+    def remove_replaced(self, keep: int = 1) -> int:
+        """Delete bases and batches that the newest ``keep`` bases replace; returns how many folders.
 
-        Call it when no reader started before the last compaction is still running. The newest batch is kept, because a
-        restarted stream may repeat it.
+        Call it when no reader started before the oldest of these compactions is still running. The newest batch is kept,
+        because a restarted stream may repeat it.
         """
+        if keep < 1:
+            raise ValueError("the newest base must be kept")
         bases = committed(self.spark, f"{self.path}/base", _BASE)
         if not bases:
             return 0
-        newest = max(bases)
+        newest = sorted(bases)[-keep:][0]
         log = committed(self.spark, f"{self.path}/log", _LOG)
         old = [p for n, p in bases.items() if n < newest] + [p for n, p in log.items() if n < newest]
         for path in old:

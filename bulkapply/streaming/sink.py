@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from bulkapply.functions.convert import to_sql_types
 from bulkapply.options import SinkOptions
 from bulkapply.retry import with_retry
 from bulkapply.sources.copyfiles import write_copy_files
+from bulkapply.sources.dml import bind, run_statement
 
 Apply = Callable[[DataFrame, int], None]
 
@@ -31,7 +32,7 @@ def append_stream(
     available_now: bool = False,
 ) -> StreamingQuery:
     """Append to a Parquet target. Spark's file sink records each batch's files, so a repeated batch adds nothing."""
-    rows = to_sql_types(stream)
+    rows = to_sql_types(stream, instants=True)
     if options.parallelism is not None:
         rows = rows.repartition(options.parallelism)
     writer = rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
@@ -58,6 +59,25 @@ def apply_stream(
     return _triggered(writer, options, available_now).start()
 
 
+def statement_stream(
+    stream: DataFrame,
+    statement: str,
+    bindings: Mapping[str, Column],
+    checkpoint: str,
+    options: SinkOptions = SinkOptions(),
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Run a custom statement on every micro-batch, bound as ``dml.bind`` does.
+
+    ``{batch_id}`` in the statement becomes the batch's number, by which a repeated batch can replace what it wrote.
+    """
+
+    def run(rows: DataFrame, batch_id: int) -> None:
+        run_statement(rows.sparkSession, statement.replace("{batch_id}", str(int(batch_id))), bind(rows, bindings))
+
+    return apply_stream(stream, run, checkpoint, options, "append", available_now)
+
+
 def copy_stream(
     stream: DataFrame,
     path: str,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from bulkapply import SinkOptions
 from bulkapply.sources import copyfiles, dml, tables
-from bulkapply.storage import clear_scratch, committed, materialize, scratch_path
+from bulkapply.storage import clear_scratch, committed, mark_committed, materialize, scratch_path
 
 BOOKS = [
     (1, "Stream Processing", "Ada", Decimal("55.00"), 3), (2, "Tables", "Ben", Decimal("25.50"), 0),
@@ -74,7 +74,9 @@ def test_scratch_is_shared_unique_and_clearable(spark):
     assert one != two and one.startswith(spark.conf.get("spark.checkpoint.dir"))
     df = materialize(spark.range(3).withColumn("c", F.lit(None).cast("string")), "m")
     assert df.schema.simpleString() == "struct<id:bigint,c:string>" and df.count() == 3
-    spark.range(1).write.parquet(f"{one}/n=7")
+    for n in (7, 8):
+        spark.range(1).write.parquet(f"{one}/n={n}")
+    mark_committed(spark, f"{one}/n=7")
     assert list(committed(spark, one, "n=")) == [7]
     assert committed(spark, f"{one}/none", "n=") == {}
     assert clear_scratch(spark)

@@ -97,7 +97,7 @@ def test_unfinished_batch_is_not_read(spark, folder):
     table = table_at(spark, folder)
     table.write_batch(spark.createDataFrame([(1, 1, "a", "+I")], SCHEMA), 0)
     table.write_batch(spark.createDataFrame([(1, 2, "half", "+U")], SCHEMA), 1)
-    os.remove(f"{folder}/table/log/batch_id=1/_SUCCESS")
+    os.remove(f"{folder}/table/log/batch_id=1/_committed")
     assert state(table) == [(1, "a")]
 
 
@@ -217,3 +217,29 @@ def test_failing_flush_is_retried(spark, folder):
         stream_of(spark, f"{folder}/in"), twice, f"{folder}/cp", SinkOptions(retry_interval=0.01), available_now=True
     ).awaitTermination()
     assert calls == [1, 1, 1]
+
+
+def test_batches_count_without_the_committer_s_own_marker(spark, folder):
+    table = table_at(spark, folder)
+    table.write_batch(spark.createDataFrame([(1, 1, "a", "+I")], SCHEMA), 0)
+    os.remove(f"{folder}/table/log/batch_id=0/_SUCCESS")
+    assert state(table) == [(1, "a")]
+    table.compact()
+    assert state(table) == [(1, "a")]
+    assert "FileScan" in plan_of(table) and "Exchange" not in plan_of(table)
+
+
+def plan_of(table):
+    return table.state()._jdf.queryExecution().executedPlan().toString()
+
+
+def test_older_bases_are_kept_as_asked(spark, folder):
+    table = table_at(spark, folder)
+    for n in range(4):
+        table.write_batch(spark.createDataFrame([(n, n, "v", "+I")], SCHEMA), n)
+        table.compact()
+    table.remove_replaced(keep=2)
+    assert sorted(p for p in os.listdir(f"{folder}/table/base") if p.startswith("through")) == ["through=2", "through=3"]
+    assert len(state(table)) == 4
+    with pytest.raises(ValueError):
+        table.remove_replaced(keep=0)
