@@ -20,7 +20,6 @@ import operator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,7 +68,7 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
         chosen = drawn if chosen is None else chosen.union(drawn)
     chosen = materialize(chosen, "sample")
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("hash"))
-    return texts.join(F.broadcast(chosen), ["doc_id", "hash"]).dropDuplicates(["hash"]).select("text", "label", "weight")
+    return texts.join(F.broadcast(chosen), ["doc_id", "hash"]).dropDuplicates(["hash"]).select("text", "label", "weight", "hash")
 
 
 class Model:
@@ -80,12 +79,22 @@ class Model:
         self.labels, self.weights = labels.astype(np.float32), weights.astype(np.float32)
         if not len(labels):
             return
-        present = (features > 0).mean(axis=0)
-        self.rarity = np.log((1.0 + 1e-3) / (present + 1e-3)).astype(np.float32) + 0.1
-        scaled = self._scaled(features)
-        _, directions = np.linalg.eigh(scaled.T @ scaled)
-        self.projection = np.ascontiguousarray(directions[:, ::-1][:, :RANK]).astype(np.float32)
-        self.vectors = self._unit(scaled @ self.projection)
+        present = np.count_nonzero(features, axis=0) / len(features)
+        self.rarity = (np.log((1.0 + 1e-3) / (present + 1e-3)) + 0.1).astype(np.float32)
+        features *= self.rarity
+        features /= np.maximum(np.linalg.norm(features, axis=1, keepdims=True), 1e-9)
+        self.projection = self._leading(features.T @ features)
+        self.vectors = self._unit(features @ self.projection)
+
+    @staticmethod
+    def _leading(products: np.ndarray) -> np.ndarray:
+        """The leading directions of a symmetric matrix, by subspace iteration; takes little more memory than the matrix."""
+        rank = min(RANK, len(products))
+        basis = np.random.default_rng(1).standard_normal((len(products), min(len(products), 2 * rank))).astype(np.float32)
+        for _ in range(12):
+            basis, _ = np.linalg.qr(products @ basis)
+        values, turned = np.linalg.eigh(basis.T @ products @ basis)
+        return np.ascontiguousarray(basis @ turned[:, ::-1][:, :rank]).astype(np.float32)
 
     def _scaled(self, features: np.ndarray) -> np.ndarray:
         return self._unit(features * self.rarity)
@@ -114,14 +123,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     def rows(batches):
         for batch in batches:
             features = [_features(text.as_py()).tobytes() for text in batch.column(0)]
-            yield [features, batch.column(1), batch.column(2)]
-
-    sample = in_arrow(_sample(docs, labels), rows, "features binary, label int, weight double").toArrow()
-    # The order of the rows must not decide anything, the sum over them included.
-    order = sorted(range(sample.num_rows), key=lambda i: sample.column(0)[i].as_py())
-    sample = sample.take(pa.array(order, pa.int64()))
-    features = np.frombuffer(b"".join(sample.column(0).to_pylist()), np.float32).reshape(-1, (1 << DIMS_LOG2) + 2)
-    return Model(features, sample.column(1).to_numpy(), sample.column(2).to_numpy())
+            yield [features, batch.column(1), batch.column(2), batch.column(3)]
+
+    sample = in_arrow(_sample(docs, labels), rows, "features binary, label int, weight double, hash long").toArrow()
+    # The order of the rows must not decide anything, the sum over them included. One copy only is made on the driver.
+    order = np.argsort(sample.column(3).to_numpy())
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    features, at = np.empty((len(order), (1 << DIMS_LOG2) + 2), np.float32), 0
+    for chunk in sample.column(0).chunks:
+        for row in chunk:
+            features[place[at]] = np.frombuffer(row.as_buffer(), np.float32)
+            at += 1
+    label, weight = sample.column(1).to_numpy()[order], sample.column(2).to_numpy()[order]
+    del sample
+    return Model(features, label, weight)
 
 
 def score(docs: DataFrame, model: Model) -> Column:
