@@ -4,9 +4,11 @@ The contexts of up to ``ORDER`` bytes before every byte of the training texts ar
 its own (byte 0). A context's symbols get c / (C + q), the escape q / (C + q), with C occurrences of q symbols (method C);
 what escapes goes to the next shorter context without the symbols already offered (exclusion). A pretrained trie gives
 fixed probabilities, so each context's whole row of symbols is worked out once, and scoring a text is three table
-look-ups per byte. The trie keeps all contexts of one byte and, of longer ones, the ``CONTEXTS`` most frequent per
-order, and is broadcast: at most 240 megabytes if all 256 bytes occur, some 100 for texts of a few scripts. A context that is not
-kept is served by its longest kept suffix.
+look-ups per byte. The broadcast trie keeps all contexts of one byte and, of longer ones, the ``CONTEXTS`` most frequent per
+order: at most 240 megabytes if all 256 bytes occur, some 100 for texts of a few scripts. It only saves work: a byte behind ``ORDER``
+bytes that are not in it is looked up as a piece with them, in the broadcast values of the ``VALUES`` most frequent such pieces, else
+by a join with the written values of all pieces, summed per document. Pieces that only held-out texts have get their value by
+joins with the counts of each order. So all counted contexts take part in every score, however many there are.
 
 The word model takes the counts of all words. The ``FREQUENT`` most frequent are broadcast; the other words of a text meet their
 counts in a join on the word, so every word counts however many there are.
@@ -22,7 +24,7 @@ import math
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bulkapply.llm.common import held_out, in_arrow
@@ -31,15 +33,19 @@ from bulkapply.storage import materialize
 ORDER = 5
 SHORT = 3
 CONTEXTS = {2: 16_000, 3: 32_000, 4: 40_000, 5: 40_000}
+VALUES = 2_000_000
 FREQUENT = 100_000
 FOLDS, HELD_OUT = 10, 0
 ADDED = 0.1
 _END = b""
 _PAD = bytes(ORDER)
 _CHUNK = 1 << 20
+_TEXTS = 1 << 15
+# Texts scored at once, so that a worker holds few of them beside the tables.
+_SCORED = 500
 _ROWS = 4096
 _WORDS_AT_ONCE = 400_000
-_GRAMS_AT_ONCE = 3_000_000
+_GRAMS_AT_ONCE = 1_200_000
 
 
 def words(text: bytes) -> list[bytes]:
@@ -55,12 +61,12 @@ def _stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _chunks(texts):
-    """Lists of texts of about ``_CHUNK`` bytes."""
+    """Lists of texts of about ``_CHUNK`` bytes, at most ``_TEXTS``."""
     block, size = [], 0
     for text in texts:
         block.append(text)
         size += len(text)
-        if size >= _CHUNK:
+        if size >= _CHUNK or len(block) == _TEXTS:
             yield block
             block, size = [], 0
     if block:
@@ -151,7 +157,8 @@ class Trie:
 
     ``symbol`` maps bytes to columns; bytes that no training text has share the last column. ``short`` finds the row of the
     longest kept context among the last ``SHORT`` bytes, and each of ``steps`` extends a row of full length by one byte more.
-    A context counts as kept only if its suffixes are.
+    A context counts as kept only if its suffixes are. Rows from ``full`` on are those of ``ORDER`` bytes. ``grams`` are pieces,
+    sorted, whose contexts are not kept, and ``values`` their probabilities.
     """
 
     def __init__(self, orders: list[tuple[np.ndarray, np.ndarray]]):
@@ -169,33 +176,32 @@ class Trie:
         self.log10[0] = uniform
         self._fill(0, np.zeros(1, np.int64), np.zeros(1, np.int64), numbers, counts)
         # The row of each suffix of up to three bytes, given by the columns of its bytes; then one step per longer order.
-        rows, short, self.steps = 1, np.zeros(1, np.int32), []
+        rows, begun, short, self.steps = 1, 0, np.zeros(1, np.int32), []
         for k in range(1, ORDER + 1):
             numbers, counts = orders[k]
             context = np.unique(numbers >> 8)
             columns = [self.symbol[context >> 8 * (k - 1 - i) & 255] for i in range(k)]
+            place = np.zeros(len(context), np.int64)
+            for c in columns[-SHORT:]:
+                place = place * width + c
+            parent = short[place % width ** (k - 1)] if k <= SHORT else self._walk(short, columns[1:])
+            fits = parent >= begun
+            context, columns, parent, place = context[fits], [c[fits] for c in columns], parent[fits], place[fits]
+            kept = np.isin(numbers >> 8, context)
+            numbers, counts = numbers[kept], counts[kept]
             own = np.arange(rows, rows + len(context), dtype=np.int32)
             if k <= SHORT:
-                place = np.zeros(len(context), np.int64)
-                for c in columns:
-                    place = place * width + c
-                parent = short[place % width ** (k - 1)]
                 short = np.tile(short, width)
                 short[place] = own
             else:
-                parent = self._walk(short, columns[1:])
-                first = begun
-                grown = np.full((rows - first, width), -1, np.int32)
-                fits = parent >= first
-                context, columns, parent = context[fits], [c[fits] for c in columns], parent[fits]
-                kept = np.isin(numbers >> 8, context)
-                numbers, counts, own = numbers[kept], counts[kept], own[: len(context)]
-                grown[parent - first, columns[0]] = own
-                self.steps.append((first, grown))
+                grown = np.full((rows - begun, width), -1, np.int32)
+                grown[parent - begun, columns[0]] = own
+                self.steps.append((begun, grown))
             begun = rows
             self._fill(rows, parent, context, numbers, counts)
             rows += len(context)
-        self.short = short
+        self.short, self.full, self.log10 = short, begun, self.log10[:rows]
+        self.grams, self.values = np.empty(0, np.int64), np.empty(0, np.float32)
         self.log10[:, -1] /= max(1, unseen)
         np.maximum(self.log10, 1e-30, out=self.log10)
         np.log10(self.log10, out=self.log10)
@@ -227,48 +233,147 @@ class Trie:
             self.log10[first + begin : first + end] = own * ((1.0 - escape) / np.maximum(total, 1)) + rest * (
                 escape / np.maximum(left, 1e-300))
 
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """The log10 probability of each text with its end."""
-        out = []
+    def score(self, texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The log10 probability of each text with its end, without the pieces that are not known here.
+
+        Those are the second result: for each the number of its text, ascending, the piece, and how often the text has it.
+        """
+        out, others, before = [np.empty(0)], [[np.empty(0, np.int64)] * 3], 0
         for block in _chunks(texts):
             stream, starts = _stream(block)
             column = self.symbol[stream]
             n = len(column) - ORDER
             row = self._walk(self.short, [column[i : n + i] for i in range(ORDER)])
             each = self.log10[row, column[ORDER:]].astype(np.float64)
+            cold = row < self.full
             for i in range(1, ORDER):
                 each[starts[1:] - ORDER - i] = 0.0
+                cold[starts[1:] - ORDER - i] = False
+            cold = np.flatnonzero(cold)
+            number = np.zeros(len(cold), np.int64)
+            for i in range(ORDER + 1):
+                number = number << 8 | stream[cold + i]
+            distinct, which = np.unique(number, return_inverse=True)
+            place = np.searchsorted(self.grams, distinct)
+            known = place < len(self.grams)
+            known[known] = self.grams[place[known]] == distinct[known]
+            value = np.zeros(len(distinct))
+            value[known] = self.values[place[known]]
+            each[cold] = value[which]
+            missing = ~known[which]
+            text = np.searchsorted(starts - ORDER, cold[missing], "right") - 1
+            pairs, times = np.unique(text << 8 * (ORDER + 1) | number[missing], return_counts=True)
+            others.append([before + (pairs >> 8 * (ORDER + 1)), pairs & _mask(ORDER + 1), times])
             out.append(np.add.reduceat(each, starts - ORDER))
-        return np.concatenate(out) if out else np.empty(0)
+            before += len(block)
+        return np.concatenate(out), [np.concatenate(column) for column in zip(*others)]
 
 
-def train(counts: DataFrame) -> Trie:
-    """The trie of the most frequent contexts of each order, from ``counted``."""
-    level = counts.where("gram is not null").select("gram", "n")
-    orders = []
-    for k in range(ORDER, -1, -1):
-        if k < ORDER:
-            mask = (1 << 8 * (k + 1)) - 1
-            level = materialize(
-                level.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n")), f"order-{k}")
-        kept = level
+def _mask(size: int) -> int:
+    return (1 << 8 * size) - 1
+
+
+def _context(gram: Column) -> Column:
+    return F.call_function("shiftright", gram, F.lit(8))
+
+
+def _last(gram: Column, size: int) -> Column:
+    """The last ``size`` bytes of a piece."""
+    return gram.bitwiseAND(F.lit(_mask(size)).cast("long"))
+
+
+# What a context's counts are shared by: its occurrences and its escapes, of which there are none if it has every symbol.
+_SHARES = "total + if(kinds < 256, kinds, 0)"
+
+
+def levels_of(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """For each order ``gram, n`` and ``context, total, kinds, below``, from ``counted``.
+
+    ``below`` is how often the next shorter context has the symbols of this one; without any, each byte counts once.
+    """
+    levels = [counts.where("gram is not null").select("gram", "n")]
+    for k in range(ORDER - 1, -1, -1):
+        shorter = levels[0].groupBy(_last(F.col("gram"), k + 1).alias("gram")).agg(F.sum("n").alias("n"))
+        levels.insert(0, materialize(shorter, f"order-{k}"))
+    out = []
+    for k, level in enumerate(levels):
+        if k:
+            lower = levels[k - 1].select(F.col("gram").alias("suffix"), F.col("n").alias("below"))
+            grams = level.withColumn("suffix", _last(F.col("gram"), k)).join(lower, "suffix")
+        else:
+            grams = level.withColumn("below", F.lit(1))
+        contexts = grams.groupBy(_context(F.col("gram")).alias("context")).agg(
+            F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"), F.sum("below").alias("below"))
+        out.append((level, materialize(contexts, f"contexts-{k}")))
+    return out
+
+
+def train(levels: list[tuple[DataFrame, DataFrame]], values: DataFrame) -> Trie:
+    """The trie of the most frequent contexts of each order whose suffixes are kept, with the most frequent other pieces."""
+    orders, kept = [], None
+    for k, (level, contexts) in enumerate(levels):
         if k in CONTEXTS:
-            context = F.call_function("shiftright", F.col("gram"), F.lit(8))
-            contexts = materialize(level.groupBy(context.alias("context")).agg(F.sum("n").alias("n")), "contexts")
-            frequent = _frequent(contexts, CONTEXTS[k]).select("context")
-            kept = level.withColumn("context", context).join(F.broadcast(frequent), "context", "left_semi")
-        found = kept.select("gram", "n").toArrow()
-        numbers, n = found.column(0).to_numpy(), found.column(1).to_numpy()
-        order = np.argsort(numbers)
-        orders.append((numbers[order], n[order]))
-    return Trie(orders[::-1])
+            candidates = contexts.select("context", F.col("total").alias("n"))
+            if kept is not None:
+                suffixes = F.broadcast(kept.select(F.col("context").alias("suffix")))
+                candidates = candidates.withColumn("suffix", _last(F.col("context"), k - 1)).join(suffixes, "suffix", "left_semi")
+            kept = materialize(_frequent(candidates, CONTEXTS[k]).select("context"), "kept")
+            level = level.withColumn("context", _context(F.col("gram"))).join(F.broadcast(kept), "context", "left_semi")
+        orders.append(_sorted(level.select("gram", "n")))
+    trie = Trie(orders)
+    if kept is not None:
+        values = values.withColumn("context", _context(F.col("gram"))).join(F.broadcast(kept), "context", "left_anti")
+    grams, found = _sorted(_frequent(values, VALUES).select("gram", "value"))
+    trie.grams, trie.values = grams, found.astype(np.float32)
+    return trie
+
+
+def _sorted(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    found = rows.toArrow()
+    numbers, others = found.column(0).to_numpy(), found.column(1).to_numpy()
+    order = np.argsort(numbers)
+    return numbers[order], others[order]
+
+
+def values_of(levels: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """``gram, n, value`` of all pieces of the training texts: the log10 probability of the symbol behind the context."""
+    level, contexts = levels[ORDER]
+    known = level.withColumn("context", _context(F.col("gram"))).join(contexts, "context")
+    return materialize(known.select("gram", "n", F.log10(F.col("n") / F.expr(_SHARES)).alias("value")), "values")
+
+
+def novel_values(grams: DataFrame, levels: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """``gram, value`` of distinct pieces that no training text has.
+
+    From the longest context down, what is escaped is spread over the next shorter one's symbols but those already offered:
+    ``left`` is how often it has the latter, null while no longer context was known.
+    """
+    rows = grams.select(
+        "gram", F.lit(0.0).alias("spent"), F.lit(None).cast("long").alias("left"), F.lit(None).cast("double").alias("value"))
+    for k in range(ORDER, -1, -1):
+        level, contexts = levels[k]
+        rows = rows.withColumn("piece", _last(F.col("gram"), k + 1)).withColumn("context", _context(F.col("piece")))
+        rows = rows.join(level.withColumnRenamed("gram", "piece"), "piece", "left").join(contexts, "context", "left")
+        shares = F.expr(_SHARES)
+        spent = F.col("spent") - F.when(F.col("left").isNull(), 0.0).otherwise(F.log10((shares - F.col("left")) / shares))
+        escape = F.log10(F.col("kinds") / (F.col("total") + F.col("kinds")))
+        known = F.col("total").isNotNull()
+        rows = rows.select(
+            "gram",
+            F.when(known, spent + escape).otherwise(F.col("spent")).alias("spent"),
+            F.when(known, F.col("below")).alias("left"),
+            F.coalesce("value", F.when(F.col("n").isNotNull(), spent + F.log10(F.col("n") / shares))).alias("value"))
+    uniform = F.col("spent") - F.log10(256 - F.coalesce("left", F.lit(0)))
+    return rows.select("gram", F.coalesce("value", uniform).alias("value"))
 
 
 def score(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``, a row for each row of ``docs``."""
     spark = docs.sparkSession
     counts = counted(docs)
-    trie = spark.sparkContext.broadcast(train(counts))
+    levels = levels_of(counts)
+    values = values_of(levels)
+    trie = spark.sparkContext.broadcast(train(levels, values))
     vocabulary = counts.where("word is not null").select("word", "n")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     floor = math.log10(total + ADDED * (distinct + 1))
@@ -281,7 +386,14 @@ def score(docs: DataFrame) -> DataFrame:
 
         known = frequent.value
         kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int32())]))
-        for batch in batches:
+
+        def scores(texts):
+            each, (text, gram, times) = trie.value.score(texts)
+            offsets = np.searchsorted(text, np.arange(len(texts) + 1)).astype(np.int32)
+            pieces = pa.StructArray.from_arrays([pa.array(gram), pa.array(times.astype(np.int32))], ["gram", "times"])
+            return [each, pa.ListArray.from_arrays(pa.array(offsets), pieces)]
+
+        for batch in (whole.slice(at, _SCORED) for whole in batches for at in range(0, whole.num_rows, _SCORED)):
             texts = [text.as_py() or b"" for text in batch.column(3)]
             n_tokens, n_known, base, rare = [], [], [], []
             for text in texts:
@@ -293,7 +405,7 @@ def score(docs: DataFrame) -> DataFrame:
                 n_known.append(len(tokens) - sum(others.values()))
                 base.append(sum(filter(None, found)))
                 rare.append([{"word": word, "times": times} for word, times in others.items()])
-            yield [batch.column(0), batch.column(1), batch.column(2), n_tokens, n_known, base, trie.value.score(texts),
+            yield [batch.column(0), batch.column(1), batch.column(2), n_tokens, n_known, base, *scores(texts),
                    pa.array(rare, kind)]
 
     rows = docs.select(
@@ -302,13 +414,26 @@ def score(docs: DataFrame) -> DataFrame:
     first = materialize(in_arrow(
         rows, scored,
         "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
-        "rare array<struct<word: binary, times: int>>"), "scored")
+        "pieces array<struct<gram: long, times: int>>, rare array<struct<word: binary, times: int>>"), "scored")
     each = first.select("row", F.explode("rare").alias("of")).select("row", "of.word", "of.times")
     each = each.join(vocabulary, "word", "left")
     log = F.log10(F.coalesce("n", F.lit(0)) + ADDED) - floor
-    others = each.groupBy("row").agg(
-        F.sum(F.col("times") * log).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known"))
-    return first.drop("rare").join(others, "row", "left").select(
+    each = each.select(
+        "row", (F.col("times") * log).alias("more"), F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("known"),
+        F.lit(0.0).alias("pieces"))
+
+    # All pieces of training texts have a value; of held-out texts the others get theirs now.
+    piece = first.select("row", "held_out", F.explode("pieces").alias("of")).select("row", "held_out", "of.gram", "of.times")
+    novel = piece.where("held_out").select("gram").distinct().join(values, "gram", "left_anti")
+    novel = materialize(novel_values(materialize(novel, "novel"), levels), "novel-values")
+    piece = piece.join(values.select("gram", "value").unionByName(novel), "gram")
+    piece = piece.select(
+        "row", F.lit(0.0).alias("more"), F.lit(0).alias("known"), (F.col("times") * F.col("value")).alias("pieces"))
+
+    others = each.unionByName(piece).groupBy("row").agg(
+        F.sum("more").alias("more"), F.sum("known").alias("known"), F.sum("pieces").alias("of_pieces"))
+    return first.drop("rare", "pieces").join(others, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score")
+        (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("of_pieces", F.lit(0.0))).alias("score"))

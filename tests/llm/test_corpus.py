@@ -124,6 +124,21 @@ def test_rare_words_and_flushed_counts_do_not_matter(spark, monkeypatch):
         assert r.n_known == whole[r.doc_id].n_known and r.base_score == pytest.approx(whole[r.doc_id].base_score)
 
 
+@pytest.mark.parametrize("contexts, values", [(4, 0), (60, 50), (0, 0)])
+def test_contexts_outside_the_broadcast_take_part(spark, monkeypatch, contexts, values):
+    monkeypatch.setattr(ppm, "CONTEXTS", {k: contexts for k in ppm.CONTEXTS})
+    monkeypatch.setattr(ppm, "VALUES", values)
+    texts = [sentence(rng, rng.randint(0, 30)) + rng.choice(["", " É x\n", " YZ"]) for _ in range(120)] + [None, "", "ünseen ☃ byte"]
+    # A held-out text with contexts and bytes of its own.
+    own = next(i for i in range(len(texts), 300) if zlib.crc32(str(i).encode()) % 10 == 0)
+    texts += ["ab"] * (own - len(texts)) + ["q\x01zqj " + sentence(rng, 5)[::-1] + " ☂"]
+    training = [(t or "").encode() for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 10]
+    scores = ppm_by_hand(training, [(t or "").encode() for t in texts], ppm.ORDER)
+    found = ppm.score(documents(spark, texts)).collect()
+    assert len(found) == len(texts)
+    assert all(r.score == pytest.approx(scores[r.doc_id], rel=1e-4) for r in found)
+
+
 def test_probabilities_of_a_context_add_up():
     texts = [sentence(rng, 20).encode() for _ in range(30)]
     numbers, counts = ppm._grams(texts)
