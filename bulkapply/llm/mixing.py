@@ -4,9 +4,8 @@ A text may occur in several sources. Documents are added up by membership patter
 the words of a pattern are routed to its sources' quotas. A pattern's first pass over its distinct texts is free, each
 further pass costs more (convex costs), so the flow repeats what has been used least; a source gets at most
 ``MOST`` times the words its own documents of a pattern have. The flow covers every quota exactly, because a
-quota never exceeds ``MOST`` times its source. Its size depends on the numbers of sources and patterns, not on documents: the
-``PATTERNS`` patterns with most words take part as such; the documents of rarer ones, as those of texts in one source
-only, form one pattern per source.
+quota never exceeds ``MOST`` times its source. Every pattern takes part, those of texts in one source only too. The flow is
+found on the driver; its size depends on the numbers of sources and patterns, not on documents.
 
 Within a pattern and source every document is repeated the same whole number of times, and the rest of the quota is filled
 with further documents in a seeded order, the last one in part. Ranges of that order are added up first, so only documents
@@ -22,7 +21,6 @@ all of these share what is taken in turn. Only doc_id, text and source are read.
 
 from __future__ import annotations
 
-import heapq
 from collections import defaultdict
 
 from pyspark.sql import DataFrame, Window
@@ -33,7 +31,6 @@ from bulkapply.storage import materialize
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-PATTERNS = 200
 SEED = 20240317
 # Ranges of the seeded order per source and pattern.
 RANGES = 4096
@@ -71,62 +68,81 @@ def min_cost_flow(supply: dict, edges: list[tuple], demand: dict) -> dict:
     """Words on each edge (pattern, source) at least cost.
 
     ``supply``: pattern to (words, cost) steps of rising cost; ``edges``: (pattern, source, capacity); ``demand``: source to
-    words. Successive shortest paths from the patterns' steps to the sources with potentials.
+    words. Only the steps cost anything, and a path from the patterns to the sources never takes back words of a step, so
+    the least cost is found by as much flow as fits at the lowest cost, then at the next (shortest layered paths, Dinic).
     """
-    graph: list[list[int]] = []
-    to, room, price = [], [], []
-    number: dict = {}
-
-    def node(name) -> int:
-        if name not in number:
-            number[name] = len(graph)
-            graph.append([])
-        return number[name]
-
-    def edge(a: int, b: int, words: int, cost: int) -> int:
-        for x, y, r, p in ((a, b, words, cost), (b, a, 0, -cost)):
-            graph[x].append(len(to))
-            to.append(y)
-            room.append(r)
-            price.append(p)
-        return len(to) - 2
-
-    start, end = node("start"), node("end")
-    for pattern, steps in supply.items():
-        for words, cost in steps:
-            edge(start, node(("pattern", pattern)), words, cost)
-    used = {(p, s): edge(node(("pattern", p)), node(("source", s)), words, 0) for p, s, words in edges}
-    for source, words in demand.items():
-        edge(node(("source", source)), end, words, 0)
-    potential = [0] * len(graph)
-    while True:
-        cost, by = {start: 0}, {}
-        queue, done = [(0, start)], set()
-        while queue:
-            c, at = heapq.heappop(queue)
-            if at in done:
-                continue
-            done.add(at)
-            for e in graph[at]:
-                if room[e] > 0 and to[e] not in done:
-                    further = c + price[e] + potential[at] - potential[to[e]]
-                    if further < cost.get(to[e], further + 1):
-                        cost[to[e]], by[to[e]] = further, e
-                        heapq.heappush(queue, (further, to[e]))
-        if end not in cost:
-            return {key: room[e ^ 1] for key, e in used.items()}
-        furthest = max(cost.values())
-        for at in range(len(graph)):
-            potential[at] += cost.get(at, furthest)
-        words, at = None, end
-        while at != start:
-            words = room[by[at]] if words is None else min(words, room[by[at]])
-            at = to[by[at] ^ 1]
-        at = end
-        while at != start:
-            room[by[at]] -= words
-            room[by[at] ^ 1] += words
-            at = to[by[at] ^ 1]
+    patterns, sources = list(supply), list(demand)
+    of_pattern, of_source = [[] for _ in patterns], [[] for _ in sources]
+    number = {p: i for i, p in enumerate(patterns)}, {s: i for i, s in enumerate(sources)}
+    tail, head, room, flow = [], [], [], [0] * len(edges)
+    for e, (pattern, source, words) in enumerate(edges):
+        tail.append(number[0][pattern])
+        head.append(number[1][source])
+        room.append(words)
+        of_pattern[tail[e]].append(e)
+        of_source[head[e]].append(e)
+    left, want = [0] * len(patterns), [demand[s] for s in sources]
+
+    def layers() -> tuple[list, list] | None:
+        """The distance of each pattern and source from the patterns with words left; none if no source in want is reached."""
+        layer = [p for p, words in enumerate(left) if words > 0]
+        depth = [-1] * len(patterns), [-1] * len(sources)
+        for p in layer:
+            depth[0][p] = 0
+        at = 0
+        while layer:
+            at, reached = at + 1, []
+            for p in layer:
+                for e in of_pattern[p]:
+                    if room[e] > 0 and depth[1][head[e]] < 0:
+                        depth[1][head[e]] = at
+                        reached.append(head[e])
+            if any(want[s] > 0 for s in reached):
+                return depth
+            at, layer = at + 1, []
+            for s in reached:
+                for e in of_source[s]:
+                    if flow[e] > 0 and depth[0][tail[e]] < 0:
+                        depth[0][tail[e]] = at
+                        layer.append(tail[e])
+        return None
+
+    def push(start: int, depth: tuple[list, list], following: tuple[list, list]) -> bool:
+        """Move words along one path from ``start``; False if there is none among the layers."""
+        path, at, is_source = [], start, False
+        while True:
+            if is_source and want[at] > 0:
+                words = min(left[start], want[at], *(room[e] if forward else flow[e] for e, forward in path))
+                for e, forward in path:
+                    room[e] -= words if forward else -words
+                    flow[e] += words if forward else -words
+                left[start] -= words
+                want[at] -= words
+                return True
+            near, other, able = (of_source, tail, flow) if is_source else (of_pattern, head, room)
+            mine, i = near[at], following[is_source][at]
+            while i < len(mine) and not (able[mine[i]] > 0 and depth[not is_source][other[mine[i]]] == depth[is_source][at] + 1):
+                i += 1
+            following[is_source][at] = i
+            if i < len(mine):
+                path.append((mine[i], not is_source))
+                at, is_source = other[mine[i]], not is_source
+            elif path:
+                e, forward = path.pop()
+                at, is_source = (tail[e], False) if forward else (head[e], True)
+                following[is_source][at] += 1
+            else:
+                return False
+
+    for cost in sorted({cost for steps in supply.values() for _, cost in steps}):
+        for p, pattern in enumerate(patterns):
+            left[p] += sum(words for words, c in supply[pattern] if c == cost)
+        while depth := layers():
+            following = [0] * len(patterns), [0] * len(sources)
+            for p in range(len(patterns)):
+                while left[p] > 0 and push(p, depth, following):
+                    pass
+    return {(pattern, source): flow[e] for e, (pattern, source, _) in enumerate(edges)}
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -136,23 +152,23 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFram
     rows = materialize(
         docs.select("doc_id", "source", size.alias("size"), F.xxhash64("text").alias("h1"), F.hash("text").alias("h2")), "sizes")
 
-    # Which sources have a text, and the patterns with most words.
+    # Which sources have a text, and so its pattern; a text in one source only needs no join to know it.
     texts = rows.where("size > 0").groupBy("h1", "h2", "size").agg(
         F.count(F.lit(1)).alias("copies"), F.sort_array(F.collect_set(F.struct("source"))).alias("pattern"))
-    texts = materialize(texts.withColumn("text", F.struct("h1", "h2", "size")).drop("h1", "h2", "size"), "texts")
-    shared = texts.where(F.size("pattern") > 1).groupBy("pattern").agg(
-        F.sum(F.col("text.size") * F.col("copies")).alias("words"))
-    shared = shared.orderBy(F.desc("words"), F.to_json("pattern")).limit(PATTERNS)
-    shared = materialize(shared.select("pattern", F.xxhash64(F.to_json("pattern")).alias("route")), "patterns")
-    routed = texts.join(F.broadcast(shared), "pattern").select("text", "copies", "route")
-    routed = materialize(routed, "routed")
+    shared = F.size("pattern") > 1
+    texts = materialize(texts.select(
+        F.struct("h1", "h2", "size").alias("text"), "copies",
+        F.struct(F.when(~shared, F.col("pattern")[0]["source"]).alias("own"),
+                 F.when(shared, F.xxhash64(F.to_json("pattern"))).alias("route")).alias("route")), "texts")
+    routed = texts.where("route.route is not null").select("text", "copies", "route.route")
     placed = join_counted(rows.withColumn("text", F.struct("h1", "h2", "size")), routed, "text", "copies")
     own = F.struct(F.when(F.col("route").isNull(), F.col("source")).alias("own"), "route")
     placed = materialize(placed.select("doc_id", "source", "size", "h1", "h2", own.alias("route")), "routes")
 
     # The flow, on rows per pattern and source.
     flows = placed.groupBy("source", "route").agg(F.sum("size").alias("words")).collect()
-    distinct = dict(routed.groupBy("route").agg(F.sum("text.size")).collect())
+    flows = sorted(flows, key=lambda f: (f.route.route or 0, *((s is None, s or "") for s in (f.route.own, f.source))))
+    distinct = dict(texts.groupBy("route").agg(F.sum("text.size")).collect())
     sizes: dict = defaultdict(int)
     capacity: dict = defaultdict(int)
     for source, route, words in flows:
@@ -161,7 +177,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFram
     target = quotas(dict(sizes), weights, most)
     supply = {}
     for route, words in capacity.items():
-        once = distinct.get(route.route, words) or 0
+        once = distinct.get(route, 0)
         left, steps = most * words, []
         for cost in range(_FREE_PASSES):
             steps.append((min(once, left), cost))

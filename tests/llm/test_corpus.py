@@ -57,6 +57,43 @@ def test_mix_meets_quotas(spark):
     assert rows(mixing.mix(docs.repartition(3))) == rows(mixing.mix(docs))
 
 
+def test_copies_in_one_source_are_no_distinct_texts(spark):
+    own, both = sentence(rng, 10), [sentence(rng, 10) for _ in range(10)]
+    texts = [(own, "a")] * 9 + [(t, s) for t in both for s in "ab"]
+    docs = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    found = mixing.mix(docs).collect()
+    # Of 290 words, 220 are a first and a second pass over all texts, the rest a third over 110.
+    assert 20 <= sum(r.taken for r in found if r.doc_id < 9) <= 30 and sum(r.taken for r in found) == 290
+
+
+def test_mix_costs_least_with_many_patterns(spark):
+    texts, sources, rows = [], "abcdefgh", []
+    for mask in range(1, 256):
+        texts.append(f"t{mask} " + sentence(rng, rng.randint(1, 40)))
+        rows += [(texts[-1], s) for i, s in enumerate(sources) if mask >> i & 1 for _ in range(rng.choice([1, 1, 3]))]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, source string")
+    taken, demand, has = collections.Counter(), collections.Counter(), collections.Counter()
+    for r in mixing.mix(docs).collect():
+        taken[rows[r.doc_id][0]] += r.taken
+        demand[rows[r.doc_id][1]] += r.taken
+        has[rows[r.doc_id]] += r.size
+    once = {t: len(words(t)) for t in texts}
+    all_of = {t: 3 * sum(has[t, s] for s in sources) for t in texts}
+    steps = [{t: min(once[t] * (c + 1), all_of[t]) for t in texts} for c in range(4)] + [all_of]
+
+    def least_cut(most):
+        return min(
+            sum(demand[s] for i, s in enumerate(sources) if cut >> i & 1)
+            + sum(min(most[t], 3 * sum(has[t, s] for i, s in enumerate(sources) if not cut >> i & 1)) for t in texts)
+            for cut in range(256))
+
+    # What fits at a cost of at most c, by the least cut; the words beyond it cost more.
+    fits = [least_cut(most) for most in steps]
+    assert fits[-1] == sum(taken.values())
+    for most, fit in zip(steps, fits):
+        assert sum(min(taken[t], most[t]) for t in texts) == fit
+
+
 def test_mix_of_odd_and_empty_tables(spark):
     odd = odd_documents(spark)
     found = mixing.mix(odd).collect()
