@@ -54,6 +54,8 @@ def measures(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("_bits", F.length(F.bin("n_words")))
     rows = rows.withColumn("_keys", _window_keys(F.col("_words"), F.col("n_words"), F.col("_bits")))
     rows = rows.withColumn("_starts", _repeated_starts(F.col("_keys"), F.col("_bits")))
+    rows = rows.withColumn("_windows", _windows(F.col("_words"), F.col("_starts")))
+    rows = rows.withColumn("_starts", _confirmed_starts(F.col("_windows")))
     return rows.select(
         "doc_id", "lang", "source", "n_words", "n_symbols", "n_lines",
         F.aggregate("_words", F.lit(0).cast("long"), lambda total, word: total + F.length(word)).alias("word_chars"),
@@ -75,7 +77,7 @@ def _window_keys(word: Column, n: Column, bits: Column) -> Column:
 
 
 def _repeated_starts(keys: Column, bits: Column) -> Column:
-    """Start positions, in order, of the windows that occur twice or more."""
+    """Start positions, in order, of the windows whose hash, cut by the bits of the position, occurs twice or more."""
 
     def window(key: Column) -> Column:
         return F.call_function("shiftright", key, bits)
@@ -87,6 +89,22 @@ def _repeated_starts(keys: Column, bits: Column) -> Column:
     return F.sort_array(F.transform(F.filter(keys, repeated), lambda key: key.bitwiseAND(mask)))
 
 
+def _windows(word: Column, starts: Column) -> Column:
+    """The windows of three words at these positions with their positions, sorted: equal windows are neighbours."""
+    return F.sort_array(F.transform(starts, lambda at: F.struct(
+        F.struct(*(F.get(word, at.cast("int") + i).alias(f"w{i}") for i in range(3))).alias("words"), at.alias("at"))))
+
+
+def _confirmed_starts(windows: Column) -> Column:
+    """Positions, in order, of those of these windows that have the same words as another."""
+
+    def repeated(window: Column, i: Column) -> Column:
+        mine = window["words"]
+        return mine.eqNullSafe(F.get(windows, i - 1)["words"]) | mine.eqNullSafe(F.get(windows, i + 1)["words"])
+
+    return F.sort_array(F.transform(F.filter(windows, repeated), lambda window: window["at"]))
+
+
 def _covered(starts: Column) -> Column:
     """How many words windows of three words at these positions cover."""
     following = F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0)))

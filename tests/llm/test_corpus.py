@@ -279,6 +279,13 @@ def test_counts_as_brute_force(spark):
         assert not (r.kept and r.base_failed)
 
 
+def test_windows_of_one_hash_are_told_apart_by_their_words(spark, monkeypatch):
+    monkeypatch.setattr(quality_rules.F, "xxhash64", lambda *columns: F.lit(7).cast("long"))
+    texts = ["a b c d e f", "a b c x a b c y b c x", "a a a a", "a b", None]
+    for r in quality_rules.measures(documents(spark, texts)).collect():
+        assert r.n_repeat_words == measured(texts[r.doc_id])[-1]
+
+
 def test_thresholds_are_those_of_the_group_or_what_contains_it(spark):
     texts = [sentence(rng, 60) for _ in range(300)] + [" ".join(w + "#" for w in sentence(rng, 60).split()) for _ in range(12)]
     docs = documents(spark, texts, langs=("en",), sources=("a",)).union(documents(spark, texts[:5], langs=("xx",), sources=("rare",)))
