@@ -31,8 +31,6 @@ DISTANCE = 2 * CHUNKS - 1
 LONGS = SYMBOLS // 8
 # Members of a bucket that meet in one go.
 MEETING = 1024
-# By how many elements sets of hashes cut to 32 bits may differ from the full ones.
-_SLACK = 2
 _CACHED_WORDS = 500_000
 _BLOCK = 1024
 _SEED = 20240229
@@ -229,7 +227,9 @@ def _crossing(rows: DataFrame, percent: int) -> DataFrame:
                 others = [members[j] for j in at]
                 every, mine = np.concatenate(others), members[i]
                 hits = mine[np.minimum(np.searchsorted(mine, every), len(mine) - 1)] == every
-                common = _SLACK + np.add.reduceat(hits, np.cumsum([0, *map(len, others[:-1])]), dtype=np.int64)
+                # Of the common shingles no more are lost in the cut than of either set.
+                slack = np.minimum(n[i] - len(mine), n[at] - np.array([*map(len, others)]))
+                common = slack + np.add.reduceat(hits, np.cumsum([0, *map(len, others[:-1])]), dtype=np.int64)
                 at = at[100 * common >= percent * (n[at] + n[i] - common)]
                 found_a.append(np.minimum(node[at], node[i]))
                 found_b.append(np.maximum(node[at], node[i]))

@@ -241,6 +241,16 @@ def test_near_duplicates_as_brute_force(spark, monkeypatch):
         assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
+def test_shingles_lost_in_the_cut_drop_no_pair(spark):
+    # Two sets of 100, 89 of them common and 10 of these lost in the cut of either.
+    common = list(range(79))
+    sets = [np.array(common + list(range(k, k + 11)), np.uint32).tobytes() for k in (1000, 2000)]
+    pairs = [(0, i, i, 100, 2, bytearray(near_dups.SYMBOLS), bytearray(s)) for i, s in enumerate(sets)]
+    each = spark.createDataFrame(
+        pairs, "key long, node long, component long, n long, n_members long, sign binary, members binary")
+    assert [tuple(r) for r in near_dups._crossing(each, 80).collect()] == [(0, 1)]
+
+
 def test_long_chains_are_one_component(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(60)] + [(100, 101), (103, 102), (101, 103)], "a long, b long")
     found = {r.node: r.component for r in near_dups.components(edges).collect()}
