@@ -108,7 +108,10 @@ def in_cascade(levels: list[bytes], h1: np.ndarray, h2: np.ndarray) -> np.ndarra
 
 
 def _hashed(keys: DataFrame) -> DataFrame:
-    return keys.withColumns({"h1": F.xxhash64("key"), "h2": F.xxhash64("key", F.lit("second"))})
+    # A seeded xxhash64 would follow the first hash, so the second is the front half of the md5.
+    front, back = (F.conv(F.substring(F.md5(F.col("key").cast("binary")), at, 8), 16, 10).cast("long") for at in (1, 9))
+    second = F.coalesce(F.call_function("shiftleft", front, F.lit(32)).bitwiseOR(back), F.lit(0).cast("long"))
+    return keys.withColumns({"h1": F.xxhash64("key"), "h2": second})
 
 
 def _shard(n_shards: int) -> Column:
@@ -118,7 +121,11 @@ def _shard(n_shards: int) -> Column:
 def cascades(universe: DataFrame, listed: DataFrame) -> tuple[DataFrame, int]:
     """``shard, levels`` for the ``key`` columns of both tables, and the number of shards."""
     every = _hashed(universe.select("key", F.lit(0).alias("listed")).union(listed.select("key", F.lit(1).alias("listed"))))
-    every = materialize(every.groupBy("h1", "h2").agg(F.max("listed").alias("listed")), "keys")
+    every = every.groupBy("h1", "h2").agg(
+        F.max("listed").alias("listed"), F.min("key").alias("least"), F.max("key").alias("most"))
+    clash = F.raise_error(F.lit("different keys have the same hashes")).cast("int")
+    every = materialize(every.select(
+        "h1", "h2", F.when(F.col("least") != F.col("most"), clash).otherwise(F.col("listed")).alias("listed")), "keys")
     n_shards = every.count() // SHARD_KEYS + 1
 
     def build(shard: pd.DataFrame) -> pd.DataFrame:

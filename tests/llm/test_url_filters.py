@@ -48,6 +48,18 @@ def test_keys_with_equal_hashes_are_refused():
         url_filters.build_cascade((same, same), (same, same))
 
 
+def test_keys_equal_in_one_hash_are_told_apart(spark, monkeypatch):
+    keys = spark.range(40).select(F.concat(F.lit("h.org/"), "id").alias("key"))
+    pages = keys.select(F.lit(1).alias("page_id"), F.concat(F.lit("http://"), "key").alias("url"))
+    listed = keys.where("key like '%3'")
+    monkeypatch.setattr(url_filters.F, "xxhash64", lambda *columns: F.lit(7).cast("long"))
+    found = url_filters.judge(pages, [], listed)
+    assert found.count() == 40 and found.where("listed != (path like '%3')").isEmpty()
+    monkeypatch.setattr(url_filters.F, "md5", lambda column: F.lit("0" * 32))
+    with pytest.raises(Exception, match="same hashes"):
+        url_filters.cascades(keys, listed)
+
+
 def test_with_and_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(url_filters, "SHARD_KEYS", 50)
     pages = spark.range(600).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h.org/"), F.expr("id % 400")).alias("url"))
