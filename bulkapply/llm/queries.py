@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bulkapply.llm import decontaminate, lang_kernel, mixing, near_dups, ppm, quality_knn, quality_rules, token_counts, url_filters, warc
+from bulkapply.llm import (
+    decontaminate,
+    lang_kernel,
+    line_dedup,
+    mixing,
+    near_dups,
+    ppm,
+    quality_knn,
+    quality_rules,
+    token_alignment,
+    token_counts,
+    url_filters,
+    vector_codes,
+    warc,
+)
 from bulkapply.llm.common import table
 from bulkapply.storage import scratch_path
 
@@ -73,5 +87,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.withColumn("codebooks_sha256", F.lit(vector_codes.digest(books)))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_alignment.align(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return found.select(*(c for c in found.columns if c != "groups"), digest)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: query for name, query in globals().items() if name.startswith("op") and callable(query)}

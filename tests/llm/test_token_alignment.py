@@ -1,0 +1,127 @@
+import random
+
+import numpy as np
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
+
+from bulkapply.llm import perfect_hash, token_alignment
+from cases import documents, none, odd_documents, sentence
+
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+@pytest.fixture(scope="module")
+def both():
+    a = Tokenizer.from_file(TOKENIZER)
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=token_alignment.PIECES)
+
+
+def byte_of_char():
+    """Bytes by the characters that the byte-level vocabulary writes for them: printable ones as they are, others from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in shown]
+    return {chr(c): b for c, b in zip(shown + [256 + i for i in range(len(other))], shown + other)}
+
+
+def groups_of(text, both, chars=byte_of_char()):  # noqa: B008
+    """Groups as lists of ids, by walking both byte strings."""
+    if not text:
+        return []
+    a, b = both
+    wanted = b" " + text.encode()
+    ids_a, ids_b = a.encode(" " + text, add_special_tokens=False).ids, b.encode([text])[0]
+    spelt_a = [bytes(chars[c] for c in a.id_to_token(i)) for i in ids_a]
+    pieces = [b.id_to_piece(i) for i in ids_b]
+    spelt_b = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in zip(ids_b, pieces)]
+    if b"".join(spelt_a) != wanted or b"".join(spelt_b) != wanted:
+        return []
+    out, i, j, x, y = [([], [])], 0, 0, 0, 0
+    while i < len(ids_a) or j < len(ids_b):
+        if x <= y and i < len(ids_a):
+            out[-1][0].append(ids_a[i])
+            x += len(spelt_a[i])
+            i += 1
+        else:
+            out[-1][1].append(ids_b[j])
+            y += len(spelt_b[j])
+            j += 1
+        if x == y:
+            out.append(([], []))
+    return out[:-1]
+
+
+def brute_force(docs, both):
+    grouped = [groups_of(text, both) for _, text in docs]
+    counts = {}
+    for groups in grouped:
+        for pair in {(a, b) for x, y in groups for a in x for b in y}:
+            counts[pair] = counts.get(pair, 0) + 1
+    best = {}
+    for (a, _), n in counts.items():
+        best[a] = max(best.get(a, 0), n)
+    out = []
+    for (doc_id, _), groups in zip(docs, grouped):
+        links = [(a, b) for x, y in groups for a in x for b in y]
+        text = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        out.append((doc_id, sum(len(x) for x, _ in groups), sum(len(y) for _, y in groups), len(groups), len(links),
+                    sum(counts[link] == best[link[0]] for link in links), sum(counts[link] for link in links), text))
+    return sorted(out, key=str)
+
+
+def texts(rng):
+    odd = ["", None, " ", "  two  blanks ", "a▁b", "é" * 300, "<s></s><|endoftext|><unk>", "\x00\x01", "日本語のテキスト", "👩‍👩‍👧 ok",
+           "tab\tand\r\nlines\n\n", "x" * 5000, "1234567890 12 3", "naïve café", " leading", "ａ①"]
+    alphabet = "abcXYZ 019.,\n\té漢👍"
+    return odd + [sentence(rng, rng.randint(1, 60)) for _ in range(60)] + ["".join(rng.choices(alphabet, k=80)) for _ in range(60)]
+
+
+@pytest.mark.parametrize("lookup_keys,shard_keys,block", [(4_000_000, 65_536, 1_000_000), (300, 100, 500), (1, 40, 50)])
+def test_as_brute_force(spark, both, monkeypatch, lookup_keys, shard_keys, block):
+    """With all pairs in the broadcast table, with some, and with hardly any."""
+    monkeypatch.setattr(token_alignment, "SHARD_KEYS", shard_keys)
+    monkeypatch.setattr(token_alignment, "BLOCK_CHARS", block)
+    given = texts(random.Random(2))
+    found = token_alignment.align(documents(spark, given).repartition(5), lookup_keys=lookup_keys)
+    assert sorted((tuple(r) for r in found.collect()), key=str) == brute_force(list(enumerate(given)), both)
+
+
+def test_large_groups(both):
+    aligner_ids = np.array([7, 7, 9] * 40), np.array([1, 2] * 60)
+    one = token_alignment.Alignment(1, *aligner_ids, np.array([120]), np.array([120]), np.array([0, 120]), np.array([0, 120]), np.array([0]))
+    doc, pairs, times = one.links()
+    assert times.sum() == 120 * 120 and len(pairs) == 4 and (doc == 0).all()
+    assert dict(zip(pairs.tolist(), times.tolist()))[7 << 20 | 1] == 80 * 60
+
+
+def test_odd_and_empty_tables(spark, both):
+    docs = odd_documents(spark)
+    wanted = brute_force([(r.doc_id, r.text) for r in docs.collect()], both)
+    for lookup_keys in (4_000_000, 2):
+        found = token_alignment.align(docs, lookup_keys=lookup_keys)
+        assert sorted((tuple(r) for r in found.collect()), key=str) == wanted
+    assert token_alignment.align(none(spark)).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 63, 1000, 70_000])
+def test_perfect_hash(n):
+    keys = np.unique(np.random.default_rng(n).integers(0, 2**36, n))
+    hash_ = perfect_hash.PerfectHash(perfect_hash.build(keys))
+    assert sorted(hash_.number(keys).tolist()) == list(range(len(keys)))
+    assert hash_.number(np.arange(100) - 100).max(initial=-1) < len(keys)
+
+
+def test_keys_of_a_perfect_hash_must_differ():
+    with pytest.raises(ValueError, match="distinct"):
+        perfect_hash.build(np.array([5, 5]))
+
+
+def test_counts_are_sums_over_tasks(spark):
+    rows = [(p, n) for p in range(3000) for n in (1, 2, p + 1)]
+    pairs = spark.createDataFrame(rows * 2, "pair long, n_docs long").repartition(9)
+    hashes, n_shards = token_alignment.perfect_hashes(pairs)
+    counts = token_alignment.counted(pairs, hashes, n_shards, salts=3)
+    table = token_alignment._with_counts(hashes, counts)
+    assert {(r.pair, r.n_docs) for r in table.collect()} == {(p, 2 * (p + 4)) for p in range(3000)}
