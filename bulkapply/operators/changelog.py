@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bulkapply.functions.names import column, columns, free, free_each
 from bulkapply.storage import materialize
 
 OP = "_op"
@@ -48,7 +49,7 @@ def check_keys(df: DataFrame, keys: Sequence[str]) -> None:
 def _any_null(keys: Sequence[str]) -> Column:
     missing = F.lit(False)
     for key in keys:
-        missing = missing | F.col(key).isNull()
+        missing = missing | column(key).isNull()
     return missing
 
 
@@ -60,7 +61,7 @@ def with_checked_keys(df: DataFrame, keys: Sequence[str], flag: Column, name: st
 
 def violations(df: DataFrame, keys: Sequence[str], op_col: str = OP) -> DataFrame:
     """One row counting what would make the changelog unusable. One pass, partial counts before the shuffle."""
-    known = F.coalesce(F.col(op_col).isin(*UPSERT_KINDS, *DELETE_KINDS), F.lit(False))
+    known = F.coalesce(column(op_col).isin(*UPSERT_KINDS, *DELETE_KINDS), F.lit(False))
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(~known).alias("unknown_kind"),
@@ -84,16 +85,17 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], within: Seq
     """
     group = [*within, *keys]
     ties = [c for c in df.columns if c not in group and c not in order]
-    window = Window.partitionBy(*group).orderBy(*[F.col(c).desc() for c in [*order, *ties]])
-    return df.withColumn("_nth", F.row_number().over(window)).filter(F.col("_nth") == 1).drop("_nth")
+    window = Window.partitionBy(*columns(group)).orderBy(*[column(c).desc() for c in [*order, *ties]])
+    nth = free("_nth", df.columns)
+    return df.withColumn(nth, F.row_number().over(window)).filter(column(nth) == 1).drop(nth)
 
 
 def _flagged_last(
-    df: DataFrame, keys: Sequence[str], sequence_by: Sequence[str], op_col: str, within: Sequence[str] = ()
+    df: DataFrame, keys: Sequence[str], sequence_by: Sequence[str], op_col: str, flag: str, within: Sequence[str] = ()
 ) -> DataFrame:
     check_keys(df, keys)
-    flagged = with_checked_keys(df, keys, is_upsert(F.col(op_col)), UPSERT)
-    return latest(flagged, keys, [*sequence_by, UPSERT], within)
+    flagged = with_checked_keys(df, keys, is_upsert(column(op_col)), flag)
+    return latest(flagged, keys, [*sequence_by, flag], within)
 
 
 def collapse(
@@ -108,22 +110,25 @@ def collapse(
     ``sequence_by`` gives the order of changes, which a DataFrame does not have by itself. Where a removal and a write
     carry the same sequence, the write is the later one.
     """
-    return _flagged_last(df, keys, sequence_by, op_col, within).drop(UPSERT)
+    flag = free(UPSERT, df.columns)
+    return _flagged_last(df, keys, sequence_by, op_col, flag, within).drop(flag)
 
 
-def conform(df: DataFrame, target: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``df`` with the target's columns (or those named), in its order and of its types; a flag column stays."""
-    names = target.columns if columns is None else columns
+def conform(
+    df: DataFrame, target: DataFrame, names: Sequence[str] | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``df`` with the target's columns (or those named), in its order and of its types; those in ``keep`` stay beside them."""
+    names = target.columns if names is None else names
     missing = [n for n in names if n not in df.columns]
     if missing:
         raise ChangelogError(f"columns {missing} of the target are missing from the rows")
     return df.select(
         *[
-            F.col(n) if df.schema[n].dataType == target.schema[n].dataType
-            else F.col(n).cast(target.schema[n].dataType).alias(n)
+            column(n) if df.schema[n].dataType == target.schema[n].dataType
+            else column(n).cast(target.schema[n].dataType).alias(n)
             for n in names
         ],
-        *([UPSERT] if columns is None and UPSERT in df.columns else []),
+        *columns(keep),
     )
 
 
@@ -131,7 +136,10 @@ _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def _keeps_values_apart(given: T.DataType, wanted: T.DataType) -> bool:
-    """Whether casting keeps different keys different, or fails the job: no fraction, time or text is cut off."""
+    """Whether casting keeps different values different, or fails the job: no fraction or time is cut off.
+
+    A text is taken as the number that it names, so the texts 5 and 05 name one key of a whole-number target.
+    """
     if given == wanted:
         return True
     if isinstance(wanted, T.DecimalType) and isinstance(given, (T.DecimalType, *_WHOLE)):
@@ -147,7 +155,8 @@ def with_target_keys(rows: DataFrame, target: DataFrame, keys: Sequence[str]) ->
     """``rows`` with its keys in the target's types, before any row is chosen by key.
 
     A cast that could make two keys one, such as 5.2 and 5.4 into a whole number or two times into their day, is refused.
-    A whole number too large for the target's type, or a text that is no number, fails the job.
+    A whole number too large for the target's type, or a text that is no number, fails the job. Texts that name one number are
+    one key of a whole-number target, and the row of the latest is taken.
     """
     check_keys(rows, keys)
     for key in keys:
@@ -155,48 +164,50 @@ def with_target_keys(rows: DataFrame, target: DataFrame, keys: Sequence[str]) ->
         if not _keeps_values_apart(given, wanted):
             raise ChangelogError(f"key column {key} is {given.simpleString()}, which {wanted.simpleString()} cannot hold exactly")
     return rows.withColumns({
-        k: F.col(k).cast(target.schema[k].dataType) for k in keys if rows.schema[k].dataType != target.schema[k].dataType
+        k: column(k).cast(target.schema[k].dataType) for k in keys if rows.schema[k].dataType != target.schema[k].dataType
     })
 
 
 def asked_keys(keyed: DataFrame, target: DataFrame, keys: Sequence[str]) -> list[Column]:
     """The keys of ``keyed`` in the target's types, null where the target can hold no equal value, so 1.5 does not meet 1."""
-    columns = []
+    asked = []
     for key in keys:
         if key not in keyed.columns:
             raise ChangelogError(f"key column {key} is missing")
         given, wanted = keyed.schema[key].dataType, target.schema[key].dataType
-        column = F.col(key)
+        value = column(key)
         if given != wanted:
-            held = column.try_cast(wanted)
-            same = F.lit(True) if isinstance(given, T.StringType) else held.try_cast(given) == column
-            column = F.when(same, held)
-        columns.append(column.alias(key))
-    return columns
+            held = value.try_cast(wanted)
+            same = F.lit(True) if isinstance(given, T.StringType) else held.try_cast(given) == value
+            value = F.when(same, held)
+        asked.append(value.alias(key))
+    return asked
 
 
 def without_keys(target: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key is not in ``keyed``. Only the distinct key columns of ``keyed`` travel."""
     touched = keyed.select(*asked_keys(keyed, target, keys)).distinct()
-    return target.join(touched, list(keys), "left_anti").select(*target.columns)
+    return target.join(touched, list(keys), "left_anti").select(*columns(target.columns))
 
 
-def merge(target: DataFrame, last: DataFrame, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
+def merge(
+    target: DataFrame, last: DataFrame, keys: Sequence[str], buckets: int | None = None, flag: str = UPSERT
+) -> DataFrame:
     """Target and changes side by side, each read and shuffled once: replaced, removed, added and untouched rows.
 
-    Both sides hold a key once; ``last`` carries the flag column ``UPSERT``. ``buckets`` is the number of buckets of a
-    target saved by these keys. The changes are then dealt out the same way; left to itself, Spark would shuffle the
+    Both sides hold a key once; ``last`` says in the column ``flag``, a name free in both, whether a row is written.
+    ``buckets`` is the number of buckets of a target saved by these keys. The changes are then dealt out the same way; left to itself, Spark would shuffle the
     target when it has fewer buckets than there are shuffle partitions.
     """
-    flag = F.col(UPSERT)
-    rest = [c for c in target.columns if c not in keys]
-    new = conform(last, target).select(*keys, *[F.col(c).alias(f"_new_{c}") for c in rest], flag)
+    given = free_each("_new_", [c for c in target.columns if c not in keys], target.columns, [flag])
+    new = conform(last, target, keep=[flag])
+    new = new.select(*columns(keys), *[column(c).alias(name) for c, name in given.items()], column(flag))
     if buckets is not None:
-        new = new.repartition(buckets, *keys)
-    kept = target.join(new, list(keys), "full").filter(F.coalesce(flag, F.lit(True)))
+        new = new.repartition(buckets, *columns(keys))
+    kept = target.join(new, list(keys), "full").filter(F.coalesce(column(flag), F.lit(True)))
     return kept.select(
         *[
-            F.col(c) if c in keys else F.when(flag, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
+            column(c) if c in keys else F.when(column(flag), column(given[c])).otherwise(column(c)).alias(c)
             for c in target.columns
         ]
     )
@@ -216,7 +227,8 @@ def apply_changes(
     """
     check_keys(target, keys)
     changes = with_target_keys(changes, target, keys)
-    return merge(target, _flagged_last(changes, keys, sequence_by, op_col), keys, buckets)
+    flag = free(UPSERT, changes.columns, target.columns)
+    return merge(target, _flagged_last(changes, keys, sequence_by, op_col, flag), keys, buckets, flag)
 
 
 def _check_settled(target: DataFrame, settled: DataFrame, keys: Sequence[str]) -> None:
@@ -239,6 +251,6 @@ def apply_settled(target: DataFrame, settled: DataFrame, keys: Sequence[str], op
     """
     check_keys(target, keys)
     _check_settled(target, settled, keys)
-    written = conform(settled.filter(is_upsert(F.col(op_col))), target)
-    kept = target.join(conform(settled, target, keys), list(keys), "left_anti").select(*target.columns)
+    written = conform(settled.filter(is_upsert(column(op_col))), target)
+    kept = target.join(conform(settled, target, keys), list(keys), "left_anti").select(*columns(target.columns))
     return kept.unionByName(written)

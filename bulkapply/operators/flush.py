@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bulkapply.functions.names import column, columns, free, free_each, quoted
 from bulkapply.storage import materialize
 
 # Fixed value: monotonically_increasing_id keeps the partition number above this bit.
@@ -41,24 +42,28 @@ def number_in_order(
     of rows per (writer, partition) supplies what came before. The sorted rows are written once, because positions must
     not change between the two readings.
     """
-    position, part = f"_{name}_position", f"_{name}_part"
-    ordered = df.sort(*writer, *_total_order(df, order_by, writer)).withColumn(position, F.monotonically_increasing_id())
+    position, part = free(f"_{name}_position", df.columns), free(f"_{name}_part", df.columns)
+    ordered = df.sort(*columns(writer), *columns(_total_order(df, order_by, writer)))
+    ordered = ordered.withColumn(position, F.monotonically_increasing_id())
     if most is not None:
-        ordered = ordered.filter(F.col(position).bitwiseAND(F.lit((1 << _PARTITION_BIT) - 1)) < most)
-    placed = materialize(ordered, "numbered").withColumn(part, F.shiftright(F.col(position), _PARTITION_BIT))
-
-    runs = placed.groupBy(*writer, part).agg(F.min(position).alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy(*writer).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+        ordered = ordered.filter(column(position).bitwiseAND(F.lit((1 << _PARTITION_BIT) - 1)) < most)
+    placed = materialize(ordered, "numbered").withColumn(part, F.shiftright(column(position), _PARTITION_BIT))
+
+    group = [*writer, part]
+    run_of = free_each("_run_", group, placed.columns)
+    first, n_rows, shift = (free(x, placed.columns, run_of.values()) for x in ("_first", "_rows", "_shift"))
+    runs = placed.groupBy(*columns(group)).agg(F.min(column(position)).alias(first), F.count(F.lit(1)).alias(n_rows))
+    before = Window.partitionBy(*columns(writer)).orderBy(column(part)).rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.select(
-        *[F.col(c).alias(f"_run_{c}") for c in [*writer, part]],
-        (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+        *[column(c).alias(run_of[c]) for c in group],
+        (F.coalesce(F.sum(column(n_rows)).over(before), F.lit(0)) - column(first) + 1).alias(shift),
     )
     # Written, so Spark knows how small the table of runs is and does not shuffle the rows again to meet it.
     runs = materialize(runs, "runs")
     same = F.lit(True)
-    for c in [*writer, part]:
-        same = same & placed[c].eqNullSafe(runs[f"_run_{c}"])
-    return placed.join(runs, same).select(*df.columns, (F.col(position) + F.col("_shift")).alias(name))
+    for c in group:
+        same = same & column(c).eqNullSafe(column(run_of[c]))
+    return placed.join(runs, same).select(*columns(df.columns), (column(position) + column(shift)).alias(name))
 
 
 def flush_batches(
@@ -67,21 +72,22 @@ def flush_batches(
     """Count-triggered flush: the number (from 0) of the batch of ``max_rows`` rows in which its writer sends a row."""
     if max_rows <= 0:
         raise ValueError("max_rows must be positive")
-    numbered = number_in_order(df, writer, order_by, "_number")
-    return numbered.withColumn(name, F.expr(f"(_number - 1) div {int(max_rows)}")).drop("_number")
+    number = free("_number", df.columns)
+    numbered = number_in_order(df, writer, order_by, number)
+    return numbered.withColumn(name, F.expr(f"({quoted(number)} - 1) div {int(max_rows)}")).drop(number)
 
 
 def distinct_keys(df: DataFrame, flush: Sequence[str], keys: dict[str, Column]) -> DataFrame:
     """Each key once per flush; ``keys`` maps a name to the expression that extracts it."""
-    return df.select(*flush, *[expr.alias(name) for name, expr in keys.items()]).distinct()
+    return df.select(*columns(flush), *[expr.alias(name) for name, expr in keys.items()]).distinct()
 
 
 def flush_windows(df: DataFrame, time_col: str, interval: str, writer: Sequence[str] = ()) -> DataFrame:
     """Time-triggered flush: rows per interval, and per ``writer`` where each has a timer of its own, as ``flush_start``
     and ``n_rows``."""
-    window = F.window(time_col, interval)
+    window = free("_window", df.columns)
     return (
-        df.groupBy(*writer, window.alias("_window"))
+        df.groupBy(*columns(writer), F.window(column(time_col), interval).alias(window))
         .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(*writer, F.col("_window.start").alias("flush_start"), "n_rows")
+        .select(*columns(writer), column(window)["start"].alias("flush_start"), "n_rows")
     )

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bulkapply.functions.names import column, columns, free, free_each
 from bulkapply.operators.changelog import (
     UPSERT,
     ChangelogError,
@@ -26,7 +27,7 @@ from bulkapply.storage import materialize
 def key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Each row's key, in key order."""
     check_keys(df, keys)
-    return df.select(*keys)
+    return df.select(*columns(keys))
 
 
 def upsert(
@@ -41,8 +42,9 @@ def upsert(
     ``buckets`` as in ``merge``, for a target saved by these keys.
     """
     check_keys(target, keys)
-    checked = with_checked_keys(with_target_keys(rows, target, keys), keys, F.lit(True), UPSERT)
-    return merge(target, latest(checked, keys, [UPSERT, *sequence_by]), keys, buckets)
+    flag = free(UPSERT, rows.columns, target.columns)
+    checked = with_checked_keys(with_target_keys(rows, target, keys), keys, F.lit(True), flag)
+    return merge(target, latest(checked, keys, [flag, *sequence_by]), keys, buckets, flag)
 
 
 def insert_if_absent(target: DataFrame, rows: DataFrame) -> DataFrame:
@@ -54,7 +56,8 @@ def insert_if_absent(target: DataFrame, rows: DataFrame) -> DataFrame:
     keys = target.columns
     check_keys(target, keys)
     new = conform(with_target_keys(rows, target, keys), target)
-    new = with_checked_keys(new, keys, F.lit(True), "_keyed").filter("_keyed").drop("_keyed")
+    flag = free("_keyed", new.columns)
+    new = with_checked_keys(new, keys, F.lit(True), flag).filter(column(flag)).drop(flag)
     return target.unionByName(new).distinct()
 
 
@@ -68,19 +71,25 @@ def update_by_key(
     target: DataFrame,
     rows: DataFrame,
     keys: Sequence[str],
-    columns: Sequence[str],
+    changed: Sequence[str],
     sequence_by: Sequence[str],
 ) -> DataFrame:
-    """Set ``columns`` from the last row per key where the key exists; insert nothing. A null key matches nothing."""
+    """Set the columns ``changed`` from the last row per key where the key exists; insert nothing. A null key matches nothing."""
     check_keys(target, keys)
-    joined = target.join(_replacements(target, rows, keys, columns, sequence_by), list(keys), "left")
-    return _updated(joined, target, columns)
+    new, matched = free_each("_new_", changed, target.columns), free("_matched", target.columns)
+    joined = target.join(_replacements(target, rows, keys, new, matched, sequence_by), list(keys), "left")
+    return joined.select(
+        *[
+            F.when(column(matched), column(new[c])).otherwise(column(c)).alias(c) if c in new else column(c)
+            for c in target.columns
+        ]
+    )
 
 
-def update_settled(target: DataFrame, settled: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def update_settled(target: DataFrame, settled: DataFrame, keys: Sequence[str], changed: Sequence[str]) -> DataFrame:
     """``update_by_key`` with the result of ``settle_rows``: few rows, and a target that is then not shuffled."""
     check_keys(target, keys)
-    return update_by_key(target, settled, keys, columns, [])
+    return update_by_key(target, settled, keys, changed, [])
 
 
 def settle_rows(target: DataFrame, rows: DataFrame, keys: Sequence[str], sequence_by: Sequence[str]) -> DataFrame:
@@ -91,8 +100,9 @@ def settle_rows(target: DataFrame, rows: DataFrame, keys: Sequence[str], sequenc
     target where it is, above it shuffles both.
     """
     check_keys(target, keys)
-    checked = with_checked_keys(with_target_keys(rows, target, keys), keys, F.lit(True), UPSERT)
-    return materialize(latest(checked, keys, [UPSERT, *sequence_by]).drop(UPSERT), "settled")
+    flag = free(UPSERT, rows.columns)
+    checked = with_checked_keys(with_target_keys(rows, target, keys), keys, F.lit(True), flag)
+    return materialize(latest(checked, keys, [flag, *sequence_by]).drop(flag), "settled")
 
 
 def upsert_settled(target: DataFrame, settled: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -105,37 +115,35 @@ def upsert_settled(target: DataFrame, settled: DataFrame, keys: Sequence[str]) -
 
 
 def _replacements(
-    target: DataFrame, rows: DataFrame, keys: Sequence[str], columns: Sequence[str], sequence_by: Sequence[str]
+    target: DataFrame,
+    rows: DataFrame,
+    keys: Sequence[str],
+    new: dict[str, str],
+    matched: str,
+    sequence_by: Sequence[str],
 ) -> DataFrame:
-    """The last row per key that the target can hold: its keys, the new values, and a mark."""
+    """The last row per key that the target can hold: its keys, the new values under the names in ``new``, and a mark."""
     asked = dict(zip(keys, asked_keys(rows, target, keys)))
-    wanted = list(dict.fromkeys([*keys, *columns, *sequence_by]))
-    matching = rows.select(*[asked.get(c, F.col(c)) for c in wanted]).dropna(subset=list(keys))
-    last = conform(latest(matching, keys, sequence_by), target, [*keys, *columns])
-    return last.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_matched"))
-
-
-def _updated(joined: DataFrame, target: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return joined.select(
-        *[
-            F.when(F.col("_matched"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
-            for c in target.columns
-        ]
-    )
+    wanted = list(dict.fromkeys([*keys, *new, *sequence_by]))
+    matching = rows.select(*[asked[c] if c in asked else column(c) for c in wanted])
+    for key in keys:
+        matching = matching.filter(column(key).isNotNull())
+    last = conform(latest(matching, keys, sequence_by), target, [*keys, *new])
+    return last.select(*columns(keys), *[column(c).alias(name) for c, name in new.items()], F.lit(True).alias(matched))
 
 
 def lookup_by_key(
-    target: DataFrame, keyed: DataFrame | None, keys: Sequence[str], columns: Sequence[str]
+    target: DataFrame, keyed: DataFrame | None, keys: Sequence[str], chosen: Sequence[str]
 ) -> DataFrame:
-    """``columns`` of the target rows whose key occurs in ``keyed``; without conditions, of every row.
+    """The columns ``chosen`` of the target rows whose key occurs in ``keyed``; without conditions, of every row.
 
     ``keyed`` is reduced to distinct keys. Spark broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` and
     shuffles by key beyond.
     """
     if keyed is None or not keys:
-        return target.select(*columns)
+        return target.select(*columns(chosen))
     wanted = keyed.select(*asked_keys(keyed, target, keys)).distinct()
-    return target.join(wanted, list(keys), "left_semi").select(*columns)
+    return target.join(wanted, list(keys), "left_semi").select(*columns(chosen))
 
 
 def row_exists(keyed: DataFrame, target: DataFrame, keys: Sequence[str], name: str = "row_exists") -> DataFrame:
@@ -145,12 +153,16 @@ def row_exists(keyed: DataFrame, target: DataFrame, keys: Sequence[str], name: s
     asked for come back as they are; a key that the target's type cannot hold does not exist.
     """
     check_keys(target, keys)
-    held = target.select(*[F.col(k).alias(f"_held_{k}") for k in keys]).distinct().withColumn("_held", F.lit(True))
-    asked = keyed.withColumns({f"_asked_{k}": c for k, c in zip(keys, asked_keys(keyed, target, keys))})
+    asked_as = free_each("_asked_", keys, keyed.columns)
+    held_as = free_each("_held_", keys, keyed.columns, asked_as.values())
+    found = free("_found", keyed.columns, asked_as.values(), held_as.values())
+    held = target.select(*[column(k).alias(held_as[k]) for k in keys]).distinct().withColumn(found, F.lit(True))
+    asked = keyed.withColumns({asked_as[k]: c for k, c in zip(keys, asked_keys(keyed, target, keys))})
     same = F.lit(True)
     for k in keys:
-        same = same & (F.col(f"_asked_{k}") == F.col(f"_held_{k}"))
-    return asked.join(held, same, "left").select(*keyed.columns, F.coalesce(F.col("_held"), F.lit(False)).alias(name))
+        same = same & (column(asked_as[k]) == column(held_as[k]))
+    exists = F.coalesce(column(found), F.lit(False)).alias(name)
+    return asked.join(held, same, "left").select(*columns(keyed.columns), exists)
 
 
 def limit_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:

@@ -124,6 +124,10 @@ def oracle_sql() -> dict[str, str]:
         "changelog_collapse_lines": _LAST_LINE,
         "changelog_apply": _LINE_STATE,
         "changelog_apply_settled": _LINE_STATE,
+        "changelog_apply_touched": _LINE_STATE,
+        "changelog_agg_upsert": "SELECT l_suppkey, count(*) AS n_rows, sum(CAST(l_quantity AS DECIMAL(12,2))) AS sum_quantity, "
+        "min(l_shipdate) AS min_l_shipdate, max(l_extendedprice) AS max_l_extendedprice "
+        f"FROM ({_LINE_STATE}) GROUP BY l_suppkey",
         "changelog_violations": "SELECT count(*) AS n_rows, "
         "count(*) FILTER (WHERE event_type = 'error') AS unknown_kind, "
         "count(*) FILTER (WHERE event_type = 'signup') AS null_key FROM events",

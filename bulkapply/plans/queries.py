@@ -10,11 +10,13 @@ from pyspark.sql import types as T
 
 from bulkapply.functions import convert, copycsv, schema
 from bulkapply.operators import changelog, flush, keyed, split
+from bulkapply.operators.kept_aggregate import KeptAggregate
 from bulkapply.options import SinkOptions
-from bulkapply.sources import copyfiles, dml, tables
+from bulkapply.sources import copyfiles, copyranges, dml, tables
+from bulkapply.sources.keyed_table import KeyedTable
 from bulkapply.storage import is_folder, scratch_path
 from bulkapply.streaming import sink
-from bulkapply.streaming.changelog_table import ChangelogTable
+from bulkapply.streaming.changelog_table import ChangelogTable, Tiers
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -240,6 +242,35 @@ def changelog_apply_settled(spark, folder):
     return changelog.apply_settled(target, changelog.settle(later, LINE_KEY, ["l_shipdate"]), LINE_KEY)
 
 
+def _keyed_lines(spark, folder, *dates):
+    """A table of lines in key buckets, and the changelog of later lines in parts that end at each date and at the end."""
+    lines = line_changes(load(spark, folder, "lineitem")).withColumn("quantity", F.col("l_quantity").cast("decimal(12,2)"))
+    table = KeyedTable(spark, scratch_path(spark, "keyed_lines"), lines.drop(changelog.OP).schema, LINE_KEY)
+    part = F.lit(0)
+    for date in dates:
+        part = part + F.coalesce((F.col("l_shipdate") >= F.lit(date).cast("timestamp_ntz")).cast("int"), F.lit(0))
+    return table, [lines.filter(part == i) for i in range(len(dates) + 1)]
+
+
+def changelog_apply_touched(spark, folder):
+    """The same onto a table in buckets by key: only those of changed keys are read and written."""
+    table, parts = _keyed_lines(spark, folder, YEAR)
+    for number, part in enumerate(parts):
+        table.apply(part, ["l_shipdate"], batch_id=number)
+    return table.read().drop("quantity")
+
+
+def changelog_agg_upsert(spark, folder):
+    """Lines per supplier, kept up to date from what each part of the changelog writes and removes."""
+    table, parts = _keyed_lines(spark, folder, "1995-01-01", YEAR)
+    kept = KeptAggregate(
+        table, scratch_path(spark, "kept_aggregate"), ["l_suppkey"], ["quantity"], ["l_shipdate"], ["l_extendedprice"])
+    for number, part in enumerate(parts):
+        table.apply(part, ["l_shipdate"], batch_id=number)
+        kept.refresh()
+    return kept.read()
+
+
 def changelog_violations(spark, folder):
     events = event_changes(load(spark, folder, "events"))
     broken = events.select(
@@ -355,7 +386,7 @@ def copy_roundtrip(spark, folder):
     documents = load(spark, folder, "documents")
     path = scratch_path(spark, "copy_roundtrip")
     copyfiles.write_copy_files(documents, path)
-    return copyfiles.read_copy_files(spark, path, documents.schema)
+    return copyranges.read_copy_ranges(spark, path, documents.schema)
 
 
 # --- schema -----------------------------------------------------------------------------------------------------------
@@ -428,12 +459,12 @@ def stream_copy_files(spark, folder):
     path = scratch_path(spark, "stream_copy")
     documents = _stream(spark, folder, "documents")
     sink.copy_stream(documents, f"{path}/data", f"{path}/checkpoint", available_now=True).awaitTermination()
-    return copyfiles.read_copy_files(spark, f"{path}/data", documents.schema).select(*documents.columns)
+    return copyranges.read_copy_ranges(spark, f"{path}/data", documents.schema)
 
 
-def _fed(spark, label, stream, keys, order, arrival_order, output_mode="append", compact_every=None):
+def _fed(spark, label, stream, keys, order, arrival_order, output_mode="append", tiers=None):
     table = ChangelogTable(spark, scratch_path(spark, label), stream.schema, keys, order, arrival_order)
-    query = table.feed(stream, output_mode=output_mode, available_now=True, compact_every=compact_every)
+    query = table.feed(stream, output_mode=output_mode, available_now=True, tiers=tiers)
     query.awaitTermination()
     return table
 
@@ -449,9 +480,10 @@ def stream_changelog(spark, folder):
 
 
 def stream_compacted(spark, folder):
-    """The same changelog, with each batch merged into a new base."""
+    """The same changelog, its batches merged in tiers, and at the end into a base bucketed by key."""
     changes = line_changes(_stream(spark, folder, "lineitem"))
-    table = _fed(spark, "stream_compacted", changes, LINE_KEY, ["l_shipdate"], False, compact_every=1)
+    table = _fed(spark, "stream_compacted", changes, LINE_KEY, ["l_shipdate"], False, tiers=Tiers())
+    table.compact()
     table.remove_replaced()
     return table.state()
 
@@ -508,7 +540,7 @@ _REGISTERED = (
     delete_by_key, delete_other_key_type, key_projection,
     update_by_key, update_settled, lookup_by_key, row_exists, limit_rows, limit_rows_ties,
     rowkind_flag, changelog_collapse, changelog_collapse_lines, changelog_apply, changelog_apply_settled,
-    changelog_violations,
+    changelog_apply_touched, changelog_agg_upsert, changelog_violations,
     flush_batches, distinct_keys_per_flush, changelog_collapse_per_flush, flush_windows, flush_windows_per_writer,
     custom_dml_bind, custom_dml_sql,
     copy_encode_docs, copy_encode_pages, copy_encode_lineitem, copy_encode_events, copy_encode_nulls, copy_roundtrip,

@@ -9,9 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bulkapply.functions.copycsv import encode_lines
+from bulkapply.functions.names import column
 
 # Fixed value: no text of the target can hold this character, so no string is mistaken for a null.
 _NO_VALUE = "\u0000"
+CSV_OPTIONS = {
+    "multiLine": True,
+    "lineSep": "\n",
+    "escape": '"',
+    "nullValue": _NO_VALUE,
+    "emptyValue": "",
+    "mode": "FAILFAST",
+}
 
 
 def copy_statement(table: str, columns: Sequence[str]) -> str:
@@ -33,7 +42,8 @@ def write_copy_files(
 
 
 def read_copy_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Decode files of ``write_copy_files``; strings may hold newlines, so a file is read by one task.
+    """Decode files of ``write_copy_files``; strings may hold newlines, so a file is read by one task. ``read_copy_ranges``
+    has many tasks read a file.
 
     In a file of one column a null is an empty line, which the CSV reader would skip, so such files are read as lines. Of one
     text column, whose values may hold newlines, a null could not be told from part of a value: that shape is refused.
@@ -44,24 +54,19 @@ def read_copy_files(spark: SparkSession, path: str, schema: T.StructType) -> Dat
             raise ValueError("files of a single text column cannot be read back: a null and a newline in a text look alike")
         value = F.when(F.col("value") != "", F.col("value"))
         lines = spark.read.option("lineSep", "\n").text(path)
-        return lines.select(_decoded(value, only.dataType).alias(only.name))
-    fields = [T.StructField(f.name, T.StringType()) if isinstance(f.dataType, T.BinaryType) else f for f in schema.fields]
-    rows = (
-        spark.read.schema(T.StructType(fields))
-        .option("multiLine", True)
-        .option("lineSep", "\n")
-        .option("escape", '"')
-        .option("nullValue", _NO_VALUE)
-        .option("emptyValue", "")
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+        return lines.select(decoded(value, only.dataType).alias(only.name))
+    rows = spark.read.schema(T.StructType(text_fields(schema))).options(**CSV_OPTIONS).csv(path)
     return rows.withColumns({
-        f.name: _decoded(F.col(f.name), f.dataType) for f in schema.fields if isinstance(f.dataType, T.BinaryType)
+        f.name: decoded(column(f.name), f.dataType) for f in schema.fields if isinstance(f.dataType, T.BinaryType)
     })
 
 
-def _decoded(text: Column, data_type: T.DataType) -> Column:
+def text_fields(schema: T.StructType) -> list[T.StructField]:
+    """The fields as the CSV functions read them: bytes as their hexadecimal text."""
+    return [T.StructField(f.name, T.StringType()) if isinstance(f.dataType, T.BinaryType) else f for f in schema.fields]
+
+
+def decoded(text: Column, data_type: T.DataType) -> Column:
     """A field's value: bytes from their hexadecimal form, anything else by a cast."""
     if isinstance(data_type, T.BinaryType):
         return F.unhex(F.substr(text, F.lit(3)))

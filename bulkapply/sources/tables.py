@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from bulkapply.functions.convert import to_sql_types
+from bulkapply.functions.names import columns, quoted
 from bulkapply.options import SinkOptions
 
 
@@ -43,5 +45,31 @@ def save_keyed(df: DataFrame, table: str, path: str, keys: Sequence[str], bucket
     )
 
 
+def write_bucketed(rows: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> None:
+    """Write rows bucketed and sorted by key, as an external table of the session's catalog; columns stay as they are."""
+    (
+        rows.repartition(buckets, *columns(keys))
+        .write.mode("overwrite")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+
+
+def open_bucketed(
+    spark: SparkSession, table: str, path: str, schema: T.StructType, keys: Sequence[str], buckets: int
+) -> DataFrame:
+    """A table of ``write_bucketed``, also in a session that did not write it; only its layout is declared, nothing is read."""
+    if not spark.catalog.tableExists(table):
+        names = ", ".join(map(quoted, keys))
+        declared = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({declared}) USING parquet "
+            f"CLUSTERED BY ({names}) SORTED BY ({names}) INTO {int(buckets)} BUCKETS LOCATION '{path}'"
+        )
+    return spark.table(table)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)

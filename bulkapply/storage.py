@@ -59,16 +59,60 @@ def committed(spark: SparkSession, parent: str, prefix: str) -> dict[int, str]:
 
     Lists directory names only: one entry per write, never per row or per data file.
     """
+    return {int(name): path for name, path in committed_names(spark, parent, prefix).items()}
+
+
+def committed_names(spark: SparkSession, parent: str, prefix: str) -> dict[str, str]:
+    """The same by what follows the prefix, whatever it is."""
     fs, _ = _hadoop(spark, parent)
     found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{parent}/{prefix}*/{_MARK}"))
     paths = [status.getPath().getParent() for status in (found or [])]
-    return {int(p.getName()[len(prefix):]): p.toString() for p in paths}
+    return {p.getName()[len(prefix):]: p.toString() for p in paths}
 
 
-def mark_committed(spark: SparkSession, path: str) -> None:
-    """Mark a folder as completely written; committers need not leave a marker of their own."""
+def mark_committed(spark: SparkSession, path: str, text: str = "") -> None:
+    """Mark a folder as completely written; committers need not leave a marker of their own. ``text`` is kept in the mark."""
     fs, _ = _hadoop(spark, path)
-    fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_MARK}"), True).close()
+    out = fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_MARK}"), True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def mark_of(spark: SparkSession, path: str) -> str:
+    """What ``mark_committed`` kept."""
+    return read_text(spark, f"{path}/{_MARK}")
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not exist yet, so of two writers one fails."""
+    fs, jpath = _hadoop(spark, path)
+    out = fs.create(jpath, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's content."""
+    fs, jpath = _hadoop(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def names_in(spark: SparkSession, parent: str) -> list[str]:
+    """Names of the files and folders directly in a folder; none if it does not exist."""
+    fs, jpath = _hadoop(spark, parent)
+    return [status.getPath().getName() for status in fs.listStatus(jpath)] if fs.exists(jpath) else []
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a path."""
+    fs, jpath = _hadoop(spark, path)
+    return fs.getContentSummary(jpath).getLength()
 
 
 def exists(spark: SparkSession, path: str) -> bool:

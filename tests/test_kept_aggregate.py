@@ -1,0 +1,117 @@
+"""Aggregates that follow a changelog with removals."""
+
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from bulkapply.operators.kept_aggregate import KeptAggregate
+from bulkapply.sources.keyed_table import KeyedTable
+
+ROWS = "k int, g string, x int, d decimal(10,2), v string"
+
+
+def tables(spark, folder):
+    table = KeyedTable(spark, f"{folder}/rows", spark.createDataFrame([], ROWS).schema, ["k"], 4)
+    return table, KeptAggregate(table, f"{folder}/kept", ["g"], ["x", "d"], ["x", "v"], ["x", "d"], 4)
+
+
+def changes(spark, rows):
+    return spark.createDataFrame(rows, f"seq int, {ROWS}, _op string")
+
+
+def wanted(state):
+    groups = {}
+    for g, x, d, v in state.values():
+        groups.setdefault(g, []).append((x, d, v))
+    some = lambda f, values: f([x for x in values if x is not None], default=None) if f is not sum else (
+        sum(x for x in values if x is not None) if any(x is not None for x in values) else None)
+    return {
+        g: (len(rows), some(sum, [r[0] for r in rows]), some(sum, [r[1] for r in rows]), some(min, [r[0] for r in rows]),
+            some(min, [r[2] for r in rows]), some(max, [r[0] for r in rows]), some(max, [r[1] for r in rows]))
+        for g, rows in groups.items()
+    }
+
+
+def shown(kept):
+    return {r.g: tuple(r)[1:] for r in kept.read().collect()}
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_as_aggregates_from_scratch(spark, folder, seed):
+    rng = random.Random(seed)
+    table, kept = tables(spark, folder)
+    assert kept.refresh() == -1 and shown(kept) == {}
+    state = {}
+    for batch in range(5):
+        rows = []
+        for seq in range(rng.choice([0, 3, 30])):
+            k, op = rng.randint(0, 25), rng.choice(["+I", "+U", "+U", "-U", "-D"])
+            value = (rng.choice(["a", "b", None, 'c"']), rng.choice([None, 1, 2, 3, 9]), rng.choice([None, Decimal("1.25"), Decimal("-7.50")]),
+                     rng.choice([None, "p", "q", "r"]))
+            rows.append((seq, k, *value, op))
+            state.pop(k, None)
+            if op in ("+I", "+U"):
+                state[k] = value
+        table.apply(changes(spark, rows).drop("seq") if not rows else changes(spark, rows), ["seq"] if rows else [], batch_id=batch)
+        if batch != 2:
+            kept.refresh()
+            assert shown(kept) == wanted(state)
+    assert kept.refresh() == table.version().number
+    assert shown(kept) == wanted(state)
+
+
+def test_only_groups_that_lose_an_extreme_are_computed_anew(spark, folder, monkeypatch):
+    table, kept = tables(spark, folder)
+    first = [(0, i, f"g{i % 10}", i, Decimal(i), f"v{i:03}", "+I") for i in range(200)]
+    table.apply(changes(spark, first), ["seq"])
+    kept.refresh()
+    asked = []
+    recomputed = KeptAggregate.recomputed
+    monkeypatch.setattr(KeptAggregate, "recomputed",
+                        lambda self, moved, now: asked.append({r.g for r in moved.where("_lost").collect()}) or recomputed(self, moved, now))
+    # g0 loses its least x, g1 its greatest; g2 changes in the middle; g3 replaces its greatest by a greater one; g4 only gains.
+    table.apply(changes(spark, [(1, 0, None, None, None, None, "-D"), (1, 191, "g1", 50, Decimal(50), "v050", "+U"), (1, 102, None, None, None, None, "-D"),
+                                (1, 193, "g3", 999, Decimal(999), "v193", "+U"), (1, 1004, "g4", 104, Decimal(104), "v104", "+I")]), ["seq"])
+    kept.refresh()
+    assert asked == [{"g0", "g1"}]
+    assert shown(kept)["g0"][3] == 10 and shown(kept)["g1"][5] == 181 and shown(kept)["g3"][5] == 999
+    table.apply(changes(spark, [(2, 112, None, None, None, None, "-D")]), ["seq"])
+    kept.refresh()
+    assert len(asked) == 1 and shown(kept)["g2"][0] == 18
+
+
+def test_a_refresh_that_dies_is_done_again(spark, folder, monkeypatch):
+    table, kept = tables(spark, folder)
+    table.apply(changes(spark, [(0, 1, "a", 5, None, "p", "+I"), (0, 2, "a", 7, None, "q", "+I")]), ["seq"])
+    kept.refresh()
+    table.apply(changes(spark, [(1, 2, None, None, None, None, "-D")]), ["seq"])
+    with monkeypatch.context() as patched:
+        patched.setattr(KeyedTable, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError, match="killed"):
+            kept.refresh()
+    assert shown(kept)["a"][0] == 2
+    for _ in range(2):
+        kept.refresh()
+        assert shown(kept) == {"a": (1, 5, None, 5, "p", 5, None)}
+
+
+def test_untouched_groups_keep_their_files(spark, folder):
+    table, kept = tables(spark, folder)
+    table.apply(changes(spark, [(0, i, f"g{i}", i, None, "v", "+I") for i in range(50)]), ["seq"])
+    kept.refresh()
+    before = kept.kept.version()
+    table.apply(changes(spark, [(1, 3, "g3", 4, None, "v", "+U")]), ["seq"])
+    kept.refresh()
+    after = kept.kept.version()
+    assert sum(before.folders[b] != after.folders[b] for b in before.folders) == 1
+
+
+def test_rules(spark, folder):
+    table = KeyedTable(spark, f"{folder}/t", spark.sql("SELECT 1 k, 1.5D f, 1 n_rows").schema, ["k"])
+    with pytest.raises(ValueError, match="decimal"):
+        KeptAggregate(table, f"{folder}/a", ["k"], ["f"])
+    with pytest.raises(ValueError, match="named like"):
+        KeptAggregate(table, f"{folder}/b", ["n_rows"])
+    assert KeptAggregate(table, f"{folder}/c", ["k"], [], ["f"]).read().filter(F.col("n_rows") > 0).count() == 0

@@ -1,0 +1,140 @@
+"""A table in key buckets: changes reach only the buckets they touch, and a version is there as a whole or not at all."""
+
+import glob
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from bulkapply.operators.changelog import ChangelogError
+from bulkapply.sources import keyed_table
+from bulkapply.sources.keyed_table import KeyedTable
+
+ROWS = "k int, seq int, v string, bucket int"
+CHANGES = f"{ROWS}, _op string"
+
+
+def table_at(spark, folder, buckets=8):
+    return KeyedTable(spark, f"{folder}/keyed", spark.createDataFrame([], ROWS).schema, ["k"], buckets)
+
+
+def held(table, version=None):
+    return {r.k: r.v for r in table.read(version).collect()}
+
+
+def changes(spark, rows):
+    return spark.createDataFrame([(k, seq, v, 7, op) for k, seq, v, op in rows], CHANGES)
+
+
+def files(folder):
+    return {path: os.path.getmtime(path) for path in glob.glob(f"{folder}/keyed/data/*/*/*.parquet")}
+
+
+def test_untouched_buckets_keep_their_files(spark, folder):
+    table = table_at(spark, folder)
+    first = table.upsert(spark.range(400).selectExpr("int(id) k", "1 seq", "string(id) v", "7 bucket"), ["seq"])
+    before = files(folder)
+    second = table.apply(changes(spark, [(3, 2, "new", "+U"), (3, 1, "old", "+U"), (4, 2, None, "-D")]), ["seq"])
+    touched = {b for b in first.folders if first.folders[b] != second.folders[b]}
+    assert 1 <= len(touched) <= 2 and len(first.folders) == 8
+    after = files(folder)
+    assert all(after[path] == at for path, at in before.items())
+    written = {path.split("bucket_=")[1].split("/")[0] for path in after.keys() - before.keys()}
+    assert written == {str(b) for b in touched}
+    assert held(table) == {**{i: str(i) for i in range(400) if i != 4}, 3: "new"}
+    assert held(table, table.version(0)) == {i: str(i) for i in range(400)}
+    plan = table.read(buckets=list(touched))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("bucket_=") <= len(touched)
+
+
+def test_as_a_dictionary_over_many_batches(spark, folder):
+    rng = random.Random(6)
+    table, wanted = table_at(spark, folder, 5), {}
+    for batch in range(6):
+        rows = [(rng.randint(0, 30), seq, f"{batch}.{seq}", rng.choice(["+I", "+U", "+U", "-U", "-D"])) for seq in range(rng.randint(0, 25))]
+        for k, _, v, op in rows:
+            wanted.pop(k, None)
+            if op in ("+I", "+U"):
+                wanted[k] = v
+        table.apply(changes(spark, rows), ["seq"], batch_id=batch)
+        assert held(table) == wanted
+    assert table.apply(changes(spark, [(1, 1, "again", "+U")]), ["seq"], batch_id=5).number == 5
+    assert held(table) == wanted
+    before = held(table, table.version(3))
+    diff = table.differences(table.version(3), table.version()).collect()
+    assert {(r.before or r.after).k for r in diff} == {k for k in before.keys() | wanted.keys() if before.get(k) != wanted.get(k)}
+    assert table.remove_unreferenced(2) > 0 and held(table) == wanted
+    with pytest.raises(ValueError, match="no version"):
+        table.version(0)
+
+
+def test_a_writer_that_dies_before_the_version_changes_nothing(spark, folder, monkeypatch):
+    table = table_at(spark, folder)
+    table.apply(changes(spark, [(1, 1, "a", "+I"), (2, 1, "b", "+I")]), ["seq"], batch_id=0)
+
+    def die(*args):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(keyed_table, "create_text", die)
+        with pytest.raises(RuntimeError, match="killed"):
+            table.apply(changes(spark, [(1, 2, "A", "+U"), (2, 2, None, "-D")]), ["seq"], batch_id=1)
+    assert held(table) == {1: "a", 2: "b"} and table.version().batch == 0
+    with open(f"{folder}/keyed/versions/1", "w", encoding="utf-8") as half:
+        half.write('{"buckets": 8, "fol')
+    assert held(table) == {1: "a", 2: "b"}
+    after = table.apply(changes(spark, [(1, 2, "A", "+U"), (2, 2, None, "-D")]), ["seq"], batch_id=1)
+    assert after.number == 2 and held(table) == {1: "A"}
+    os.remove(f"{folder}/keyed/versions/1")
+    assert table.remove_unreferenced() == 2 and held(table) == {1: "A"}
+
+
+def test_the_second_of_two_writers_fails(spark, folder, monkeypatch):
+    table = table_at(spark, folder)
+    table.apply(changes(spark, [(1, 1, "a", "+I")]), ["seq"])
+    write = KeyedTable._write
+
+    def interrupted(self, rows, buckets):
+        monkeypatch.setattr(KeyedTable, "_write", write)
+        table_at(spark, folder).apply(changes(spark, [(1, 2, "other", "+U")]), ["seq"])
+        return write(self, rows, buckets)
+
+    monkeypatch.setattr(KeyedTable, "_write", interrupted)
+    with pytest.raises(RuntimeError, match="another writer"):
+        table.apply(changes(spark, [(1, 3, "mine", "+U")]), ["seq"])
+    assert held(table) == {1: "other"}
+
+
+def test_rows_of_keys_open_their_buckets_only(spark, folder):
+    table = table_at(spark, folder, 16)
+    table.upsert(spark.range(1000).selectExpr("int(id) k", "1 seq", "'x' v", "0 bucket"), ["seq"])
+    found = table.of_keys(spark.createDataFrame([(5,), (5,), (5000,), (None,)], "k long"))
+    assert [r.k for r in found.collect()] == [5]
+    read = found.inputFiles()
+    assert len({path.split("bucket_=")[1].split("/")[0] for path in read}) <= 3
+
+
+def test_rules(spark, folder):
+    table = table_at(spark, folder)
+    assert held(table) == {} and table.version().number == -1
+    with pytest.raises(Exception, match="null in key"):
+        table.apply(changes(spark, [(None, 1, "a", "+I")]), ["seq"])
+    with pytest.raises(ChangelogError, match="exactly"):
+        table.apply(spark.sql("SELECT 1.5 k, 1 seq, 'a' v, 1 bucket, '+I' _op"), ["seq"])
+    with pytest.raises(ChangelogError, match="kind column"):
+        table.apply(changes(spark, []), ["seq"], "v")
+    table.upsert(spark.createDataFrame([], ROWS), ["seq"])
+    assert held(table) == {}
+    strange = KeyedTable(spark, f"{folder}/strange", spark.sql("SELECT 1 `a.b`, 's' `_upsert`, 'n' `_nth`").schema, ["a.b"], 3)
+    strange.upsert(spark.sql("SELECT 1 `a.b`, 's' `_upsert`, 'n' `_nth`"), ["_nth"])
+    strange.upsert(spark.sql("SELECT 1 `a.b`, 't' `_upsert`, 'm' `_nth`"), [])
+    assert [tuple(r) for r in strange.read().collect()] == [(1, "t", "m")]
+
+
+def test_a_hot_changed_key_is_cut_before_the_shuffle(spark, folder):
+    table = table_at(spark, folder)
+    hot = spark.range(5000).selectExpr("if(id % 3 = 0, 1, int(id)) k", "int(id) seq", "string(id) v", "0 bucket", "'+U' _op")
+    table.apply(hot, ["seq"])
+    assert held(table)[1] == "4998"
+    assert table.read().groupBy("k").count().where(F.col("count") > 1).isEmpty()

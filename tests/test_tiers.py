@@ -1,0 +1,115 @@
+"""Compaction in tiers: rows are rewritten a few times, the base rarely, and never shuffled."""
+
+import glob
+import os
+import random
+import re
+
+import pytest
+
+from bulkapply.streaming.changelog_table import ChangelogTable, Tiers
+from test_plans import setting
+
+SCHEMA = "k int, seq int, v string, _op string"
+
+
+def table_at(spark, folder, arrival_order=True, buckets=4):
+    return ChangelogTable(spark, f"{folder}/table", spark.createDataFrame([], SCHEMA).schema, ["k"], ["seq"], arrival_order, buckets=buckets)
+
+
+def state(table):
+    return {r.k: r.v for r in table.state().collect()}
+
+
+def rows_written(spark, folder):
+    """Rows of every batch, run and base that was ever written; nothing has been removed."""
+    found = [path for kind in ("log", "tiers", "base") for path in glob.glob(f"{folder}/table/{kind}/*")]
+    return sum(spark.read.parquet(path).count() for path in found)
+
+
+def test_rows_written_grow_as_n_log_n(spark, folder):
+    table, tiers = table_at(spark, folder), Tiers(fan_out=3, share=0.5)
+    n_batches, size = 27, 20
+    for n in range(n_batches):
+        rows = [(n * size + i, n, f"{n}", "+I") for i in range(size)]
+        table.write_batch(spark.createDataFrame(rows, SCHEMA).coalesce(1), n)
+        table.merge_tiers(tiers)
+    # Once as a batch, once per size of run, and into bases that grow by half each time.
+    written, every = rows_written(spark, folder), n_batches * size
+    assert written <= every * (1 + 3 + 4)
+    assert len(table.runs()) <= 2 * 3 and len(os.listdir(f"{folder}/table/base")) < n_batches / 3
+    assert len(state(table)) == every
+
+
+@pytest.mark.parametrize("arrival_order", [True, False])
+def test_same_state_as_without_tiers(spark, folder, arrival_order):
+    rng = random.Random(8)
+    table, plain = table_at(spark, f"{folder}/a", arrival_order), table_at(spark, f"{folder}/b", arrival_order)
+    for n in range(10):
+        rows = [(rng.randint(0, 15), rng.randint(0, 9), f"{n}.{i}", rng.choice(["+I", "+U", "-U", "-D"])) for i in range(rng.randint(1, 12))]
+        for each in (table, plain):
+            each.write_batch(spark.createDataFrame(rows, SCHEMA), n)
+        table.merge_tiers(Tiers(fan_out=2, share=0.7))
+        if n % 3 == 0:
+            assert state(table) == state(plain)
+    assert state(table) == state(plain)
+    table.remove_replaced()
+    assert state(table) == state(plain)
+    table.compact()
+    assert state(table) == state(plain)
+
+
+def test_a_small_merge_leaves_the_base_alone(spark, folder):
+    table, tiers = table_at(spark, folder), Tiers(fan_out=2, share=0.9)
+    table.write_batch(spark.range(20_000).selectExpr("int(id) k", "0 seq", "string(id) v", "'+I' _op"), 0)
+    table.compact()
+    before = os.listdir(f"{folder}/table/base")
+    for n in (1, 2, 3, 4):
+        table.write_batch(spark.createDataFrame([(n, n, "new", "+U"), (50 + n, n, None, "-D")], SCHEMA), n)
+        table.merge_tiers(tiers)
+    assert os.listdir(f"{folder}/table/base") == before
+    assert [(r.first, r.last) for r in table.runs()] == [(1, 4)]
+    assert len(state(table)) == 20_000 - 4
+
+
+@pytest.mark.parametrize("arrival_order", [True, False])
+def test_the_base_is_not_shuffled(spark, folder, arrival_order):
+    table = table_at(spark, folder, arrival_order)
+    table.write_batch(spark.range(5000).selectExpr("int(id) k", "0 seq", "string(id) v", "'+I' _op"), 0)
+    table.compact()
+    table.write_batch(spark.createDataFrame([(1, 2, "new", "+U")], SCHEMA), 1)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        # As another session would: the layout is declared anew, not remembered.
+        for name in re.findall(r"base_\w+", str(spark.catalog.listTables())):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        text = table_at(spark, folder, arrival_order).state()._jdf.queryExecution().executedPlan().toString()
+        scan = next(part for part in text.split("FileScan") if "/base/" in part or "base_" in part)
+        assert "SelectedBucketsCount: 4 out of 4" in text
+        before_scan = text[: text.index(scan)].rsplit("Join", 1)[1]
+        assert "Exchange" not in before_scan
+        assert state(table)[1] == "new" and len(state(table)) == 5000
+
+
+def test_an_unfinished_run_is_not_read_and_is_written_again(spark, folder):
+    table = table_at(spark, folder)
+    table.write_batch(spark.createDataFrame([(9, 0, "base", "+I")], SCHEMA), 0)
+    table.compact()
+    for n in (1, 2):
+        table.write_batch(spark.createDataFrame([(n, n, f"v{n}", "+I")], SCHEMA), n)
+    assert not table.merge_tiers(Tiers(fan_out=2, share=100))
+    assert len(table.runs()) == 1
+    os.remove(f"{folder}/table/tiers/batches=1-2/_committed")
+    assert len(table.runs()) == 2 and state(table) == {9: "base", 1: "v1", 2: "v2"}
+    assert not table.merge_tiers(Tiers(fan_out=2, share=100))
+    # A restarted stream may repeat its last batch, which the run already holds.
+    table.write_batch(spark.createDataFrame([(2, 2, "v2", "+I")], SCHEMA), 2)
+    assert len(table.runs()) == 1 and state(table) == {9: "base", 1: "v1", 2: "v2"}
+
+
+def test_rules(spark, folder):
+    table = table_at(spark, folder)
+    with pytest.raises(ValueError, match="fan-out"):
+        Tiers(fan_out=1)
+    with pytest.raises(ValueError, match="either"):
+        table.feed(spark.readStream.schema(SCHEMA).parquet(folder), compact_every=1, tiers=Tiers())
+    assert Tiers(fan_out=4).level(1) == 0 and Tiers(fan_out=4).level(4) == 1 and Tiers(fan_out=4).level(63) == 2
