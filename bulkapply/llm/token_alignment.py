@@ -4,6 +4,10 @@ A text is encoded by a byte-level vocabulary (A) and by a piece vocabulary (B),
 token of A and one of B end together cut it into groups; every token of A in a group is linked with every one of B in it. The
 count of a pair of ids is the number of documents that have it linked.
 
+Both vocabularies end a token before a space that follows a visible character: the pre-token pattern of A always, and B as long as
+none of its pieces holds a space behind another character, which is looked at. So a text is aligned word by word, and each
+task keeps the words that it has aligned. With a B that has such pieces texts are aligned as a whole.
+
 The first pass aligns all documents and writes, for each task, its distinct pairs with the number of its documents. The distinct
 pairs of all tasks are spread over shards of some ``SHARD_KEYS``, and each shard gets a minimal perfect hash and its keys in
 hash order. Counts are dense vectors indexed by that hash: in each shard, ``SALTS`` tasks stream their part of the written pairs
@@ -18,12 +22,13 @@ highest count of each A id, a row for each id of the vocabulary at most.
 
 Defined cases: null and empty texts, and texts whose pieces do not spell a space and the text (a text with U+2581, which B reads as a
 space), have no tokens: zeros and an empty ``groups``. Every row counts as a document of its own, so repeated rows count. Long texts
-are read whole; documents are aligned in blocks of some ``BLOCK_CHARS``, and large groups are linked by distinct ids with
-multiplicities. Only doc_id and text are read. An empty table gives an empty result.
+are read whole; documents are aligned in blocks of some ``BLOCK_CHARS``, large groups are linked by distinct ids with
+multiplicities, and a task forgets its words when they are more than ``HELD_WORDS`` or ``HELD_CHARS``. Only doc_id and text are read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,6 +48,7 @@ SHARD_KEYS = 65_536
 SALTS = 8
 LOOKUP_KEYS = 4_000_000
 BLOCK_CHARS = 1_000_000
+HELD_WORDS, HELD_CHARS = 300_000, 20_000_000
 # Groups of more links are reduced to distinct ids first.
 LARGE_GROUP = 4096
 _HELD = 4_000_000
@@ -51,9 +57,14 @@ _B_BITS = 20
 _SPREAD = 7919
 
 
+_CUT, _BLANKS = re.compile(r"(?<=\S) "), re.compile(r"\A |\s ")
+# Words that are encoded in one go.
+_TOGETHER = 256
+
+
 @dataclass
 class Alignment:
-    """Tokens of several documents, and the groups: where each begins among A's and B's tokens, and its document."""
+    """Tokens of several texts, and the groups: where each begins among A's and B's tokens, and its text (``doc``)."""
 
     n_docs: int
     a: np.ndarray
@@ -141,28 +152,143 @@ class Aligner:
             self.bytes_a[i] = len(token)
         self.spelt = [self._bytes(i) for i in range(self.b.vocab_size())]
         self.bytes_b = np.array([*map(len, self.spelt)], np.int64)
+        self.blank = self.b.piece_to_id("\u2581")
+        # Whether B, as A, always ends a token before a space behind another character.
+        self.by_word = self.spelt[self.blank] == b" " and not any(b" " in each.lstrip(b" ") for each in self.spelt)
 
     def _bytes(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace("\u2581", " ").encode()
 
-    def align(self, texts: list[str | None]) -> Alignment:
-        encoded = []
-        for text in texts:
-            b = self.b.encode([text], num_threads=1)[0] if text else []
-            if text and b"".join(map(self.spelt.__getitem__, b)) == b" " + text.encode():
-                encoded.append((self.a.encode_ordinary(" " + text), b))
-            else:
-                encoded.append(([], []))
-        a_of, b_of = (np.array([len(each[i]) for each in encoded], np.int64) for i in (0, 1))
-        a, b = (np.fromiter((x for each in encoded for x in each[i]), np.int64, int(n.sum())) for i, n in ((0, a_of), (1, b_of)))
+    def align(self, texts: list[str]) -> tuple[Alignment, np.ndarray]:
+        """Each text behind a space; one that its pieces do not spell has no tokens, and is told by the second result."""
+        ids_a = [self.a.encode_ordinary(" " + text) for text in texts]
+        ids_b = [b if text else [self.blank] for text, b in zip(texts, self.b.encode(texts, num_threads=1))]
+        spelt = self.spelt.__getitem__
+        valid = np.array([b"".join(map(spelt, b)) == b" " + text.encode() for text, b in zip(texts, ids_b)], bool)
+        for i in np.flatnonzero(~valid).tolist():
+            ids_a[i], ids_b[i] = [], []
+        a_of, b_of = (np.array([*map(len, ids)], np.int64) for ids in (ids_a, ids_b))
+        a, b = (np.fromiter((x for each in ids for x in each), np.int64, int(n.sum())) for ids, n in ((ids_a, a_of), (ids_b, b_of)))
+        return self._grouped(len(texts), a, b, a_of, b_of), valid
+
+    def align_words(self, words: list[str]) -> tuple[Alignment, np.ndarray]:
+        """The same for words that end in visible characters, encoded in one go: no token crosses from one to the next."""
+        parts = [" ".join(words[i : i + _TOGETHER]) for i in range(0, len(words), _TOGETHER)]
+        a = [i for part in parts for i in self.a.encode_ordinary(" " + part)]
+        b = [i for part in self.b.encode(parts, num_threads=1) for i in part]
+        if b"".join(map(self.spelt.__getitem__, b)) != "".join([" " + part for part in parts]).encode():
+            return self.align(words)
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        ends = np.cumsum([1 + len(word.encode()) for word in words])
+        a_of, b_of = (np.diff(np.searchsorted(np.cumsum(size[ids]), ends, "right"), prepend=0) for size, ids in ((self.bytes_a, a), (self.bytes_b, b)))
+        return self._grouped(len(words), a, b, a_of, b_of), np.ones(len(words), bool)
+
+    def _grouped(self, n_texts: int, a: np.ndarray, b: np.ndarray, a_of: np.ndarray, b_of: np.ndarray) -> Alignment:
         # Ends of tokens in bytes from the start of the first text; both reach each text's own end.
         ends_a, ends_b = np.cumsum(self.bytes_a[a]), np.cumsum(self.bytes_b[b])
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)
         from_a = np.r_[0, np.searchsorted(ends_a, common) + 1]
         from_b = np.r_[0, np.searchsorted(ends_b, common) + 1]
         doc = np.searchsorted(np.cumsum(a_of), from_a[1:])
-        return Alignment(len(texts), a, b, a_of, b_of, from_a, from_b, doc)
+        return Alignment(n_texts, a, b, a_of, b_of, from_a, from_b, doc)
+
+
+def _words(text: str) -> list[str]:
+    """A text cut before each space that follows a visible character, without these spaces."""
+    return _CUT.split(text) if _BLANKS.search(text) else text.split(" ")
+
+
+class Words:
+    """The words aligned so far, numbered; a text that must be aligned as a whole is a word of its own, in a tuple."""
+
+    def __init__(self, aligner: Aligner, lookup: Lookup | None = None, spell: bool = True):
+        self.aligner, self.lookup, self.spell = aligner, lookup, spell
+        self._clear()
+
+    def _clear(self) -> None:
+        none = np.empty(0, np.int64)
+        self.number: dict = {}
+        self.groups: list[str] = []
+        self.chars, self.spelt = 0, np.empty(0, bool)
+        # Per word: tokens of A and B, groups, links, best links, counts of all links; then its distinct pairs, one word after another.
+        self.sums = np.empty((0, 6), np.int64)
+        self.pairs, self.times, self.begin = none, none, np.zeros(1, np.int64)
+
+    def _add(self, keys: list, texts: list[str], aligned: Alignment, spelt: np.ndarray) -> None:
+        in_a, in_b = aligned.sizes
+        word, pairs, times = aligned.links()
+        sums = np.zeros((len(texts), 6), np.int64)
+        sums[:, 0], sums[:, 1] = aligned.a_of, aligned.b_of
+        sums[:, 2], sums[:, 3] = aligned.per_doc(np.ones(len(in_a), np.int64)), aligned.per_doc(in_a * in_b)
+        if self.spell:
+            self.groups += aligned.groups()
+        if self.lookup is not None:
+            counts = self.lookup.counts(pairs)
+            np.add.at(sums[:, 4], word, times * (counts == self.lookup.best[pairs >> _B_BITS]))
+            np.add.at(sums[:, 5], word, times * np.maximum(counts, 0))
+        self.number.update(zip(keys, range(len(self.number), len(self.number) + len(keys))))
+        self.chars += sum(map(len, texts))
+        self.spelt, self.sums = np.r_[self.spelt, spelt], np.r_[self.sums, sums]
+        self.pairs, self.times = np.r_[self.pairs, pairs], np.r_[self.times, times]
+        self.begin = np.r_[self.begin, self.begin[-1] + np.cumsum(np.bincount(word, minlength=len(texts)))]
+
+    def of(self, texts: list[str | None]) -> Texts:
+        """The words of each text. A text with a word that its pieces do not spell is aligned as a whole."""
+        if len(self.number) > HELD_WORDS or self.chars > HELD_CHARS:
+            self._clear()
+        cut = [(_words(text) if self.aligner.by_word else [(text,)]) if text else [] for text in texts]
+        flat = self._numbers([word for words in cut for word in words])
+        sizes = np.array([*map(len, cut)], np.int64)
+        doc = np.repeat(np.arange(len(cut)), sizes)
+        odd = np.unique(doc[~self.spelt[flat]]).tolist() if self.aligner.by_word else []
+        if odd:
+            for i in odd:
+                cut[i], sizes[i] = [(texts[i],)], 1
+            flat = self._numbers([word for words in cut for word in words])
+            doc = np.repeat(np.arange(len(cut)), sizes)
+        return Texts(self, len(texts), flat, doc)
+
+    def _numbers(self, words: list) -> np.ndarray:
+        new = [word for word in dict.fromkeys(words) if word not in self.number]
+        visible = [word for word in new if type(word) is str and word and not word[-1].isspace()]
+        if visible:
+            self._add(visible, visible, *self.aligner.align_words(visible))
+        rest = [word for word in new if word not in self.number]
+        if rest:
+            texts = [word if type(word) is str else word[0] for word in rest]
+            self._add(rest, texts, *self.aligner.align(texts))
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+
+
+@dataclass
+class Texts:
+    """Several texts by the numbers of their words, and the text (``doc``) of each."""
+
+    words: Words
+    n_docs: int
+    flat: np.ndarray
+    doc: np.ndarray
+
+    def sums(self) -> np.ndarray:
+        """The six sums of each text's words."""
+        running = np.r_[np.zeros((1, 6), np.int64), np.cumsum(self.words.sums[self.flat], axis=0)]
+        ends = np.searchsorted(self.doc, np.arange(self.n_docs + 1))
+        return running[ends[1:]] - running[ends[:-1]]
+
+    def groups(self) -> list[str]:
+        parts = [self.words.groups[i] for i in self.flat.tolist()]
+        ends = np.searchsorted(self.doc, np.arange(self.n_docs + 1)).tolist()
+        return [";".join(parts[x:y]) for x, y in zip(ends, ends[1:])]
+
+    def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``doc, pair, times``: the distinct linked pairs of each text with their number of links."""
+        known = self.words
+        both, times = np.unique(self.doc << 32 | self.flat, return_counts=True)
+        doc, word = both >> 32, both & (1 << 32) - 1
+        n = known.begin[word + 1] - known.begin[word]
+        at = np.repeat(known.begin[word] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return _summed(np.repeat(doc, n), known.pairs[at], np.repeat(times, n) * known.times[at])
 
 
 def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
@@ -202,7 +328,7 @@ def pairs_of_tasks(docs: DataFrame, vocabs: Vocabularies) -> DataFrame:
     """``pair, n_docs`` of each task's documents; a task with very many pairs sends them in several portions."""
 
     def first_pass(batches):
-        aligner, held, n = vocabs.aligner(), [], 0
+        words, held, n = Words(vocabs.aligner(), spell=False), [], 0
         none = np.empty(0, np.int64)
 
         def merged():
@@ -214,7 +340,7 @@ def pairs_of_tasks(docs: DataFrame, vocabs: Vocabularies) -> DataFrame:
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for x, y in _blocks(texts):
-                _, pairs, _ = aligner.align(texts[x:y]).links()
+                _, pairs, _ = words.of(texts[x:y]).links()
                 held.append(np.unique(pairs, return_counts=True))
                 n += len(held[-1][0])
                 if n >= _HELD:
@@ -304,9 +430,9 @@ class Lookup:
         self.n_shards, self.best = n_shards, best
         self.shards = {s: (PerfectHash(levels), keys, counts) for s, (levels, keys, counts) in shards.items()}
 
-    def counts(self, pairs: np.ndarray, shard: np.ndarray) -> np.ndarray:
+    def counts(self, pairs: np.ndarray) -> np.ndarray:
         """The count of each pair; -1 if the table does not have it."""
-        out = np.full(len(pairs), -1, np.int64)
+        out, shard = np.full(len(pairs), -1, np.int64), _shards_of(pairs, self.n_shards)
         for s in np.unique(shard).tolist():
             if s in self.shards:
                 at = np.flatnonzero(shard == s)
@@ -372,20 +498,12 @@ def align(docs: DataFrame, path_a: str = VOCABULARY, path_b: str = PIECES, patte
 
 def _second_pass(texts: DataFrame, vocabs: Vocabularies, known) -> DataFrame:
     def look_up(batches):
-        aligner, lookup = vocabs.aligner(), Lookup(*known.value)
+        words = Words(vocabs.aligner(), Lookup(*known.value))
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for x, y in _blocks(texts):
-                aligned = aligner.align(texts[x:y])
-                in_a, in_b = aligned.sizes
-                doc, pairs, times = aligned.links()
-                counts = lookup.counts(pairs, _shards_of(pairs, lookup.n_shards))
-                is_best = counts == lookup.best[pairs >> _B_BITS]
-                n_best, count_sum = np.zeros(y - x, np.int64), np.zeros(y - x, np.int64)
-                np.add.at(n_best, doc, times * is_best)
-                np.add.at(count_sum, doc, times * np.maximum(counts, 0))
-                yield [batch.column(0).slice(x, y - x), batch.column(2).slice(x, y - x), aligned.a_of, aligned.b_of,
-                       aligned.per_doc(np.ones(len(in_a), np.int64)), aligned.per_doc(in_a * in_b), n_best, count_sum, aligned.groups()]
+                found = words.of(texts[x:y])
+                yield [batch.column(0).slice(x, y - x), batch.column(2).slice(x, y - x), *found.sums().T, found.groups()]
 
     numbers = ", ".join(f"{c} long" for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"))
     return in_arrow(texts.select("doc_id", "text", "text_hash"), look_up, f"doc_id long, text_hash long, {numbers}, groups string")
@@ -395,13 +513,14 @@ def _with_rare(found: DataFrame, texts: DataFrame, vocabs: Vocabularies, known,
     """``found`` with the links whose pairs are not broadcast: they go to the rest of the table by a join."""
 
     def unknown(batches):
-        aligner, lookup = vocabs.aligner(), Lookup(*known.value)
+        lookup = Lookup(*known.value)
+        words = Words(vocabs.aligner(), spell=False)
         for batch in batches:
             ids, hashes = batch.column(0), batch.column(2)
             texts = batch.column(1).to_pylist()
             for x, y in _blocks(texts):
-                doc, pairs, times = aligner.align(texts[x:y]).links()
-                open_ = lookup.counts(pairs, _shards_of(pairs, lookup.n_shards)) < 0
+                doc, pairs, times = words.of(texts[x:y]).links()
+                open_ = lookup.counts(pairs) < 0
                 at = (x + doc[open_]).tolist()
                 yield [ids.take(at), hashes.take(at), pairs[open_], times[open_], lookup.best[pairs[open_] >> _B_BITS]]
 

@@ -84,10 +84,32 @@ def test_as_brute_force(spark, both, monkeypatch, lookup_keys, shard_keys, block
     monkeypatch.setattr(token_alignment, "SHARD_KEYS", shard_keys)
     monkeypatch.setattr(token_alignment, "BLOCK_CHARS", block)
     given = texts(random.Random(2))
+    if block == 50:
+        monkeypatch.setattr(token_alignment, "HELD_WORDS", 3)
     found = token_alignment.align(documents(spark, given).repartition(5), lookup_keys=lookup_keys)
     assert sorted((tuple(r) for r in found.collect()), key=str) == brute_force(list(enumerate(given)), both)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_word_by_word_is_as_the_whole(seed):
+    """Also next to blanks of every kind, and with texts that pieces do not spell."""
+    import base64
+
+    rng = random.Random(seed)
+    with open(token_alignment.VOCABULARY, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    with open(token_alignment.PIECES, "rb") as model:
+        aligner = token_alignment.Aligner(ranks, model.read())
+    assert aligner.by_word
+    alphabet = [*"ab1.'é漢▁", " ", " ", "  ", "\n", "\t", "\x85", "\u00a0", "\u2003", "\u3000", "\x1c", "\r\n", "'s", " the", "👍"]
+    given = ["".join(rng.choices(alphabet, k=rng.randint(1, 40))) for _ in range(400)] + [None, "", " ", "a "]
+    by_word = token_alignment.Words(aligner).of(given)
+    aligner.by_word = False
+    whole = token_alignment.Words(aligner).of(given)
+    assert (by_word.sums() == whole.sums()).all() and by_word.groups() == whole.groups()
+    assert all((x == y).all() for x, y in zip(by_word.links(), whole.links()))
+
+
 def test_large_groups(both):
     aligner_ids = np.array([7, 7, 9] * 40), np.array([1, 2] * 60)
     one = token_alignment.Alignment(1, *aligner_ids, np.array([120]), np.array([120]), np.array([0, 120]), np.array([0, 120]), np.array([0]))
