@@ -6,14 +6,14 @@ at least one chunk has at most one (pigeonhole), so every chunk is entered five
 out. Every pair within the distance shares one of these 80 keys. A pair of similarity 0.8 differs in 16 symbols on
 average and exceeds 31 with a probability of about 2 in 100,000; candidates are then confirmed on the full sets.
 
-Copies share one node. Pairs of a bucket are not all written out: first every member meets one leader of its buckets,
+Copies share one node, a number of their own. Pairs of a bucket are not all written out: first every member meets one leader of its buckets,
 confirmed links merge into components, and only members of *different* components of a bucket are then compared, in parts
 of bounded size: by signature, and those near enough by their sets cut to 32-bit hashes, so only links are written out,
 to be confirmed on the full sets too. Shingle sets are made again from the texts of candidates only. Components come from label propagation with pointer jumping on written tables.
 
 Defined cases: a null or empty text or one of blanks has an empty set, is linked with nothing and kept. Fewer words than a
 shingle make one shingle. A row without doc_id has no component and is kept. Rows that share a doc_id are one
-document: each is kept or dropped with it. Only doc_id and text are read. An empty table gives an empty result.
+document, also with different texts: it is linked through any of them, and all its rows have one component. Only doc_id and text are read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -173,19 +173,35 @@ def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return restrict(rows, nodes, ["doc_id"], "left_semi")
 
 
-def _short_sets(docs: DataFrame, rows: DataFrame, size: int) -> DataFrame:
-    """``node, n, sign, members`` of each node of ``rows``: how many shingles, the signature, and their hashes cut to 32 bits."""
+def _sets_of(docs: DataFrame, nodes: DataFrame, classes: DataFrame, size: int, make, schema: str) -> DataFrame:
+    """``node`` and the columns that ``make`` gives for its shingles, of each of ``nodes``.
+
+    A node's text is that of its smallest doc_id; where an id has several texts, the hash of the set tells which.
+    """
+    wanted = materialize(nodes.select("node").distinct().join(classes.select("node", "doc_id", "set_hash"), "node"), "wanted")
+
+    def sets(batches):
+        import xxhash
 
-    def cut(batches):
-        cache, functions = _WordHashes(), _functions(SYMBOLS)
+        cache = _WordHashes()
         for batch in batches:
             found = [shingles(text.as_py(), size, cache) for text in batch.column(1)]
-            yield [batch.column(0), [len(each) for each in found], [signature(each, *functions) for each in found],
-                   [np.unique(each.astype(np.uint32)).tobytes() for each in found]]
+            yield [[xxhash.xxh3_128_digest(each.tobytes()) for each in found], *make(found)]
+
+    made = in_arrow(_texts_of(docs, wanted.select("doc_id").distinct()), sets, f"set_hash binary, {schema}")
+    made = made.join(wanted.select("node", "set_hash"), "set_hash").drop("set_hash")
+    return made.groupBy("node").agg(*(F.first(c).alias(c) for c in made.columns if c != "node"))
+
 
-    nodes = materialize(rows.select(F.col("node").alias("doc_id")).distinct(), "open-nodes")
-    found = in_arrow(_texts_of(docs, nodes), cut, "node long, n long, sign binary, members binary")
-    return materialize(found.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "sign", "members"))), "short-sets")
+def _short_sets(docs: DataFrame, rows: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """``node, n, sign, members`` of each node of ``rows``: how many shingles, the signature, and their hashes cut to 32 bits."""
+    functions = _functions(SYMBOLS)
+
+    def cut(found):
+        return [[len(each) for each in found], [signature(each, *functions) for each in found],
+                [np.unique(each.astype(np.uint32)).tobytes() for each in found]]
+
+    return materialize(_sets_of(docs, rows, classes, size, cut, "n long, sign binary, members binary"), "short-sets")
 
 
 def _crossing(rows: DataFrame, percent: int) -> DataFrame:
@@ -267,21 +283,18 @@ def _crossing(rows: DataFrame, percent: int) -> DataFrame:
     return in_arrow(dealt, meet, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """Those written ``a, b`` whose full shingle sets have the similarity asked for."""
-    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "candidates")
 
-    def full_sets(batches):
+    def full(found):
         import pyarrow as pa
 
-        cache = _WordHashes()
-        for batch in batches:
-            found = [shingles(text.as_py(), size, cache).view(np.int64) for text in batch.column(1)]
-            ends = np.cumsum([0, *map(len, found)])
-            values = np.concatenate([np.empty(0, np.int64), *found])
-            yield [batch.column(0), pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(values)).cast(pa.list_(pa.int64()))]
+        ends = np.cumsum([0, *map(len, found)])
+        values = np.concatenate([np.empty(0, np.int64), *(each.view(np.int64) for each in found)])
+        return [pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(values)).cast(pa.list_(pa.int64()))]
 
-    sets = materialize(in_arrow(_texts_of(docs, wanted), full_sets, "node long, members array<long>"), "sets")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    sets = materialize(_sets_of(docs, asked, classes, size, full, "members array<long>"), "sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("of_a")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("members").alias("of_b")), "b")
     common = F.size(F.array_intersect("of_a", "of_b"))
@@ -289,6 +302,18 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
     return both.where(100 * common >= percent * union).select("a", "b").distinct()
 
 
+def _same_id(sketched: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, set_hash`` of documents with several texts, and ``a, b``: links between the nodes of each of them."""
+    short = F.when(F.col("set_hash").isNotNull(), F.xxhash64("set_hash"))
+    several = sketched.where("doc_id is not null").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.min(short).alias("low"), F.max(short).alias("high"), F.count(short).alias("full"))
+    several = several.where("rows > 1 and (low <> high or full between 1 and rows - 1)").select("doc_id")
+    texts = materialize(sketched.select("doc_id", "set_hash").join(several, "doc_id").distinct(), "texts-of-one-id")
+    nodes = texts.join(classes.select("set_hash", "node"), "set_hash").select("doc_id", "node")
+    first = nodes.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return texts, nodes.join(first, "doc_id").where("a <> node").select("a", F.col("node").alias("b"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, component``: the smallest node that each node of the written ``edges`` (a, b) reaches.
 
@@ -317,12 +342,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     """
     sketched = materialize(sketches(docs, size), "sketches")
     numbers = [f"s{i}" for i in range(LONGS)]
+    # Numbers are given to the written classes, so that they are the same whenever they are read.
     classes = materialize(
         sketched.where("set_hash is not null and doc_id is not null").groupBy("set_hash").agg(
-            F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n"),
-            *(F.first(c).alias(c) for c in numbers)),
+            F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n"),
+            *(F.first(c).alias(c) for c in numbers)).withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
+    texts, same_id = _same_id(sketched, classes)
     bucketed = materialize(_buckets(_keys(classes)), "buckets")
 
     # Every node meets the leader with which it shares most keys.
@@ -333,7 +360,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     met = x.join(signed.select("node", F.struct("n", *numbers).alias("y")), "node")
     met = materialize(
         met.where(_near("x", "y", percent)).select(F.col("node").alias("a"), F.col("x.node").alias("b")).distinct(), "met")
-    links = materialize(_confirmed(met, docs, size, percent), "links")
+    links = materialize(_confirmed(met, docs, classes, size, percent).union(same_id), "links")
     groups = components(links)
 
     # Then the members of different components within a bucket.
@@ -344,18 +371,23 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n_members"))
     apart = apart.where("low <> high").select("key", "n_members")
     open_rows = materialize(member.join(apart, "key"), "open")
-    sets = _short_sets(docs, open_rows, size)
+    sets = _short_sets(docs, open_rows, classes, size)
     pairs = materialize(_crossing(open_rows.join(sets, "node"), percent).distinct(), "pairs")
-    more = _confirmed(pairs, docs, size, percent)
+    more = _confirmed(pairs, docs, classes, size, percent)
     labels = components(materialize(links.union(more), "links"))
 
-    of_class = materialize(
-        classes.select("set_hash", "node", "copies").join(labels, "node", "left").select(
-            "set_hash", "copies", F.coalesce("component", "node").alias("component")),
-        "class-components",
-    )
+    # A component is named by the smallest doc_id of all its texts.
+    labelled = classes.select("set_hash", "node", "doc_id", "copies").join(labels, "node", "left").select(
+        "set_hash", "doc_id", "copies", F.coalesce("component", "node").alias("label"))
+    labelled = materialize(labelled, "labelled")
+    named = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("n_classes"))
+    of_class = join_counted(labelled.drop("doc_id"), materialize(named, "components"), "label", "n_classes").drop("label")
+    of_class = materialize(of_class, "class-components")
     rows = join_counted(sketched.select("doc_id", "n_shingles", "set_hash"), of_class, "set_hash", "copies")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
+    # A row without words goes with the other texts of its id.
+    of_id = texts.join(of_class, "set_hash").groupBy("doc_id").agg(F.min("component_id").alias("of_id"))
+    rows = rows.join(materialize(of_id, "components-of-ids"), "doc_id", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "of_id", "doc_id")).alias("component_id")
     return rows.select("doc_id", "n_shingles", component).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

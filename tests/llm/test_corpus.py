@@ -241,6 +241,34 @@ def test_near_duplicates_as_brute_force(spark, monkeypatch):
         assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
+def test_an_id_with_several_texts_is_one_document(spark):
+    """Linked through either text, and with rows that have no words."""
+    base = [sentence(rng, 60) for _ in range(6)]
+    near = lambda i: base[i] + " end"
+    given = [(10, base[0]), (11, base[1]), (12, near(0)), (12, near(1)), (13, base[2]), (13, base[3]), (13, ""), (14, near(3)),
+             (5, near(2)), (5, None), (20, base[4]), (20, base[4]), (21, base[5]), (21, None), (22, ""), (22, " ")]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in given], "doc_id long, text string, node string, component int").repartition(4)
+    found = near_dups.near_duplicates(docs).collect()
+    assert len(found) == len(given)
+    components = {}
+    for r in found:
+        components.setdefault(r.doc_id, set()).add((r.component_id, r.kept))
+    assert components == {i: {(c, i == c)} for i, c in {10: 10, 11: 10, 12: 10, 13: 5, 14: 5, 5: 5, 20: 20, 21: 21, 22: 22}.items()}
+    kept = near_dups.keep_one_of_each(docs)
+    assert sorted({r.doc_id for r in kept.collect()}) == [5, 10, 20, 21, 22]
+    for _ in range(2):
+        shuffled = near_dups.near_duplicates(docs.repartition(3)).collect()
+        assert {(r.doc_id, r.component_id) for r in shuffled} == {(r.doc_id, r.component_id) for r in found}
+
+
+def test_all_links_of_a_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id")
+    rows = docs.select("doc_id", "text").collect()
+    assert [r.doc_id for r in rows] == list(range(len(rows)))
+    found = near_dups.near_duplicates(docs, 4, 80).orderBy("doc_id").collect()
+    assert [(r.n_shingles, r.component_id) for r in found] == groups([r.text for r in rows], 4, 80)
+
+
 def test_shingles_lost_in_the_cut_drop_no_pair(spark):
     # Two sets of 100, 89 of them common and 10 of these lost in the cut of either.
     common = list(range(79))
