@@ -15,7 +15,7 @@ from bulkapply.storage import materialize
 _PARTITION_BIT = 33
 
 
-def _total_order(df: DataFrame, order_by: Sequence[str], group: Sequence[str]) -> list[str]:
+def total_order(df: DataFrame, order_by: Sequence[str], group: Sequence[str]) -> list[str]:
     """``order_by`` and then every other column that can be ordered, so that equal runs number alike."""
     rest = [f.name for f in df.schema.fields if not _holds_map(f.dataType)]
     return [*order_by, *[c for c in rest if c not in order_by and c not in group]]
@@ -43,7 +43,7 @@ def number_in_order(
     not change between the two readings.
     """
     position, part = free(f"_{name}_position", df.columns), free(f"_{name}_part", df.columns)
-    ordered = df.sort(*columns(writer), *columns(_total_order(df, order_by, writer)))
+    ordered = df.sort(*columns(writer), *columns(total_order(df, order_by, writer)))
     ordered = ordered.withColumn(position, F.monotonically_increasing_id())
     if most is not None:
         ordered = ordered.filter(column(position).bitwiseAND(F.lit((1 << _PARTITION_BIT) - 1)) < most)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -20,7 +21,7 @@ from bulkapply.operators.changelog import (
     with_target_keys,
     without_keys,
 )
-from bulkapply.operators.flush import number_in_order
+from bulkapply.operators.flush import number_in_order, total_order
 from bulkapply.storage import materialize
 
 
@@ -61,6 +62,20 @@ def insert_if_absent(target: DataFrame, rows: DataFrame) -> DataFrame:
     return target.unionByName(new).distinct()
 
 
+def insert_settled(target: DataFrame, settled: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the rows of ``settle_rows`` whose key the target does not hold: few rows, and a target that is not shuffled.
+
+    The target is read for the keys that it has of the few, and these are then taken out of the few.
+    """
+    check_keys(target, keys)
+    for key in keys:
+        if settled.schema[key].dataType != target.schema[key].dataType:
+            raise ChangelogError(f"key column {key} was settled in another type than the target's")
+    asked = settled.select(*columns(keys))
+    held = materialize(target.select(*columns(keys)).join(asked, list(keys), "left_semi").distinct(), "held-keys")
+    return target.unionByName(conform(settled.join(held, list(keys), "left_anti"), target))
+
+
 def delete_by_key(target: DataFrame, keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target without the rows whose key occurs in ``keyed``. A null in a key equals nothing, so it deletes nothing."""
     check_keys(target, keys)
@@ -165,12 +180,38 @@ def row_exists(keyed: DataFrame, target: DataFrame, keys: Sequence[str], name: s
     return asked.join(held, same, "left").select(*columns(keyed.columns), exists)
 
 
+# How many rows are drawn to guess where the first n rows end.
+_SAMPLE = 100_000
+
+
 def limit_rows(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows in the given order.
+    """The first ``n`` rows in the given order; ties are settled by the remaining columns.
 
-    Ties are settled by the remaining columns. The rows are range-sorted, each range keeps its first ``n``, and these are
-    numbered across the ranges: nothing is gathered in one task, whatever ``n`` is.
+    A sorted sample gives a row that at least ``n`` rows should not lie behind. The rows up to it are written and counted; if
+    they are enough, only they are range-sorted and numbered, else a larger part or in the end the whole table is. Nothing is gathered
+    in one task, whatever ``n`` is.
     """
     if n < 0:
         raise ValueError("limit must not be negative")
-    return number_in_order(df, [], order_by, "_number", most=n).filter(F.col("_number") <= n).drop("_number")
+    number = free("_number", df.columns)
+    first = number_in_order(_rows_up_to(df, n, order_by), [], order_by, number, most=n)
+    return first.filter(column(number) <= n).drop(number)
+
+
+def _rows_up_to(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
+    """At least the first ``n`` rows of ``df``, and hardly more."""
+    total = df.count()
+    fraction = min(1.0, _SAMPLE / max(1, total))
+    order = F.struct(*columns(total_order(df, order_by, [])))
+    drawn = n * fraction
+    for slack in (5, 50):
+        rank = math.ceil(drawn + slack * math.sqrt(drawn) + slack)
+        if rank >= total * fraction / 2:
+            break
+        sample = df.sample(fraction, seed=11) if fraction < 1 else df
+        bound = sample.select(order.alias("bound")).orderBy("bound").limit(rank).agg(F.max("bound"))
+        # Looked up once as a scalar subquery, whatever its type; nulls come first in both orders.
+        found = materialize(df.where(order <= bound.scalar()), "first-rows")
+        if found.count() >= n:
+            return found
+    return df

@@ -85,6 +85,12 @@ _ORDERS_BOUND = (
     "SELECT o_orderkey AS id, 'C' || o_custkey AS buyer, CAST(o_totalprice AS DECIMAL(12,2)) AS amount, "
     "CAST(o_orderdate AS DATE) AS ordered_on FROM orders"
 )
+_LINES_OF_EVERY_TYPE = (
+    "SELECT l_orderkey, l_linenumber, l_linestatus = 'O' AS flag, CAST(l_linenumber AS TINYINT) AS line_number, "
+    "CAST(l_quantity AS SMALLINT) AS quantity, CAST(floor(l_tax * 100) / 2 AS FLOAT) AS tax, "
+    "CAST(l_extendedprice AS DECIMAL(12,2)) AS price, CAST(l_shipdate AS DATE) AS shipped, "
+    "'\\x' || lower(hex(l_returnflag || l_linestatus)) AS code FROM lineitem"
+)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -95,6 +101,9 @@ def oracle_sql() -> dict[str, str]:
         "append_parallel": "SELECT * FROM lineitem",
         "partitioned_append": "SELECT * FROM orders",
         "batch_agg_sink": "SELECT l_partkey AS product, count(*) AS sales_count FROM lineitem GROUP BY l_partkey",
+        "append_keyed_writers": "SELECT l_suppkey, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_writers FROM lineitem GROUP BY l_suppkey",
+        "append_unique": "SELECT * FROM orders",
+        "insert_settled": "SELECT DISTINCT l_partkey, l_suppkey FROM lineitem",
         "upsert_last_wins": _LAST_EVENT,
         "upsert_lineitem": _UPSERTED_LINES,
         "upsert_keyed_layout": _UPSERTED_LINES,
@@ -167,6 +176,10 @@ def oracle_sql() -> dict[str, str]:
         )
         + " FROM customer LEFT JOIN orders ON c_custkey = o_custkey",
         "copy_roundtrip": "SELECT * FROM documents",
+        "copy_encode_types": "SELECT l_orderkey, l_linenumber, "
+        + _line(*[_plain(c) for c in ("flag", "line_number", "quantity", "tax", "price", "shipped", "code")])
+        + f" FROM ({_LINES_OF_EVERY_TYPE})",
+        "copy_roundtrip_types": f"SELECT * REPLACE (substr(code, 3) AS code) FROM ({_LINES_OF_EVERY_TYPE})",
         "convert_types": "SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS DECIMAL(18,0)) AS o_custkey, "
         "CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, "
         "o_orderpriority FROM orders",
@@ -185,6 +198,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_agg_upsert": "SELECT event_type, count(*) AS n_events, max(ts) AS last_ts FROM events GROUP BY event_type",
         "split_read_range": "SELECT orders.*, CAST((o_orderkey - lo) // ((hi - lo + 4) // 4) AS INTEGER) AS split "
         "FROM orders, (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders)",
+        "split_read_balanced": "SELECT * FROM lineitem",
         "split_read_values": "SELECT *, CAST(o_orderpriority[1] AS INTEGER) - 1 AS split FROM orders",
     }
     return sql | {"update_settled": sql["update_by_key"]}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from bulkapply.operators import changelog, flush, keyed, split
 from bulkapply.operators.kept_aggregate import KeptAggregate
 from bulkapply.options import SinkOptions
 from bulkapply.sources import copyfiles, copyranges, dml, tables
-from bulkapply.sources.keyed_table import KeyedTable
+from bulkapply.sources.keyed_table import DuplicateKeyError, KeyedTable
 from bulkapply.storage import is_folder, scratch_path
 from bulkapply.streaming import sink
 from bulkapply.streaming.changelog_table import ChangelogTable, Tiers
@@ -67,6 +68,26 @@ def partitioned_append(spark, folder):
     return tables.read_table(spark, path)
 
 
+def append_keyed_writers(spark, folder):
+    """Lines by supplier, one writer per supplier: how many rows each has, and over how many writers."""
+    path = scratch_path(spark, "append_keyed")
+    tables.append_keyed(load(spark, folder, "lineitem"), path, ["l_suppkey"], writers(spark))
+    return tables.read_table(spark, path).groupBy("l_suppkey").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("writer").alias("n_writers"))
+
+
+def append_unique(spark, folder):
+    """Orders in two loads that may hold no key twice; the second load is tried again and refused."""
+    orders = load(spark, folder, "orders")
+    table = KeyedTable(spark, scratch_path(spark, "append_unique"), orders.schema, ["o_orderkey"])
+    table.insert(orders.filter("o_orderstatus <=> 'F'"))
+    later = orders.filter("not o_orderstatus <=> 'F'")
+    table.insert(later)
+    with suppress(DuplicateKeyError):
+        table.insert(later)
+    return table.read()
+
+
 def batch_agg_sink(spark, folder):
     path = scratch_path(spark, "batch_agg_sink")
     sold = load(spark, folder, "lineitem").groupBy(F.col("l_partkey").alias("product")).agg(
@@ -127,6 +148,15 @@ def insert_if_absent(spark, folder):
     return keyed.insert_if_absent(target, pairs.filter("not l_linestatus <=> 'F'").drop("l_linestatus"))
 
 
+def insert_settled(spark, folder):
+    """The same with the new pairs written first, as for a target too large to shuffle."""
+    pairs = load(spark, folder, "lineitem").select("l_partkey", "l_suppkey", "l_linestatus")
+    target = pairs.filter("l_linestatus <=> 'F'").drop("l_linestatus").distinct()
+    rows = pairs.filter("not l_linestatus <=> 'F'").drop("l_linestatus")
+    keys = ["l_partkey", "l_suppkey"]
+    return keyed.insert_settled(target, keyed.settle_rows(target, rows, keys, []), keys)
+
+
 def delete_by_key(spark, folder):
     finished = load(spark, folder, "orders").filter("o_orderstatus = 'F'")
     gone = keyed.key_rows(finished.withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"])
@@ -382,6 +412,39 @@ def copy_encode_nulls(spark, folder):
     return copycsv.encode_lines(served.unionByName(idle), columns, timestamp_digits=0)
 
 
+COPY_TYPES = {
+    "flag": "boolean", "line_number": "tinyint", "quantity": "smallint", "tax": "float", "price": "decimal(12,2)", "shipped": "date",
+    "code": "binary",
+}
+
+
+def _lines_of_every_type(spark, folder):
+    """Line columns in types that the tables do not have; TIME is behind a setting of the session. Taxes are counted in halves, so that each is exact as a float."""
+    lines = load(spark, folder, "lineitem")
+    columns = {
+        "flag": F.col("l_linestatus") == "O",
+        "line_number": F.col("l_linenumber"),
+        "quantity": F.col("l_quantity"),
+        "tax": F.floor(F.col("l_tax") * 100) / F.lit(2),
+        "price": F.col("l_extendedprice"),
+        "shipped": F.col("l_shipdate"),
+        "code": F.encode(F.concat(F.col("l_returnflag"), F.col("l_linestatus")), "UTF-8"),
+    }
+    return lines.select("l_orderkey", "l_linenumber", *[c.cast(COPY_TYPES[n]).alias(n) for n, c in columns.items()])
+
+
+def copy_encode_types(spark, folder):
+    return copycsv.encode_lines(_lines_of_every_type(spark, folder), list(COPY_TYPES), keep=["l_orderkey", "l_linenumber"])
+
+
+def copy_roundtrip_types(spark, folder):
+    """Written and read back, bytes shown in hexadecimal digits."""
+    lines = _lines_of_every_type(spark, folder)
+    path = scratch_path(spark, "copy_types")
+    copyfiles.write_copy_files(lines, path)
+    return copyranges.read_copy_ranges(spark, path, lines.schema).withColumn("code", F.lower(F.hex("code")))
+
+
 def copy_roundtrip(spark, folder):
     documents = load(spark, folder, "documents")
     path = scratch_path(spark, "copy_roundtrip")
@@ -529,24 +592,30 @@ def split_read_range(spark, folder):
 
 def split_read_values(spark, folder):
     """A split per priority that the data has; a null is in the remaining split, -1."""
-    orders = load(spark, folder, "orders")
-    found = orders.select("o_orderpriority").where("o_orderpriority is not null").distinct().collect()
-    return split.split_by_values(orders, "o_orderpriority", sorted(row[0] for row in found), rest=-1)
+    return split.split_each_value(load(spark, folder, "orders"), "o_orderpriority")
+
+
+def split_read_balanced(spark, folder):
+    """Lines in splits of about as many rows each by part; every row is in one of them."""
+    lines = load(spark, folder, "lineitem")
+    parts = split.split_balanced(lines, "l_partkey", split.balanced_bounds(lines, "l_partkey", writers(spark)))
+    return parts.where("split >= -1").drop("split")
 
 
 _REGISTERED = (
-    append_orders, append_twice, append_parallel, partitioned_append, batch_agg_sink,
-    upsert_last_wins, upsert_lineitem, upsert_keyed_layout, upsert_settled, upsert_other_key_type, insert_if_absent,
+    append_orders, append_twice, append_parallel, partitioned_append, append_keyed_writers, append_unique, batch_agg_sink,
+    upsert_last_wins, upsert_lineitem, upsert_keyed_layout, upsert_settled, upsert_other_key_type, insert_if_absent, insert_settled,
     delete_by_key, delete_other_key_type, key_projection,
     update_by_key, update_settled, lookup_by_key, row_exists, limit_rows, limit_rows_ties,
     rowkind_flag, changelog_collapse, changelog_collapse_lines, changelog_apply, changelog_apply_settled,
     changelog_apply_touched, changelog_agg_upsert, changelog_violations,
     flush_batches, distinct_keys_per_flush, changelog_collapse_per_flush, flush_windows, flush_windows_per_writer,
     custom_dml_bind, custom_dml_sql,
-    copy_encode_docs, copy_encode_pages, copy_encode_lineitem, copy_encode_events, copy_encode_nulls, copy_roundtrip,
+    copy_encode_docs, copy_encode_pages, copy_encode_lineitem, copy_encode_events, copy_encode_nulls, copy_encode_types, copy_roundtrip,
+    copy_roundtrip_types,
     convert_types, schema_report, schema_conformance,
     stream_append, stream_custom_dml, stream_copy_files, stream_upsert, stream_changelog, stream_compacted, stream_replay,
-    stream_agg_upsert, split_read_range, split_read_values,
+    stream_agg_upsert, split_read_range, split_read_values, split_read_balanced,
 )
 
 

@@ -1,11 +1,12 @@
 """A keyed Parquet table in buckets, of which a change reads and writes only those that hold a changed key.
 
-    <path>/data/<write>/bucket=<b>     the rows of a bucket, one per key
-    <path>/versions/<n>                which write holds each bucket; a version is there when this file is
+    <path>/data/<write>/bucket=<b>     rows of a bucket, one per key
+    <path>/versions/<n>                which writes hold each bucket; a version is there when this file is
 
 A version is a small list, so a new one shares every untouched bucket's files with the one before. Rows are written first and the
 version last: a writer that dies in between leaves files that no version names. Of two writers at once the second fails, as
-its version exists. Readers stay on the version they opened.
+its version exists. Readers stay on the version they opened. Inserted rows are a write of their own beside the bucket's others, so
+an insert rewrites nothing; the next change of that bucket makes them one again.
 """
 
 from __future__ import annotations
@@ -30,19 +31,25 @@ from bulkapply.operators.changelog import (
     collapse,
     conform,
     is_upsert,
+    latest,
     merge,
+    with_checked_keys,
     with_target_keys,
 )
 from bulkapply.storage import create_text, delete, materialize, names_in, read_text
 
 
+class DuplicateKeyError(ValueError):
+    """Rows whose key the table already holds, or that share a key."""
+
+
 @dataclass(frozen=True)
 class Version:
-    """``folders`` names the write that holds each bucket; buckets without rows are missing. ``batch`` is the last one applied."""
+    """``folders`` names the writes that hold each bucket; buckets without rows are missing. ``batch`` is the last one applied."""
 
     number: int = -1
     buckets: int = 0
-    folders: dict[int, str] = field(default_factory=dict)
+    folders: dict[int, tuple[str, ...]] = field(default_factory=dict)
     batch: int | None = None
 
     def text(self) -> str:
@@ -55,7 +62,7 @@ class Version:
             held = json.loads(text)
         except ValueError:
             return None
-        return cls(number, held["buckets"], {int(b): w for b, w in held["folders"].items()}, held["batch"])
+        return cls(number, held["buckets"], {int(b): tuple(w) for b, w in held["folders"].items()}, held["batch"])
 
 
 class KeyedTable:
@@ -96,7 +103,7 @@ class KeyedTable:
         """All rows, or those of some buckets; other buckets' files are not opened."""
         version = version or self.version()
         wanted = version.folders if buckets is None else {b: version.folders[b] for b in buckets if b in version.folders}
-        paths = [f"{self.path}/data/{write}/{self._bucket}={b}" for b, write in wanted.items()]
+        paths = [f"{self.path}/data/{write}/{self._bucket}={b}" for b, writes in wanted.items() for write in writes]
         return self.spark.read.schema(self.schema).parquet(*paths) if paths else self._empty()
 
     def of_keys(self, keyed: DataFrame, version: Version | None = None) -> DataFrame:
@@ -135,7 +142,48 @@ class KeyedTable:
         rows = merge(self.read(before, touched), last.drop(self._bucket), self.keys, flag=flag)
         return self._publish(before, self._write(rows, before.buckets), touched, batch_id)
 
-    def _write(self, rows: DataFrame, buckets: int) -> dict[int, str]:
+    def insert(self, rows: DataFrame, batch_id: int | None = None) -> Version:
+        """Append rows of new keys. A key that the table holds, or that comes twice, fails and nothing of the rows is seen.
+
+        The rows are written where no version names them, checked there against each other and against the keys of their
+        buckets, and shown by the next version.
+        """
+        before = self.version()
+        if batch_id is not None and before.batch is not None and batch_id <= before.batch:
+            return before
+        written = self._write(self._checked(rows), before.buckets)
+        added = self.read(Version(0, before.buckets, written))
+        twice = added.groupBy(*columns(self.keys)).count().where("count > 1").select(*columns(self.keys))
+        held = self.read(before, list(written)).select(*columns(self.keys)).join(added, self.keys, "left_semi")
+        clash = twice.unionAll(held).first()
+        if clash is not None:
+            for write in {w for writes in written.values() for w in writes}:
+                delete(self.spark, f"{self.path}/data/{write}")
+            raise DuplicateKeyError(f"key {clash.asDict()} is present or comes twice")
+        return self._publish(before, self._beside(before, written), list(written), batch_id)
+
+    def insert_absent(self, rows: DataFrame, sequence_by: Sequence[str] = (), batch_id: int | None = None) -> Version:
+        """Append the rows whose key the table does not hold, the last one of each; the others change nothing."""
+        before = self.version()
+        if batch_id is not None and before.batch is not None and batch_id <= before.batch:
+            return before
+        last = materialize(latest(self._checked(rows), self.keys, sequence_by), "inserts")
+        held = self.of_keys(last, before).select(*columns(self.keys))
+        new = last.join(held, self.keys, "left_anti").select(*columns(self.schema.names))
+        written = self._write(new, before.buckets)
+        return self._publish(before, self._beside(before, written), list(written), batch_id)
+
+    def _checked(self, rows: DataFrame) -> DataFrame:
+        """Rows with the table's columns and types; a null key fails the job."""
+        flag = free("_keyed", self.schema.names)
+        typed = conform(with_target_keys(rows, self._empty(), self.keys), self._empty())
+        return with_checked_keys(typed, self.keys, F.lit(True), flag).where(column(flag)).drop(flag)
+
+    @staticmethod
+    def _beside(before: Version, written: dict[int, tuple[str, ...]]) -> dict[int, tuple[str, ...]]:
+        return {b: before.folders.get(b, ()) + writes for b, writes in written.items()}
+
+    def _write(self, rows: DataFrame, buckets: int) -> dict[int, tuple[str, ...]]:
         """Write rows by bucket, in key order; a bucket too large for one task is split over several files."""
         write = uuid.uuid4().hex
         placed = rows.withColumn(self._bucket, self._in_bucket(buckets)).hint("rebalance", self._bucket)
@@ -143,9 +191,9 @@ class KeyedTable:
         folder = f"{self.path}/data/{write}"
         placed.write.partitionBy(self._bucket).parquet(folder)
         mark = f"{self._bucket}="
-        return {int(n.removeprefix(mark)): write for n in names_in(self.spark, folder) if n.startswith(mark)}
+        return {int(n.removeprefix(mark)): (write,) for n in names_in(self.spark, folder) if n.startswith(mark)}
 
-    def _publish(self, before: Version, written: dict[int, str], touched: Sequence[int], batch_id: int | None) -> Version:
+    def _publish(self, before: Version, written: dict[int, tuple[str, ...]], touched: Sequence[int], batch_id: int | None) -> Version:
         gone = set(touched)
         folders = {b: w for b, w in before.folders.items() if b not in gone} | written
         number = max([before.number, *self._numbers()]) + 1
@@ -182,7 +230,7 @@ class KeyedTable:
             raise ValueError("the newest version must be kept")
         numbers = self._numbers()
         kept = [self.version(n) for n in numbers[-keep:]]
-        named = {write for version in kept for write in version.folders.values()}
+        named = {write for version in kept for writes in version.folders.values() for write in writes}
         old = [write for write in names_in(self.spark, f"{self.path}/data") if write not in named]
         for n in numbers[:-keep]:
             delete(self.spark, f"{self.path}/versions/{n}")

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bulkapply.functions.convert import to_sql_types
-from bulkapply.functions.names import columns, quoted
+from bulkapply.functions.names import column, columns, free, free_each, quoted
 from bulkapply.options import SinkOptions
+from bulkapply.storage import materialize
 
 
 def append(df: DataFrame, path: str, options: SinkOptions = SinkOptions()) -> None:
@@ -29,6 +31,49 @@ def append_by_writer(df: DataFrame, path: str, writer: str) -> None:
     to_sql_types(df, instants=True).hint("rebalance", writer).write.mode("append").partitionBy(writer).parquet(path)
 
 
+# Keys with more than this part of a writer's fair share are counted one by one.
+_HEAVY = 0.1
+
+
+def writer_of_keys(df: DataFrame, keys: Sequence[str], n_writers: int, name: str = "writer") -> DataFrame:
+    """Each row with the number of its key's writer: one writer per key, and writers as even as the keys allow.
+
+    Keys are counted. Heavy ones, at most ``n_writers / _HEAVY`` of them, are packed one after another onto the writer with the fewest
+    rows, beginning with the heaviest; every other key goes by its hash, and what the hash brings a writer counts from the start.
+    """
+    if n_writers <= 0:
+        raise ValueError("need at least one writer")
+    by_hash = F.pmod(F.hash(*columns(keys)), F.lit(n_writers))
+    n_rows, writer = free("_n_rows", keys), free("_writer", df.columns)
+    counted = materialize(df.groupBy(*columns(keys)).agg(F.count(F.lit(1)).alias(n_rows)), "key-counts")
+    total = counted.agg(F.sum(column(n_rows))).first()[0] or 0
+    heavy = column(n_rows) > max(1.0, total / n_writers * _HEAVY)
+    loads = {w: 0 for w in range(n_writers)}
+    for row in counted.where(~heavy).groupBy(by_hash.alias(writer)).agg(F.sum(column(n_rows)).alias(n_rows)).collect():
+        loads[row[writer]] = row[n_rows]
+    placed = []
+    for row in sorted(counted.where(heavy).collect(), key=lambda r: (-r[n_rows], str(r))):
+        least = min(loads, key=lambda w: (loads[w], w))
+        loads[least] += row[n_rows]
+        placed.append((*(row[k] for k in keys), least))
+    if not placed:
+        return df.withColumn(name, by_hash)
+    heavy_as = free_each("_heavy_", keys, df.columns, [writer])
+    schema = T.StructType([*(T.StructField(heavy_as[k], df.schema[k].dataType) for k in keys), T.StructField(writer, T.IntegerType())])
+    table = df.sparkSession.createDataFrame(placed, schema)
+    same = F.lit(True)
+    for k in keys:
+        same = same & column(k).eqNullSafe(column(heavy_as[k]))
+    joined = df.join(F.broadcast(table), same, "left")
+    return joined.select(*columns(df.columns), F.coalesce(column(writer), by_hash).alias(name))
+
+
+def append_keyed(df: DataFrame, path: str, keys: Sequence[str], n_writers: int, name: str = "writer") -> None:
+    """Append with one task per writer and one writer per key, into a folder per writer."""
+    rows = writer_of_keys(to_sql_types(df, instants=True), keys, n_writers, name)
+    rows.repartitionById(n_writers, column(name)).write.mode("append").partitionBy(name).parquet(path)
+
+
 def save_keyed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> None:
     """Save a keyed table bucketed and sorted by its key, as an external table of the session's catalog.
 
