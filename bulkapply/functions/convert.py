@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bulkapply.functions.names import column
 from bulkapply.functions.schema import validate_schema
 
 
 def to_declared(df: DataFrame, declared: Mapping[str, T.DataType]) -> DataFrame:
     """Exactly the declared columns, in that order, cast to the declared types; a value that does not fit fails."""
     validate_schema(T.StructType([T.StructField(c, t) for c, t in declared.items()]))
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in declared.items()])
+    return df.select(*[column(c).cast(t).alias(c) for c, t in declared.items()])
 
 
 def to_sql_types(df: DataFrame, instants: bool = False) -> DataFrame:
@@ -27,9 +28,9 @@ def to_sql_types(df: DataFrame, instants: bool = False) -> DataFrame:
 
 
 def _at_edge(field: T.StructField, instants: bool):
-    column = F.col(field.name)
+    value = column(field.name)
     if isinstance(field.dataType, T.TimeType):
-        return F.substring(column.cast("string"), 1, 8)
+        return F.substring(value.cast("string"), 1, 8)
     if isinstance(field.dataType, T.TimestampType) and not instants:
-        return column.cast("timestamp_ntz")
-    return column
+        return value.cast("timestamp_ntz")
+    return value

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bulkapply.functions.names import column as named
+from bulkapply.functions.names import columns as all_named
 from bulkapply.functions.schema import validate_schema
 
 LINE = "line"
@@ -63,7 +65,7 @@ def _timestamp(column: Column, digits: int, unshifted: bool) -> Column:
 
 def encoded_line(schema: T.StructType, timestamp_digits: int = 6, zone: str = "UTC") -> Column:
     fields = [
-        F.coalesce(encode(F.col(f.name), f.dataType, timestamp_digits, zone), F.lit("")) for f in schema.fields
+        F.coalesce(encode(named(f.name), f.dataType, timestamp_digits, zone), F.lit("")) for f in schema.fields
     ]
     return F.concat_ws(",", *fields)
 
@@ -78,4 +80,4 @@ def encode_lines(
     if df.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
         raise ValueError("spark.sql.ansi.enabled must be true: without it small decimals print in scientific form")
     zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
-    return df.select(*keep, encoded_line(schema, timestamp_digits, zone).alias(LINE))
+    return df.select(*all_named(keep), encoded_line(schema, timestamp_digits, zone).alias(LINE))

@@ -142,4 +142,4 @@ def value_predicates(column: str, values: Sequence[str], rest: bool = False) ->
 
 
 def _remainder(column: str, conditions: Sequence[str], rest: bool) -> list[str]:
-    return [f"{column} IS NULL OR NOT ({' OR '.join(conditions)})"] if rest else []
+    return [f"{column} IS NULL OR NOT ({' OR '.join(conditions)})"] if rest and conditions else []

@@ -15,6 +15,11 @@ def _raised_by_user(error: Exception) -> bool:
     return isinstance(error, PySparkException) and "USER_RAISED_EXCEPTION" in str(error)
 
 
+def _cannot_be_planned(error: Exception) -> bool:
+    """An error of the query itself; what a data source written in Python raises comes under the same class and is none."""
+    return isinstance(error, AnalysisException) and "PYTHON_DATA_SOURCE_ERROR" not in str(error)
+
+
 def with_retry(attempt: Callable[[], None], options: SinkOptions, sleep: Callable[[float], None] = time.sleep) -> int:
     """Call until it succeeds, at most ``max_retries`` times more; returns the number of calls.
 
@@ -26,7 +31,7 @@ def with_retry(attempt: Callable[[], None], options: SinkOptions, sleep: Callabl
             attempt()
             return n + 1
         except Exception as error:
-            if n == options.max_retries or isinstance(error, (ValueError, AnalysisException)) or _raised_by_user(error):
+            if n == options.max_retries or isinstance(error, ValueError) or _cannot_be_planned(error) or _raised_by_user(error):
                 raise
             sleep(options.retry_interval * n)
     raise AssertionError("unreachable")

@@ -12,12 +12,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from bulkapply.functions.copycsv import encode_lines
 from bulkapply.options import SinkOptions, TargetSpec
+from bulkapply.retry import with_retry
 from bulkapply.sources import statements as sql
 from bulkapply.sources.copyfiles import copy_statement
 
@@ -36,16 +38,19 @@ class LineReader:
     """Arrow batches of lines as the file object that a COPY call reads."""
 
     def __init__(self, batches: Iterator[pa.RecordBatch], attempt: int):
-        self._batches, self._prefix, self.rows = batches, f"{attempt},", 0
-        self._text, self._at = b"", 0
+        self._batches, self._prefix, self.rows = batches, pa.scalar(f"{attempt},", pa.large_string()), 0
+        self._text, self._at = memoryview(b""), 0
 
     def _fill(self) -> bool:
-        """Encode the next batch; false at the end."""
+        """Put the attempt in front of each line of the next batch, in one buffer; false at the end."""
         for batch in self._batches:
-            lines = batch.column(0).to_pylist()
-            if lines:
-                self.rows += len(lines)
-                self._text, self._at = "".join(f"{self._prefix}{line}\n" for line in lines).encode(), 0
+            if batch.num_rows:
+                self.rows += batch.num_rows
+                text = pa.large_string()
+                lines = pc.binary_join_element_wise(
+                    self._prefix, batch.column(0).cast(text), pa.scalar("\n", text), pa.scalar("", text))
+                ends = pa.Array.from_buffers(pa.int64(), len(lines) + 1, [None, lines.buffers()[1]], offset=lines.offset)
+                self._text, self._at = memoryview(lines.buffers()[2])[ends[0].as_py():ends[len(lines)].as_py()], 0
                 return True
         return False
 
@@ -54,7 +59,7 @@ class LineReader:
             return b""
         piece = self._text[self._at:self._at + size] if size >= 0 else self._text[self._at:]
         self._at += len(piece)
-        return piece
+        return bytes(piece)
 
 
 class CopyLoadWriter(DataSourceArrowWriter):
@@ -118,14 +123,13 @@ class CopyLoad(DataSource):
 def copy_load(
     df: DataFrame, spec: TargetSpec, connect: str, batch: str, options: SinkOptions = SinkOptions(bulk=True)
 ) -> None:
-    """Bulk-append through COPY. ``connect`` is imported on the executors; ``batch`` names the stage table."""
+    """Bulk-append through COPY. ``connect`` is imported on the executors; ``batch`` names the stage table.
+
+    A failed load is repeated as the options say, each time into a stage made anew, so nothing of it is in the target twice.
+    """
     options.check_target(spec)
     df.sparkSession.dataSource.register(CopyLoad)
     rows = df if options.parallelism is None else df.repartition(options.parallelism)
-    (
-        encode_lines(rows, spec.columns, options.timestamp_digits)
-        .write.format(FORMAT)
-        .mode("append")
-        .options(connect=connect, dbtable=spec.table, columns=",".join(spec.columns), batch=batch)
-        .save()
-    )
+    lines = encode_lines(rows, spec.columns, options.timestamp_digits)
+    named = {"connect": connect, "dbtable": spec.table, "columns": ",".join(spec.columns), "batch": batch}
+    with_retry(lambda: lines.write.format(FORMAT).mode("append").options(**named).save(), options)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,41 +32,44 @@ def append_by_writer(df: DataFrame, path: str, writer: str) -> None:
     to_sql_types(df, instants=True).hint("rebalance", writer).write.mode("append").partitionBy(writer).parquet(path)
 
 
-# Keys with more than this part of a writer's fair share are counted one by one.
-_HEAVY = 0.1
+# Keys with more than this part of a writer's fair share are placed one by one; the others in so many groups per writer.
+_HEAVY, _SLOTS = 0.1, 16
 
 
 def writer_of_keys(df: DataFrame, keys: Sequence[str], n_writers: int, name: str = "writer") -> DataFrame:
     """Each row with the number of its key's writer: one writer per key, and writers as even as the keys allow.
 
-    Keys are counted. Heavy ones, at most ``n_writers / _HEAVY`` of them, are packed one after another onto the writer with the fewest
-    rows, beginning with the heaviest; every other key goes by its hash, and what the hash brings a writer counts from the start.
+    Keys are counted. Heavy ones, at most ``n_writers / _HEAVY``, are packed one after another onto the writer with the fewest rows,
+    the heaviest first; then the groups into which the hash deals all other keys, ``_SLOTS`` for each writer. The driver
+    sees a row for each of these and no more.
     """
     if n_writers <= 0:
         raise ValueError("need at least one writer")
-    by_hash = F.pmod(F.hash(*columns(keys)), F.lit(n_writers))
-    n_rows, writer = free("_n_rows", keys), free("_writer", df.columns)
+    n_rows, slot, writer = free("_n_rows", keys), free("_slot", df.columns), free("_writer", df.columns)
+    by_hash = F.pmod(F.hash(*columns(keys)), F.lit(n_writers * _SLOTS))
     counted = materialize(df.groupBy(*columns(keys)).agg(F.count(F.lit(1)).alias(n_rows)), "key-counts")
     total = counted.agg(F.sum(column(n_rows))).first()[0] or 0
     heavy = column(n_rows) > max(1.0, total / n_writers * _HEAVY)
-    loads = {w: 0 for w in range(n_writers)}
-    for row in counted.where(~heavy).groupBy(by_hash.alias(writer)).agg(F.sum(column(n_rows)).alias(n_rows)).collect():
-        loads[row[writer]] = row[n_rows]
-    placed = []
-    for row in sorted(counted.where(heavy).collect(), key=lambda r: (-r[n_rows], str(r))):
-        least = min(loads, key=lambda w: (loads[w], w))
-        loads[least] += row[n_rows]
-        placed.append((*(row[k] for k in keys), least))
-    if not placed:
-        return df.withColumn(name, by_hash)
-    heavy_as = free_each("_heavy_", keys, df.columns, [writer])
-    schema = T.StructType([*(T.StructField(heavy_as[k], df.schema[k].dataType) for k in keys), T.StructField(writer, T.IntegerType())])
-    table = df.sparkSession.createDataFrame(placed, schema)
+    lone = sorted(counted.where(heavy).collect(), key=lambda r: (-r[n_rows], str(r)))
+    slots = counted.where(~heavy).groupBy(by_hash.alias(slot)).agg(F.sum(column(n_rows)).alias(n_rows)).collect()
+    loads = [(0, w) for w in range(n_writers)]
+
+    def least_loaded(more: int) -> int:
+        load, w = heapq.heappop(loads)
+        heapq.heappush(loads, (load + more, w))
+        return w
+
+    of_keys = [(*(row[k] for k in keys), least_loaded(row[n_rows])) for row in lone]
+    of_slots = [(row[slot], least_loaded(row[n_rows])) for row in sorted(slots, key=lambda r: (-r[n_rows], r[slot]))]
+    spark, heavy_as = df.sparkSession, free_each("_heavy_", keys, df.columns, [writer, slot])
+    own, dealt = free("_own", df.columns, heavy_as.values()), free("_dealt", df.columns, heavy_as.values())
+    schema = T.StructType([*(T.StructField(heavy_as[k], df.schema[k].dataType) for k in keys), T.StructField(own, T.IntegerType())])
     same = F.lit(True)
     for k in keys:
         same = same & column(k).eqNullSafe(column(heavy_as[k]))
-    joined = df.join(F.broadcast(table), same, "left")
-    return joined.select(*columns(df.columns), F.coalesce(column(writer), by_hash).alias(name))
+    rows = df.withColumn(slot, by_hash).join(F.broadcast(spark.createDataFrame(of_keys, schema)), same, "left")
+    rows = rows.join(F.broadcast(spark.createDataFrame(of_slots, f"{slot} int, {dealt} int")), slot, "left")
+    return rows.select(*columns(df.columns), F.coalesce(column(own), column(dealt)).alias(name))
 
 
 def append_keyed(df: DataFrame, path: str, keys: Sequence[str], n_writers: int, name: str = "writer") -> None:

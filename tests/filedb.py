@@ -5,6 +5,7 @@ import uuid
 
 FOLDER = "FILEDB_FOLDER"
 FAIL_ONCE = "FILEDB_FAIL_ONCE"
+FAIL_STATEMENT = "FILEDB_FAIL_STATEMENT"
 
 
 class Cursor:
@@ -18,6 +19,10 @@ class Cursor:
     def execute(self, statement):
         with open(os.path.join(self.folder, "statements"), "a", encoding="utf-8") as out:
             out.write(statement + "\n")
+        refused, marker = os.environ.get(FAIL_STATEMENT), os.path.join(self.folder, "refused")
+        if refused and statement.startswith(refused) and not os.path.exists(marker):
+            open(marker, "w").close()
+            raise OSError("connection lost at a statement")
 
     def copy_expert(self, statement, file):
         data = b""

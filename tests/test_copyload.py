@@ -6,6 +6,7 @@ import re
 import subprocess
 import sys
 
+import pyarrow as pa
 import pytest
 
 from bulkapply import SinkOptions, TargetSpec
@@ -73,3 +74,27 @@ def test_only_reported_attempts_are_moved(spark, folder, fail):
 def test_bulk_load_appends_only(spark):
     with pytest.raises(ValueError, match="bulk"):
         copyload.copy_load(spark.range(1), TargetSpec("t", ["id"], ["id"]), "filedb:connect", "1", SinkOptions(bulk=True))
+
+
+def test_a_failed_load_is_repeated_with_a_fresh_stage(spark, folder):
+    """The commit fails once: the stage is dropped and filled anew, and only the second attempt's rows are moved."""
+    statements = load(folder, FILEDB_FAIL_STATEMENT="INSERT INTO docs")
+    made = [i for i, s in enumerate(statements) if s.startswith("CREATE TABLE docs_load_b7")]
+    moved = [i for i, s in enumerate(statements) if s.startswith("INSERT INTO docs")]
+    assert len(made) == 2 and len(moved) == 2 and made[0] < moved[0] < made[1] < moved[1]
+    assert "DROP TABLE IF EXISTS docs_load_b7" in statements[moved[0]:made[1]]
+    first, second = (accepted([statements[i]]) for i in moved)
+    assert len(first) == len(second) == 3 and not first & second
+    assert len(copied(folder)) == 6
+
+
+def test_lines_get_their_attempt_in_one_buffer():
+    lines = ["1,\"a\nb\"", "", "é,", "x" * 100]
+    batches = [pa.record_batch([pa.array(lines)], ["line"]), pa.record_batch([pa.array([], pa.string())], ["line"]),
+               pa.record_batch([pa.array(["skip", *lines])], ["line"]).slice(1)]
+    for size in (1, 7, 65536, -1):
+        reader, text = copyload.LineReader(iter(batches), 17), b""
+        while piece := reader.read(size):
+            assert size < 0 or len(piece) <= size
+            text += piece
+        assert text.decode() == "".join(f"17,{line}\n" for line in lines * 2) and reader.rows == 8

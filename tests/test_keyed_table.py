@@ -138,3 +138,52 @@ def test_a_hot_changed_key_is_cut_before_the_shuffle(spark, folder):
     table.apply(hot, ["seq"])
     assert held(table)[1] == "4998"
     assert table.read().groupBy("k").count().where(F.col("count") > 1).isEmpty()
+
+
+def test_an_insert_of_new_keys_rewrites_nothing(spark, folder):
+    table = table_at(spark, folder)
+    table.insert(spark.range(100).selectExpr("int(id) k", "1 seq", "'a' v", "0 bucket"))
+    before = files(folder)
+    after = table.insert(spark.range(100, 150).selectExpr("int(id) k", "1 seq", "'b' v", "0 bucket"), batch_id=3)
+    assert all(files(folder)[path] == at for path, at in before.items())
+    assert max(map(len, after.folders.values())) == 2
+    assert held(table) == {**{i: "a" for i in range(100)}, **{i: "b" for i in range(100, 150)}}
+    assert table.insert(spark.range(5).selectExpr("int(id) k", "1 seq", "'c' v", "0 bucket"), batch_id=3) == after
+    table.apply(changes(spark, [(k, 2, None, "-D") for k in range(150)]), ["seq"])
+    assert held(table) == {} and table.version().folders == {}
+
+
+@pytest.mark.parametrize("keys", [[7, 200], [300, 300]])
+def test_a_key_that_is_there_or_comes_twice_shows_nothing(spark, folder, keys):
+    table = table_at(spark, folder)
+    table.insert(spark.range(20).selectExpr("int(id) k", "1 seq", "'a' v", "0 bucket"))
+    before, version = files(folder), table.version()
+    bad = spark.createDataFrame([(k, 1, f"{i}", 0) for i, k in enumerate([*keys, 500])], ROWS)
+    with pytest.raises(keyed_table.DuplicateKeyError, match=str(keys[0])):
+        table.insert(bad)
+    assert files(folder) == before and table.version() == version
+    assert table.insert(bad.where(f"k not in ({keys[0]})")).number == 1
+    assert len(held(table)) == 20 + len({*keys, 500} - {keys[0]})
+
+
+def test_an_insert_that_dies_is_tried_again(spark, folder, monkeypatch):
+    table = table_at(spark, folder)
+    rows = spark.range(20).selectExpr("int(id) k", "1 seq", "'a' v", "0 bucket")
+    with monkeypatch.context() as patched:
+        patched.setattr(keyed_table, "create_text", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError, match="gone"):
+            table.insert(rows)
+    assert held(table) == {}
+    table.insert(rows)
+    assert len(held(table)) == 20 and table.remove_unreferenced() == 1 and len(held(table)) == 20
+
+
+def test_absent_keys_are_added_beside_the_others(spark, folder):
+    table = table_at(spark, folder)
+    table.insert(spark.range(20).selectExpr("int(id) k", "1 seq", "'a' v", "0 bucket"))
+    before = files(folder)
+    table.insert_absent(spark.createDataFrame([(5, 9, "no", 0), (30, 1, "old", 0), (30, 2, "new", 0), (31, 1, "x", 0)], ROWS), ["seq"])
+    assert held(table) == {**{i: "a" for i in range(20)}, 30: "new", 31: "x"}
+    assert all(files(folder)[path] == at for path, at in before.items())
+    table.insert_absent(spark.createDataFrame([(5, 9, "no", 0)], ROWS))
+    assert len(held(table)) == 22

@@ -1,3 +1,4 @@
+import duckdb
 import pytest
 
 from bulkapply.operators import split
@@ -34,3 +35,52 @@ def test_conditions_reach_the_scan(spark):
 def test_predicates():
     assert split.range_predicates("id", [(1, 5), (6, 9)]) == ["id BETWEEN 1 AND 5", "id BETWEEN 6 AND 9"]
     assert split.value_predicates("author", ["Ode", "O'Hara"]) == ["author = 'Ode'", "author = 'O''Hara'"]
+
+
+def test_balanced_parts_hold_about_as_many_rows_and_every_row_once(spark):
+    df = spark.range(20_000).selectExpr("if(id % 20 = 0, null, cast(pow(id, 2) as bigint)) k", "id")
+    bounds = split.balanced_bounds(df, "k", 8)
+    assert len(bounds) == 7 and bounds == sorted(bounds)
+    parts = {r.split: r["count"] for r in split.split_balanced(df, "k", bounds).groupBy("split").count().collect()}
+    assert parts.pop(-1) == 1000 and sorted(parts) == list(range(8)) and sum(parts.values()) == 19_000
+    assert max(parts.values()) <= 1.1 * 19_000 / 8
+    grown = spark.sql("SELECT explode(array(-5, 400000000000L)) k")
+    assert {r.split for r in split.split_balanced(grown, "k", bounds).collect()} == {0, 7}
+    hot = spark.range(1000).selectExpr("if(id < 700, 5, id) `a.k`")
+    few = split.balanced_bounds(hot, "a.k", 4)
+    assert len(few) < 3 and split.split_balanced(hot, "a.k", few).where("split < 0").isEmpty()
+    assert split.balanced_bounds(hot.limit(0), "a.k", 4) == [] and split.balanced_bounds(hot, "a.k", 1) == []
+
+
+@pytest.mark.parametrize("kind", ["bigint", "decimal(12,2)", "timestamp", "date", "double"])
+def test_predicates_name_the_same_parts(spark, kind):
+    rows = "explode(sequence(1, 200)) i"
+    value = {"timestamp": "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(i)", "date": "date '2024-01-01' + i"}.get(kind, f"cast(i as {kind})")
+    df = spark.sql(f"SELECT if(i % 10 = 0, null, {value}) k, i FROM (SELECT {rows})")
+    bounds = split.balanced_bounds(df, "k", 5)
+    con = duckdb.connect()
+    arrow = df.toArrow()
+    con.register("t", arrow)
+    wanted = {r.i: r.split for r in split.split_balanced(df, "k", bounds).collect()}
+    got = {}
+    for number, condition in enumerate(split.balanced_predicates("k", bounds)):
+        for (i,) in con.execute(f"SELECT i FROM t WHERE {condition}").fetchall():
+            assert i not in got
+            got[i] = number if number <= len(bounds) else -1
+    assert got == wanted
+
+
+def test_remainders_take_what_no_split_takes(spark):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT * FROM (VALUES (1, 'a'), (5, 'b''c'), (99, NULL), (NULL, 'z')) AS t(n, s)")
+    for conditions in (split.range_predicates("n", [(1, 3), (4, 9)], rest=True), split.value_predicates("s", ["a", "b'c"], rest=True)):
+        assert [con.execute(f"SELECT count(*) FROM t WHERE {c}").fetchone()[0] for c in conditions] == [1, 1, 2]
+    assert len(split.range_predicates("n", [(1, 3)])) == 1 and split.range_predicates("n", [], rest=True) == []
+
+
+def test_a_split_for_each_value_without_collecting_them(spark):
+    df = spark.range(3000).selectExpr("if(id % 7 = 0, null, concat('v', lpad(id % 500, 3, '0'))) `s.t`", "id")
+    out = split.split_each_value(df, "s.t")
+    values = sorted({r["s.t"] for r in df.collect()} - {None})
+    assert {(r["s.t"], r.split) for r in out.collect()} == {(v, i) for i, v in enumerate(values)} | {(None, -1)}
+    assert out.count() == 3000 and out.columns == ["s.t", "id", "split"]
