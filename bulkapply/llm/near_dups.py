@@ -342,11 +342,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     """
     sketched = materialize(sketches(docs, size), "sketches")
     numbers = [f"s{i}" for i in range(LONGS)]
-    # Numbers are given to the written classes, so that they are the same whenever they are read.
+    # Numbered in the order of their ids: what is copied is mostly older than its copies and more like each of them than they are
+    # among themselves, so it should lead its buckets. Written, so that the numbers are the same whenever they are read.
     classes = materialize(
         sketched.where("set_hash is not null and doc_id is not null").groupBy("set_hash").agg(
             F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n"),
-            *(F.first(c).alias(c) for c in numbers)).withColumn("node", F.monotonically_increasing_id()),
+            *(F.first(c).alias(c) for c in numbers)).orderBy("doc_id", "set_hash").withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
     texts, same_id = _same_id(sketched, classes)
