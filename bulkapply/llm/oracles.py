@@ -41,6 +41,25 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+# SHA-1 in base 32: five hexadecimal digits are four of its digits. Records of equal payload refer to the one of the smallest id.
+WARC = """
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), digits AS (
+  SELECT page_id, payload_bytes, list_transform(range(0, 8), lambda i: CAST('0x' || substr(hex, 5 * i + 1, 5) AS BIGINT)) AS parts FROM hashed
+), digests AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(parts, lambda x: concat(
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((x >> 15) & 31 AS INTEGER) + 1, 1),
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((x >> 10) & 31 AS INTEGER) + 1, 1),
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((x >> 5) & 31 AS INTEGER) + 1, 1),
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(x & 31 AS INTEGER) + 1, 1))), '') AS payload_digest FROM digits
+), led AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM digests
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to, CASE WHEN page_id = first THEN true END AS digest_holds
+FROM led
+"""
 
 
 def vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
@@ -76,4 +95,4 @@ FROM coded JOIN kept USING (vec_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filters": URL_FILTERS, "op11_vector_codes": vector_codes(), "op12_line_dedup": LINE_DEDUP}
+    return {"op2_url_filters": URL_FILTERS, "op3_warc": WARC, "op11_vector_codes": vector_codes(), "op12_line_dedup": LINE_DEDUP}
