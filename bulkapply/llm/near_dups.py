@@ -29,6 +29,8 @@ CHUNKS, CHUNK = 16, 5
 SYMBOLS = CHUNKS * CHUNK
 DISTANCE = 2 * CHUNKS - 1
 LONGS = SYMBOLS // 8
+# So many nodes, some 60 bytes each, are broadcast to find their texts; more are joined by a shuffle.
+BROADCAST_NODES = 500_000
 # Members of a bucket that meet in one go.
 MEETING = 1024
 _CACHED_WORDS = 500_000
@@ -167,18 +169,16 @@ def _near(a: str, b: str, percent: int) -> str:
     return f"{sizes} and {_distance(a, b)} <= {DISTANCE}"
 
 
-def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``doc_id`` and the bytes of ``text`` of the documents in the written ``nodes``."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return restrict(rows, nodes, ["doc_id"], "left_semi")
-
-
 def _sets_of(docs: DataFrame, nodes: DataFrame, classes: DataFrame, size: int, make, schema: str) -> DataFrame:
-    """``node`` and the columns that ``make`` gives for its shingles, of each of ``nodes``.
+    """``node`` and the columns that ``make`` gives for its shingles, of each of ``nodes``; repeated rows give a row each.
 
-    A node's text is that of its smallest doc_id; where an id has several texts, the hash of the set tells which.
+    A node's text is that of its smallest doc_id; where an id has several texts, the hash of the set tells which. Texts stay where
+    they are while the nodes are few enough to broadcast, which is counted.
     """
     wanted = materialize(nodes.select("node").distinct().join(classes.select("node", "doc_id", "set_hash"), "node"), "wanted")
+    few = wanted.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    rows = rows.join(F.broadcast(wanted) if few else wanted, "doc_id").select("node", "text", "set_hash")
 
     def sets(batches):
         import xxhash
@@ -186,11 +186,10 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, classes: DataFrame, size: int, m
         cache = _WordHashes()
         for batch in batches:
             found = [shingles(text.as_py(), size, cache) for text in batch.column(1)]
-            yield [[xxhash.xxh3_128_digest(each.tobytes()) for each in found], *make(found)]
+            own = [i for i, each in enumerate(found) if xxhash.xxh3_128_digest(each.tobytes()) == batch.column(2)[i].as_py()]
+            yield [batch.column(0).take(own) if own else [], *make([found[i] for i in own])]
 
-    made = in_arrow(_texts_of(docs, wanted.select("doc_id").distinct()), sets, f"set_hash binary, {schema}")
-    made = made.join(wanted.select("node", "set_hash"), "set_hash").drop("set_hash")
-    return made.groupBy("node").agg(*(F.first(c).alias(c) for c in made.columns if c != "node"))
+    return in_arrow(rows, sets, f"node long, {schema}")
 
 
 def _short_sets(docs: DataFrame, rows: DataFrame, classes: DataFrame, size: int) -> DataFrame:
@@ -201,7 +200,8 @@ def _short_sets(docs: DataFrame, rows: DataFrame, classes: DataFrame, size: int)
         return [[len(each) for each in found], [signature(each, *functions) for each in found],
                 [np.unique(each.astype(np.uint32)).tobytes() for each in found]]
 
-    return materialize(_sets_of(docs, rows, classes, size, cut, "n long, sign binary, members binary"), "short-sets")
+    found = _sets_of(docs, rows, classes, size, cut, "n long, sign binary, members binary")
+    return materialize(found.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "sign", "members"))), "short-sets")
 
 
 def _crossing(rows: DataFrame, percent: int) -> DataFrame:
