@@ -1,13 +1,17 @@
 """``df.write.format("copyload")``: executors stream encoded lines into a stage table by COPY, the commit moves them.
 
-Every line carries the number of the task attempt that sent it. The commit takes only attempts Spark reported as
+Every line carries the mark of the task attempt that sent it. The commit takes only attempts Spark reported as
 successful, so the rows of lost or repeated attempts never reach the target. Needs a DB-API driver with
 ``cursor.copy_expert(statement, file)``, named by the option ``connect`` as ``module:function``.
+
+``writeStream`` with the same format keeps one stage for a stream and moves an epoch's rows, empties the stage and notes the
+epoch in one transaction, so an epoch that is repeated after a failure or a restart is moved once.
 """
 
 from __future__ import annotations
 
 import importlib
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceStreamArrowWriter, WriterCommitMessage
 
 from bulkapply.functions.copycsv import encode_lines
 from bulkapply.options import SinkOptions, TargetSpec
@@ -25,7 +29,10 @@ from bulkapply.sources.copyfiles import copy_statement
 
 FORMAT = "copyload"
 _ATTEMPT = "load_attempt"
+_MARK = "load_mark"
 _ATTEMPTS_PER_STATEMENT = 1000
+# Fixed value: the property by which Spark tells tasks the id that a streaming query keeps in its checkpoint.
+_QUERY_ID = "sql.streaming.queryId"
 
 
 @dataclass
@@ -34,10 +41,17 @@ class Loaded(WriterCommitMessage):
     rows: int
 
 
+@dataclass
+class LoadedEpoch(WriterCommitMessage):
+    mark: str
+    rows: int
+    query_id: str
+
+
 class LineReader:
     """Arrow batches of lines as the file object that a COPY call reads."""
 
-    def __init__(self, batches: Iterator[pa.RecordBatch], attempt: int):
+    def __init__(self, batches: Iterator[pa.RecordBatch], attempt: int | str):
         self._batches, self._prefix, self.rows = batches, pa.scalar(f"{attempt},", pa.large_string()), 0
         self._text, self._at = memoryview(b""), 0
 
@@ -62,17 +76,14 @@ class LineReader:
         return bytes(piece)
 
 
-class CopyLoadWriter(DataSourceArrowWriter):
+class _Target:
+    """The table that is loaded and a connection to it for each step."""
+
     def __init__(self, options: dict[str, str]):
         self.connect_name = options["connect"]
         self.table = options["dbtable"]
         self.columns = options["columns"].split(",")
         self.stage = f"{self.table}_load_{options['batch']}"
-        names = ", ".join(self.columns)
-        self._run(
-            sql.drop(self.stage),
-            f"CREATE TABLE {self.stage} AS SELECT CAST(0 AS BIGINT) AS {_ATTEMPT}, {names} FROM {self.table} WHERE false",
-        )
 
     def _connect(self):
         module, _, function = self.connect_name.partition(":")
@@ -88,29 +99,99 @@ class CopyLoadWriter(DataSourceArrowWriter):
         finally:
             connection.close()
 
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> Loaded:
-        attempt = TaskContext.get().taskAttemptId()
-        lines = LineReader(iterator, attempt)
+    def _send(self, lines: LineReader, marked_by: str) -> int:
         connection = self._connect()
         try:
-            connection.cursor().copy_expert(copy_statement(self.stage, [_ATTEMPT, *self.columns]), lines)
+            connection.cursor().copy_expert(copy_statement(self.stage, [marked_by, *self.columns]), lines)
             connection.commit()
         finally:
             connection.close()
-        return Loaded(attempt, lines.rows)
+        return lines.rows
+
+    def _moves(self, marked_by: str, marks: list[str]) -> list[str]:
+        """The statements that move the rows with these marks, given as literals."""
+        return [
+            sql.insert_staged(
+                self.table, self.stage, self.columns, f"{marked_by} IN ({', '.join(marks[at:at + _ATTEMPTS_PER_STATEMENT])})")
+            for at in range(0, len(marks), _ATTEMPTS_PER_STATEMENT)
+        ]
+
+
+class CopyLoadWriter(_Target, DataSourceArrowWriter):
+    def __init__(self, options: dict[str, str]):
+        super().__init__(options)
+        names = ", ".join(self.columns)
+        self._run(
+            sql.drop(self.stage),
+            f"CREATE TABLE {self.stage} AS SELECT CAST(0 AS BIGINT) AS {_ATTEMPT}, {names} FROM {self.table} WHERE false",
+        )
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Loaded:
+        attempt = TaskContext.get().taskAttemptId()
+        return Loaded(attempt, self._send(LineReader(iterator, attempt), _ATTEMPT))
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
-        attempts = [m.attempt for m in messages if m is not None and m.rows]
-        moves = []
-        for start in range(0, len(attempts), _ATTEMPTS_PER_STATEMENT):
-            numbers = ", ".join(map(str, attempts[start:start + _ATTEMPTS_PER_STATEMENT]))
-            moves.append(sql.insert_staged(self.table, self.stage, self.columns, f"{_ATTEMPT} IN ({numbers})"))
-        self._run(*moves, sql.drop(self.stage))
+        attempts = [str(m.attempt) for m in messages if m is not None and m.rows]
+        self._run(*self._moves(_ATTEMPT, attempts), sql.drop(self.stage))
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
         self._run(sql.drop(self.stage))
 
 
+class CopyStreamWriter(_Target, DataSourceStreamArrowWriter):
+    """One stage for all epochs of a stream. An attempt's mark is random, as attempt numbers begin anew with each application.
+
+    The noted epoch is kept under the id that the query has in its checkpoint, so a stream that begins anew with another
+    checkpoint is another stream. What lost attempts sent stays in the stage until the next epoch empties it.
+    """
+
+    def __init__(self, options: dict[str, str]):
+        super().__init__(options)
+        self.epochs = f"{self.table}_load_epochs"
+        self.retry = SinkOptions(max_retries=int(options["retries"]), retry_interval=float(options["retry_interval"]))
+        names = ", ".join(self.columns)
+        self._run(
+            f"CREATE TABLE IF NOT EXISTS {self.stage} AS "
+            f"SELECT CAST('' AS VARCHAR(32)) AS {_MARK}, {names} FROM {self.table} WHERE false",
+            f"CREATE TABLE IF NOT EXISTS {self.epochs} (stream VARCHAR(64), epoch BIGINT, PRIMARY KEY (stream, epoch))",
+        )
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> LoadedEpoch:
+        mark = uuid.uuid4().hex
+        query_id = TaskContext.get().getLocalProperty(_QUERY_ID)
+        if query_id is None:
+            raise RuntimeError("the task does not know its streaming query")
+        return LoadedEpoch(mark, self._send(LineReader(iterator, mark), _MARK), query_id)
+
+    def commit(self, messages: list[WriterCommitMessage | None], batchId: int) -> None:
+        with_retry(lambda: self._show([m for m in messages if m is not None], batchId), self.retry)
+
+    def _show(self, messages: list[LoadedEpoch], epoch: int) -> None:
+        """Move an epoch that is not noted yet; repeating it changes nothing."""
+        if not messages:
+            return
+        stream = f"stream = '{messages[0].query_id}'"
+        connection = self._connect()
+        try:
+            cursor = connection.cursor()
+            cursor.execute(f"SELECT max(epoch) FROM {self.epochs} WHERE {stream}")
+            noted = cursor.fetchone()[0]
+            if noted is None or noted < epoch:
+                for statement in (
+                    *self._moves(_MARK, [f"'{m.mark}'" for m in messages if m.rows]),
+                    f"INSERT INTO {self.epochs}(stream, epoch) VALUES ('{messages[0].query_id}', {int(epoch)})",
+                    f"DELETE FROM {self.epochs} WHERE {stream} AND epoch < {int(epoch)}",
+                ):
+                    cursor.execute(statement)
+            cursor.execute(f"DELETE FROM {self.stage}")
+            connection.commit()
+        finally:
+            connection.close()
+
+    def abort(self, messages: list[WriterCommitMessage | None], batchId: int) -> None:
+        """Nothing of the epoch is in the target; the next one empties the stage."""
+
+
 class CopyLoad(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -119,6 +200,9 @@ class CopyLoad(DataSource):
     def writer(self, schema, overwrite: bool) -> CopyLoadWriter:
         return CopyLoadWriter(dict(self.options))
 
+    def streamWriter(self, schema, overwrite: bool) -> CopyStreamWriter:
+        return CopyStreamWriter(dict(self.options))
+
 
 def copy_load(
     df: DataFrame, spec: TargetSpec, connect: str, batch: str, options: SinkOptions = SinkOptions(bulk=True)

@@ -7,7 +7,6 @@ The declaration decides the path: a key means upsert and delete by key, no key m
 from __future__ import annotations
 
 import uuid
-import zlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
@@ -22,7 +21,7 @@ from bulkapply.operators.changelog import OP, ChangelogError
 from bulkapply.options import SinkOptions, TargetSpec
 from bulkapply.sources import jdbc
 from bulkapply.sources.copyload import copy_load
-from bulkapply.streaming.sink import apply_stream
+from bulkapply.streaming.sink import apply_stream, copy_load_stream, feed_name
 
 
 @dataclass(frozen=True)
@@ -102,8 +101,11 @@ class TableSink:
         """Write every micro-batch; it is flushed before the checkpoint counts it as done."""
         if not self.target.spec.keys and (op_col is not None or output_mode != "append"):
             raise ChangelogError(f"{self.target.spec.table} declares no key, so it takes no updates and deletes")
+        if self.options.bulk:
+            rows = self._typed(stream, ())
+            return copy_load_stream(rows, self.target.spec, self.connect, checkpoint, self.options, available_now)
         once = replace(self.options, max_retries=0)
-        feed = f"{zlib.crc32(checkpoint.encode()):08x}"
+        feed = feed_name(checkpoint)
         return apply_stream(
             stream,
             lambda rows, batch_id: self.write(rows, sequence_by, op_col, f"{feed}_{batch_id}"),

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from bulkapply.functions.convert import to_sql_types
-from bulkapply.options import SinkOptions
+from bulkapply.functions.copycsv import encode_lines
+from bulkapply.options import SinkOptions, TargetSpec
 from bulkapply.retry import with_retry
 from bulkapply.sources.copyfiles import write_copy_files
+from bulkapply.sources.copyload import FORMAT, CopyLoad
 from bulkapply.sources.dml import bind, run_statement
 
 Apply = Callable[[DataFrame, int], None]
 
 
+def feed_name(checkpoint: str) -> str:
+    """A short name of the stream that keeps this checkpoint, for its stage tables."""
+    return f"{zlib.crc32(checkpoint.encode()):08x}"
+
+
 def _triggered(writer: DataStreamWriter, options: SinkOptions, available_now: bool) -> DataStreamWriter:
     if available_now:
         return writer.trigger(availableNow=True)
@@ -92,3 +100,27 @@ def copy_stream(
         write_copy_files(rows, folder, timestamp_digits=options.timestamp_digits, mode="overwrite")
 
     return apply_stream(stream, write, checkpoint, options, "append", available_now)
+
+
+def copy_load_stream(
+    stream: DataFrame,
+    spec: TargetSpec,
+    connect: str,
+    checkpoint: str,
+    options: SinkOptions = SinkOptions(bulk=True),
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Bulk-append every micro-batch through COPY from the executors; a repeated micro-batch is in the target once.
+
+    The target's database holds a stage per stream and a table of the epochs shown, both named after the target. Showing an epoch
+    is retried as the options say, and a query that failed goes on from its checkpoint.
+    """
+    options.check_target(spec)
+    stream.sparkSession.dataSource.register(CopyLoad)
+    rows = stream if options.parallelism is None else stream.repartition(options.parallelism)
+    named = {
+        "connect": connect, "dbtable": spec.table, "columns": ",".join(spec.columns), "batch": feed_name(checkpoint),
+        "retries": str(options.max_retries), "retry_interval": str(options.retry_interval),
+    }
+    writer = encode_lines(rows, spec.columns, options.timestamp_digits).writeStream.format(FORMAT).options(**named)
+    return _triggered(writer.option("checkpointLocation", checkpoint).outputMode("append"), options, available_now).start()
