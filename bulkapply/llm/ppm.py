@@ -3,9 +3,10 @@
 The contexts of up to ``ORDER`` bytes before every byte of the training texts are counted, the end of a text being a symbol of
 its own (byte 0). A context's symbols get c / (C + q), the escape q / (C + q), with C occurrences of q symbols (method C);
 what escapes goes to the next shorter context without the symbols already offered (exclusion). A pretrained trie gives
-fixed probabilities, so each context's whole row of symbols is worked out once, and scoring a text is three table
-look-ups per byte. The broadcast trie keeps all contexts of one byte and, of longer ones, the ``CONTEXTS`` most frequent per
-order: at most 240 megabytes if all 256 bytes occur, some 100 for texts of a few scripts. It only saves work: a byte behind ``ORDER``
+fixed probabilities, so each context's whole row of symbols is worked out once per worker, and scoring a text is three table
+look-ups per byte. The trie keeps all contexts of one byte and, of longer ones, the ``CONTEXTS`` most frequent per order. Their
+counts are gathered and broadcast; the tables, at most 240 megabytes if all 256 bytes occur, some 100 for texts of a few scripts,
+are made of them by the workers and never by the driver. The trie only saves work: a byte behind ``ORDER``
 bytes that are not in it is looked up as a piece with them, in the broadcast values of the ``VALUES`` most frequent such pieces, else
 by a join with the written values of all pieces, summed per document. Pieces that only held-out texts have get their value by
 joins with the counts of each order. So all counted contexts take part in every score, however many there are.
@@ -43,7 +44,7 @@ _CHUNK = 1 << 20
 _TEXTS = 1 << 15
 # Texts scored at once, so that a worker holds few of them beside the tables.
 _SCORED = 500
-_ROWS = 4096
+_ROWS = 1024
 _WORDS_AT_ONCE = 400_000
 _GRAMS_AT_ONCE = 1_200_000
 
@@ -170,7 +171,7 @@ class Trie:
         self.symbol[known] = np.arange(len(known))
         unseen = 256 - len(known)
         uniform = np.r_[np.full(len(known), 1 / 256), unseen / 256]
-        # Rows of probabilities, in order; filled block by block, as the driver builds them.
+        # Rows of probabilities, in order; filled block by block.
         size = 1 + sum(len(np.unique(numbers >> 8)) for numbers, _ in orders[1:])
         self.log10 = np.zeros((size, width), np.float32)
         self.log10[0] = uniform
@@ -269,6 +270,19 @@ class Trie:
         return np.concatenate(out), [np.concatenate(column) for column in zip(*others)]
 
 
+class Counts:
+    """What the driver gathers for the trie: ``orders``, ``grams`` and ``values``. Each worker makes the tables of it, once."""
+
+    def __init__(self, orders: list[tuple[np.ndarray, np.ndarray]], grams: np.ndarray, values: np.ndarray):
+        self.orders, self.grams, self.values, self._trie = orders, grams, values, None
+
+    def trie(self) -> Trie:
+        if self._trie is None:
+            self._trie, self.orders = Trie(self.orders), None
+            self._trie.grams, self._trie.values = self.grams, self.values
+        return self._trie
+
+
 def _mask(size: int) -> int:
     return (1 << 8 * size) - 1
 
@@ -308,8 +322,8 @@ def levels_of(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
     return out
 
 
-def train(levels: list[tuple[DataFrame, DataFrame]], values: DataFrame) -> Trie:
-    """The trie of the most frequent contexts of each order whose suffixes are kept, with the most frequent other pieces."""
+def train(levels: list[tuple[DataFrame, DataFrame]], values: DataFrame) -> Counts:
+    """For the trie the most frequent contexts of each order whose suffixes are kept, and the most frequent other pieces."""
     orders, kept = [], None
     for k, (level, contexts) in enumerate(levels):
         if k in CONTEXTS:
@@ -320,19 +334,22 @@ def train(levels: list[tuple[DataFrame, DataFrame]], values: DataFrame) -> Trie:
             kept = materialize(_frequent(candidates, CONTEXTS[k]).select("context"), "kept")
             level = level.withColumn("context", _context(F.col("gram"))).join(F.broadcast(kept), "context", "left_semi")
         orders.append(_sorted(level.select("gram", "n")))
-    trie = Trie(orders)
     if kept is not None:
         values = values.withColumn("context", _context(F.col("gram"))).join(F.broadcast(kept), "context", "left_anti")
-    grams, found = _sorted(_frequent(values, VALUES).select("gram", "value"))
-    trie.grams, trie.values = grams, found.astype(np.float32)
-    return trie
+    return Counts(orders, *_sorted(_frequent(values, VALUES).select("gram", F.col("value").cast("float"))))
 
 
 def _sorted(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Two columns as arrays, by the first; the rows as they came are let go before."""
+    import pyarrow as pa
+
     found = rows.toArrow()
     numbers, others = found.column(0).to_numpy(), found.column(1).to_numpy()
+    del found
     order = np.argsort(numbers)
-    return numbers[order], others[order]
+    numbers, others = numbers[order], others[order]
+    pa.default_memory_pool().release_unused()
+    return numbers, others
 
 
 def values_of(levels: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
@@ -373,7 +390,7 @@ def score(docs: DataFrame) -> DataFrame:
     counts = counted(docs)
     levels = levels_of(counts)
     values = values_of(levels)
-    trie = spark.sparkContext.broadcast(train(levels, values))
+    shared = spark.sparkContext.broadcast(train(levels, values))
     vocabulary = counts.where("word is not null").select("word", "n")
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     floor = math.log10(total + ADDED * (distinct + 1))
@@ -388,7 +405,7 @@ def score(docs: DataFrame) -> DataFrame:
         kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int32())]))
 
         def scores(texts):
-            each, (text, gram, times) = trie.value.score(texts)
+            each, (text, gram, times) = shared.value.trie().score(texts)
             offsets = np.searchsorted(text, np.arange(len(texts) + 1)).astype(np.int32)
             pieces = pa.StructArray.from_arrays([pa.array(gram), pa.array(times.astype(np.int32))], ["gram", "times"])
             return [each, pa.ListArray.from_arrays(pa.array(offsets), pieces)]

@@ -2,6 +2,7 @@
 
 import collections
 import math
+import pickle
 import random
 import re
 import zlib
@@ -189,6 +190,17 @@ def test_probabilities_of_a_context_add_up():
     assert np.allclose((10.0 ** trie.log10 * weight).sum(axis=1), 1, atol=1e-4)
 
 
+def test_the_driver_gathers_counts_and_no_tables(spark):
+    """The driver made, held and pickled the tables before; each worker makes them of the counts, once."""
+    levels = ppm.levels_of(ppm.counted(documents(spark, [sentence(rng, 30) for _ in range(60)])))
+    gathered = ppm.train(levels, ppm.values_of(levels))
+    size = len(pickle.dumps(gathered))
+    trie = gathered.trie()
+    tables = trie.log10.nbytes + trie.short.nbytes + sum(grown.nbytes for _, grown in trie.steps)
+    assert size < tables / 4 and gathered.trie() is trie
+    assert np.all(np.diff(trie.grams) > 0) and len(trie.grams) == len(trie.values)
+
+
 def test_scores_of_odd_and_empty_tables(spark):
     odd = odd_documents(spark)
     found = ppm.score(odd).collect()
