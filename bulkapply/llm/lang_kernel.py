@@ -87,15 +87,25 @@ class Model:
     def _unit(x: np.ndarray) -> np.ndarray:
         return x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1.0))
 
-    def _place(self, order: int) -> np.ndarray:
-        """For every n-gram of an order its column, or the spare last column; built once per process."""
+    def _columns(self, order: int, codes: np.ndarray) -> np.ndarray:
+        """The column of each n-gram of an order, or the spare last column.
+
+        A row of columns by the last byte for each beginning that the model's n-grams have, and a spare one for all others:
+        some megabytes, built once per process.
+        """
         if self._places is None:
             self._places = {}
             for n in _ORDERS:
-                self._places[n] = np.full(1 << 8 * n, len(self.grams), np.int16)
                 mine = np.flatnonzero(self.grams >> 24 == n)
-                self._places[n][self.grams[mine] & 0xFFFFFF] = mine
-        return self._places[order]
+                numbers = self.grams[mine] & 0xFFFFFF
+                beginnings, row = np.unique(numbers >> 8, return_inverse=True)
+                rows = np.zeros(256 ** (n - 1), np.int16)
+                rows[beginnings] = np.arange(1, len(beginnings) + 1)
+                columns = np.full((len(beginnings) + 1, 256), len(self.grams), np.int16)
+                columns[row + 1, numbers & 255] = mine
+                self._places[n] = rows, columns
+        rows, columns = self._places[order]
+        return columns[rows[codes >> 8], codes & 255]
 
     def _present(self, grams: list[np.ndarray]) -> np.ndarray:
         out = np.zeros((len(grams), len(self.grams)), np.float32)
@@ -111,15 +121,19 @@ class Model:
     def scores(self, texts: list[bytes]) -> np.ndarray:
         """One row of scores per text, in the order of ``langs``."""
         out = np.empty((len(texts), len(self.langs)), np.float32)
+        # One block is held at a time, without the spare column scaled in place.
+        room = np.empty((min(_BLOCK, len(texts)), len(self.grams) + 1), np.float32)
         for at in range(0, len(texts), _BLOCK):
             block = texts[at : at + _BLOCK]
-            present = np.zeros((len(block), len(self.grams) + 1), np.float32)
+            present = room[: len(block)]
+            present[:] = 0.0
             for row, text in enumerate(block):
                 text = text.lower()
                 for n in _ORDERS:
-                    present[row, self._place(n)[codes(text, n)]] = 1.0
-            kernel = self._unit(present[:, :-1]) @ self.landmarks
-            out[at : at + _BLOCK] = kernel @ self.coefficients + self.constant
+                    present[row, self._columns(n, codes(text, n))] = 1.0
+            known = present[:, :-1]
+            known /= np.sqrt(np.maximum(known.sum(axis=1, keepdims=True), 1.0))
+            out[at : at + _BLOCK] = known @ self.landmarks @ self.coefficients + self.constant
         return out
 
 

@@ -118,3 +118,27 @@ def test_kernel_is_shared_grams_over_the_geometric_mean():
     sets = [{t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)} for t in texts]
     wanted = [[len(x & y) / (len(x) * len(y)) ** 0.5 for y in sets] for x in sets]
     assert np.allclose(model._kernel([lang_kernel._grams(t) for t in texts]), wanted, atol=1e-6)
+
+
+def test_columns_of_all_grams_are_found_in_a_few_megabytes():
+    """The tables took 34 MB in every worker before."""
+    import numpy as np
+
+    texts = [bytes(rng.randrange(256) for _ in range(300)) for _ in range(30)]
+    model = lang_kernel.Model([lang_kernel._grams(t) for t in texts], ["a", "b", "c"] * 10)
+    for n in (1, 2, 3):
+        column = dict(zip((model.grams[model.grams >> 24 == n] & 0xFFFFFF).tolist(), np.flatnonzero(model.grams >> 24 == n)))
+        asked = np.array([*column, *(rng.randrange(256**n) for _ in range(2000))])
+        assert model._columns(n, asked).tolist() == [column.get(code, len(model.grams)) for code in asked.tolist()]
+    assert len(model.scores(texts)) == len(texts)
+    assert sum(table.nbytes for tables in model._places.values() for table in tables) < 4 << 20
+
+
+def test_scores_of_several_blocks_are_those_of_each_text(monkeypatch):
+    import numpy as np
+
+    texts = [bytes(rng.choice(b"abcdeXYZ ") for _ in range(rng.randrange(60))) for _ in range(23)]
+    model = lang_kernel.Model([lang_kernel._grams(t) for t in texts], ["a", "b"] * 11 + ["a"])
+    wanted = model._kernel([lang_kernel._grams(t) for t in texts]) @ model.coefficients + model.constant
+    monkeypatch.setattr(lang_kernel, "_BLOCK", 5)
+    assert np.allclose(model.scores(texts), wanted, atol=1e-5) and model.scores([]).shape == (0, 2)
