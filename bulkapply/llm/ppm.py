@@ -21,11 +21,13 @@ so other columns may have any name. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections import Counter
+from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bulkapply.llm.common import held_out, in_arrow
@@ -40,13 +42,20 @@ FOLDS, HELD_OUT = 10, 0
 ADDED = 0.1
 _END = b""
 _PAD = bytes(ORDER)
-_CHUNK = 1 << 20
+# Bytes of text counted and scored at once; scoring holds some 40 bytes of arrays for each.
+_CHUNK = 1 << 19
+_SCORE_CHUNK = 1 << 17
 _TEXTS = 1 << 15
 # Texts scored at once, so that a worker holds few of them beside the tables.
 _SCORED = 500
 _ROWS = 1024
+# Words and pieces that a worker counts before it hands them over, and pieces that come before they are merged with the others.
 _WORDS_AT_ONCE = 400_000
 _GRAMS_AT_ONCE = 1_200_000
+_GRAMS_MERGED = 400_000
+# Bytes in an Arrow batch that a worker gets, and rows of counts in one that it hands over.
+_BATCH = "4m"
+_TOLD = 1 << 16
 
 
 def words(text: bytes) -> list[bytes]:
@@ -61,26 +70,61 @@ def _stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return joined, ORDER + np.r_[0, np.cumsum(lengths + ORDER)[:-1]]
 
 
-def _chunks(texts):
-    """Lists of texts of about ``_CHUNK`` bytes, at most ``_TEXTS``."""
+def _chunks(texts, wanted: int):
+    """Lists of texts of about ``wanted`` bytes, at most ``_TEXTS``."""
     block, size = [], 0
     for text in texts:
         block.append(text)
         size += len(text)
-        if size >= _CHUNK or len(block) == _TEXTS:
+        if size >= wanted or len(block) == _TEXTS:
             yield block
             block, size = [], 0
     if block:
         yield block
 
 
+@contextmanager
+def _small_batches(spark: SparkSession):
+    """Arrow batches of at most some megabytes in the queries run meanwhile, unless the session sets a limit itself.
+
+    By default one holds a whole partition's texts, in the JVM's own memory, beside the heap, and again in the worker.
+    """
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    unset = spark.conf.get(limit, None) is None
+    if unset:
+        spark.conf.set(limit, _BATCH)
+    try:
+        yield
+    finally:
+        if unset:
+            spark.conf.unset(limit)
+
+
+def _release() -> None:
+    """Give freed memory back to the system: workers live on after a task, and beside them the JVM needs it."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.pythonapi, "malloc_trim", None)  # only glibc has it
+    if trim:
+        trim(0)
+
+
+def _slices(batches):
+    """Arrow batches of at most ``_SCORED`` rows."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, _SCORED):
+            yield whole.slice(at, _SCORED)
+
+
 def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The distinct pieces of ``ORDER`` bytes and the following symbol, as numbers, and how often each occurs."""
     stream, starts = _stream(texts)
     n = len(stream) - ORDER
     number = stream[:n].astype(np.int64)
     for i in range(1, ORDER + 1):
-        number = number << 8 | stream[i : n + i]
+        number <<= 8
+        number |= stream[i : n + i]
     wanted = np.ones(n, bool)
     for i in range(1, ORDER):
         wanted[starts[1:] - ORDER - i] = False
@@ -88,54 +132,64 @@ def _grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    numbers = np.concatenate([p[0] for p in parts])
-    counts = np.concatenate([p[1] for p in parts])
+    """The sums by number, sorted. Empties the list, so that the parts are not held beside their sums."""
+    numbers, counts = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    parts.clear()
     order = np.argsort(numbers, kind="stable")
     numbers, counts = numbers[order], counts[order]
+    del order
     first = np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1]])
     return numbers[first], np.add.reduceat(counts, first)
 
 
-def counted(docs: DataFrame) -> DataFrame:
-    """``word, gram, n`` of the training texts: the words (the end as an empty word) and the pieces of ``ORDER + 1`` bytes."""
-
-    def count(batches):
-        import pyarrow as pa
-
-        def told(words: Counter):
-            nothing = pa.nulls(len(words), pa.int64())
-            return [pa.array(words.keys(), pa.binary()), nothing, pa.array(words.values(), pa.int64())]
+def _count(batches):
+    """Columns of ``counted`` from Arrow batches of texts; a word or piece may come more than once, to be summed."""
+    import pyarrow as pa
 
-        def told_grams(parts):
-            numbers, counts = _merged(parts)
-            return [pa.nulls(len(numbers), pa.binary()), numbers, counts.astype(np.int64)]
+    def told(seen: Counter):
+        found, counts = list(seen), np.fromiter(seen.values(), np.int64, len(seen))
+        for at in range(0, len(found), _TOLD):
+            some = found[at : at + _TOLD]
+            yield [pa.array(some, pa.binary()), pa.nulls(len(some), pa.int64()), counts[at : at + _TOLD]]
+
+    def told_grams(parts):
+        numbers, counts = _merged(parts)
+        for at in range(0, len(numbers), _TOLD):
+            some = numbers[at : at + _TOLD]
+            yield [pa.nulls(len(some), pa.binary()), some, counts[at : at + _TOLD].astype(np.int64)]
+
+    seen, parts, held = Counter(), [], 0
+    for batch in _slices(batches):
+        texts = [text.as_py() or b"" for text in batch.column(0)]
+        for text in texts:
+            seen.update(words(text))
+            if len(seen) >= _WORDS_AT_ONCE:
+                yield from told(seen)
+                seen = Counter()
+        seen[_END] += len(texts)
+        for block in _chunks(texts, _CHUNK):
+            parts.append(_grams(block))
+            held += len(parts[-1][0])
+            if held >= _GRAMS_AT_ONCE + _GRAMS_MERGED:
+                parts.append(_merged(parts))
+                held = len(parts[0][0])
+                if held >= _GRAMS_AT_ONCE:
+                    yield from told_grams(parts)
+                    held = 0
+    if seen:
+        yield from told(seen)
+        seen.clear()
+    if parts:
+        yield from told_grams(parts)
+    _release()
 
-        seen, parts, held = Counter(), [], 0
-        for batch in batches:
-            texts = [text.as_py() or b"" for text in batch.column(0)]
-            for text in texts:
-                seen.update(words(text))
-                if len(seen) >= _WORDS_AT_ONCE:
-                    yield told(seen)
-                    seen = Counter()
-            seen[_END] += len(texts)
-            for block in _chunks(texts):
-                parts.append(_grams(block))
-                held += len(parts[-1][0])
-                if held >= 2 * _GRAMS_AT_ONCE:
-                    parts = [_merged(parts)]
-                    held = len(parts[0][0])
-                    if held >= _GRAMS_AT_ONCE:
-                        yield told_grams(parts)
-                        parts, held = [], 0
-        if seen:
-            yield told(seen)
-        if parts:
-            yield told_grams(parts)
 
+def counted(docs: DataFrame) -> DataFrame:
+    """``word, gram, n`` of the training texts: the words (the end as an empty word) and the pieces of ``ORDER + 1`` bytes."""
     taught = docs.where(~held_out(F.col("doc_id"), FOLDS, HELD_OUT)).select(F.col("text").cast("binary").alias("text"))
-    parts = in_arrow(taught, count, "word binary, gram long, n long")
-    return materialize(parts.groupBy("word", "gram").agg(F.sum("n").alias("n")), "counted")
+    parts = in_arrow(taught, _count, "word binary, gram long, n long")
+    with _small_batches(docs.sparkSession):
+        return materialize(parts.groupBy("word", "gram").agg(F.sum("n").alias("n")), "counted")
 
 
 def _frequent(rows: DataFrame, limit: int) -> DataFrame:
@@ -240,7 +294,7 @@ class Trie:
         Those are the second result: for each the number of its text, ascending, the piece, and how often the text has it.
         """
         out, others, before = [np.empty(0)], [[np.empty(0, np.int64)] * 3], 0
-        for block in _chunks(texts):
+        for block in _chunks(texts, _SCORE_CHUNK):
             stream, starts = _stream(block)
             column = self.symbol[stream]
             n = len(column) - ORDER
@@ -280,6 +334,7 @@ class Counts:
         if self._trie is None:
             self._trie, self.orders = Trie(self.orders), None
             self._trie.grams, self._trie.values = self.grams, self.values
+            _release()
         return self._trie
 
 
@@ -384,35 +439,20 @@ def novel_values(grams: DataFrame, levels: list[tuple[DataFrame, DataFrame]]) ->
     return rows.select("gram", F.coalesce("value", uniform).alias("value"))
 
 
-def score(docs: DataFrame) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``, a row for each row of ``docs``."""
-    spark = docs.sparkSession
-    counts = counted(docs)
-    levels = levels_of(counts)
-    values = values_of(levels)
-    shared = spark.sparkContext.broadcast(train(levels, values))
-    vocabulary = counts.where("word is not null").select("word", "n")
-    total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    floor = math.log10(total + ADDED * (distinct + 1))
-    top = _frequent(vocabulary, FREQUENT).toArrow()
-    logs = np.log10(top.column(1).to_numpy() + ADDED) - floor
-    frequent = spark.sparkContext.broadcast(dict(zip(top.column(0).to_pylist(), logs.tolist())))
+def _scorer(shared, frequent):
+    """The function of ``score`` over Arrow batches of ``row, doc_id, held_out, text``, from broadcast ``Counts`` and words' logs."""
 
     def scored(batches):
         import pyarrow as pa
 
-        known = frequent.value
-        kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int32())]))
+        known, trie = frequent.value, shared.value.trie()
 
-        def scores(texts):
-            each, (text, gram, times) = shared.value.trie().score(texts)
-            offsets = np.searchsorted(text, np.arange(len(texts) + 1)).astype(np.int32)
-            pieces = pa.StructArray.from_arrays([pa.array(gram), pa.array(times.astype(np.int32))], ["gram", "times"])
-            return [each, pa.ListArray.from_arrays(pa.array(offsets), pieces)]
+        def lists(offsets, fields):
+            return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([*fields.values()], [*fields]))
 
-        for batch in (whole.slice(at, _SCORED) for whole in batches for at in range(0, whole.num_rows, _SCORED)):
+        for batch in _slices(batches):
             texts = [text.as_py() or b"" for text in batch.column(3)]
-            n_tokens, n_known, base, rare = [], [], [], []
+            n_tokens, n_known, base, ends, rare, times = [], [], [], [0], [], []
             for text in texts:
                 tokens = words(text)
                 tokens.append(_END)
@@ -421,17 +461,39 @@ def score(docs: DataFrame) -> DataFrame:
                 n_tokens.append(len(tokens))
                 n_known.append(len(tokens) - sum(others.values()))
                 base.append(sum(filter(None, found)))
-                rare.append([{"word": word, "times": times} for word, times in others.items()])
-            yield [batch.column(0), batch.column(1), batch.column(2), n_tokens, n_known, base, *scores(texts),
-                   pa.array(rare, kind)]
+                rare.extend(others.keys())
+                times.extend(others.values())
+                ends.append(len(rare))
+            each, (text, gram, often) = trie.score(texts)
+            pieces = lists(np.searchsorted(text, np.arange(len(texts) + 1)), {"gram": pa.array(gram), "times": pa.array(often, pa.int32())})
+            others = lists(ends, {"word": pa.array(rare, pa.binary()), "times": pa.array(times, pa.int32())})
+            yield [batch.column(0), batch.column(1), batch.column(2), n_tokens, n_known, base, each, pieces, others]
+
+    return scored
+
+
+def score(docs: DataFrame) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``, a row for each row of ``docs``."""
+    spark = docs.sparkSession
+    counts = counted(docs)
+    levels = levels_of(counts)
+    values = values_of(levels)
+    shared = spark.sparkContext.broadcast(train(levels, values))
+    vocabulary = counts.where("word is not null").select("word", "n")
+    total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    floor = math.log10(total + ADDED * (distinct + 1))
+    top = _frequent(vocabulary, FREQUENT).toArrow()
+    logs = np.log10(top.column(1).to_numpy() + ADDED) - floor
+    frequent = spark.sparkContext.broadcast(dict(zip(top.column(0).to_pylist(), logs.tolist())))
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
         held_out(F.col("doc_id"), FOLDS, HELD_OUT).alias("held_out"), F.col("text").cast("binary").alias("text"))
-    first = materialize(in_arrow(
-        rows, scored,
-        "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
-        "pieces array<struct<gram: long, times: int>>, rare array<struct<word: binary, times: int>>"), "scored")
+    with _small_batches(spark):
+        first = materialize(in_arrow(
+            rows, _scorer(shared, frequent),
+            "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
+            "pieces array<struct<gram: long, times: int>>, rare array<struct<word: binary, times: int>>"), "scored")
     each = first.select("row", F.explode("rare").alias("of")).select("row", "of.word", "of.times")
     each = each.join(vocabulary, "word", "left")
     log = F.log10(F.coalesce("n", F.lit(0)) + ADDED) - floor

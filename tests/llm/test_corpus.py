@@ -5,6 +5,7 @@ import math
 import pickle
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -201,6 +202,45 @@ def test_the_driver_gathers_counts_and_no_tables(spark):
     assert np.all(np.diff(trie.grams) > 0) and len(trie.grams) == len(trie.values)
 
 
+def test_workers_get_few_megabytes_of_texts_at_once(spark, monkeypatch):
+    """A whole partition came in one batch before, however long its texts."""
+    real = ppm.in_arrow
+
+    def in_arrow(rows, function, schema):
+        def watched(batches):
+            def small():
+                for batch in batches:
+                    assert batch.nbytes < 8 << 20
+                    yield batch
+
+            yield from function(small())
+
+        return real(rows, watched, schema)
+
+    monkeypatch.setattr(ppm, "in_arrow", in_arrow)
+    docs = documents(spark, [sentence(rng, 30) for _ in range(300)]).withColumn("text", F.expr("repeat(text, 400)")).coalesce(1)
+    assert ppm.score(docs).count() == 300
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
+
+
+def test_memory_of_counting_and_scoring():
+    """Scoring held some 40 MB of arrays for a block of a megabyte before, counting the parts beside their sums."""
+    texts = [b" ".join(sentence(rng, 30).encode() for _ in range(300)) for _ in range(40)]
+    orders = [ppm._merged([(numbers & ppm._mask(k + 1), counts)]) for numbers, counts in [ppm._grams(texts)] for k in range(6)]
+    trie = ppm.Trie(orders)
+    whole = trie.score(texts)
+    tracemalloc.start()
+    try:
+        again = trie.score(texts)
+        assert tracemalloc.get_traced_memory()[1] < 16 << 20
+    finally:
+        tracemalloc.stop()
+    assert all(np.array_equal(a, b) for a, b in zip([whole[0], *whole[1]], [again[0], *again[1]]))
+    parts = [ppm._grams([text]) for text in texts]
+    numbers, counts = ppm._merged(parts)
+    assert not parts and all(np.array_equal(a, b) for a, b in zip((numbers, counts), ppm._grams(texts)))
+
+
 def test_scores_of_odd_and_empty_tables(spark):
     odd = odd_documents(spark)
     found = ppm.score(odd).collect()
